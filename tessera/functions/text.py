@@ -24,6 +24,17 @@ PREDICATE_NAMES = {"continent": "Continent", "country": "Country",
                    "state_province": "stateProvince", "county": "County"}
 QUESTION_LABELS = {"continent": "Continent", "country": "Country",
                    "state_province": "State or Province", "county": "County"}
+# The retrieval prompt template and the context separator.
+PROMPT_TEMPLATE = """
+Answer the question based only on the following context:
+
+{context}
+
+---
+
+Answer the question based on the above context: {question}
+"""
+CONTEXT_SEPARATOR = "\n\n---\n\n"
 
 
 def _c(c) -> Column:

@@ -10,8 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import PLACE_FIELDS
+from ..functions import text as txt
+from ..functions.text import PLACE_FIELDS, PROMPT_TEMPLATE, QUESTION_LABELS
 from ..operators import authority as auth_ops
+from ..operators import predicates as preds
+from ..operators import rows
+from ..session import table
 from . import reconcile as rec
 from . import views
 from .views import with_views
@@ -126,3 +130,179 @@ FROM counts c LEFT JOIN nearest n ON c.irn = n.irn""", "auth", "norm",
 def q_reconcile(spark, sf):
     return rec.reconcile(_probes(spark, sf), _authority(spark, sf))
 
+
+
+@query("candidates_json", with_views("""SELECT c.irn, c.continent, c.country, c.state_province, c.county,
+  c.num_authority_matches, coalesce(l.candidates, '[]') AS candidates,
+  c.num_authority_matches > 60 AS candidates_truncated
+FROM counts c LEFT JOIN lists l ON c.irn = l.irn""", "auth", "norm", ctes=[PAIRS_SQL, COUNT_SQL, """ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY irn ORDER BY round(score, 6) DESC, a_irn_eluts) AS rk FROM pairs)""",
+    """lists AS (
+  SELECT irn, CAST(to_json(list({'irn_eluts': CAST(a_irn_eluts AS VARCHAR), 'continent': a_continent,
+      'country': a_country, 'state_province': a_state_province, 'county': a_county} ORDER BY rk)) AS VARCHAR) AS candidates
+  FROM ranked WHERE rk <= 60 GROUP BY irn)"""]))
+def q_candidates_json(spark, sf):
+    return auth_ops.candidate_lists(_probes(spark, sf), _authority(spark, sf), cap=60)
+
+
+@query("batch_snapshot", with_views("""SELECT *, (row_no - 1) // 20 + 1 AS batch_no FROM (
+  SELECT r.*, row_number() OVER (ORDER BY CAST(r.irn AS BIGINT)) AS row_no FROM reconciled r) s""", "auth", "norm", ctes=[PAIRS_SQL, NEAREST_SQL, COUNT_SQL,
+    "reconciled AS (" + RECONCILE_SQL[RECONCILE_SQL.index("SELECT CASE WHEN n.irn"):] + ")"]))
+def q_batch_snapshot(spark, sf):
+    r = rec.reconcile(_probes(spark, sf), _authority(spark, sf)).withColumn("_o", F.col("irn").cast("bigint"))
+    return rec.batch_snapshots(r, 20, "_o").drop("_o")
+
+
+# --------------------------------------------------------------------------
+# Filters over the authority view
+# --------------------------------------------------------------------------
+
+def _auth_nulls(spark, sf):
+    """Authority with state_province null for one segment (the driver tables
+    hold no nulls, so null tests derive their own)."""
+    a = _authority(spark, sf)
+    return a.withColumn("state_province", F.nullif(F.col("state_province"), F.lit("HOUSEHOLD")))
+
+
+AUTH_NULLS_SQL = """auth_nulls AS (
+  SELECT irn_eluts, continent, country, nullif(state_province, 'HOUSEHOLD') AS state_province, county FROM auth)"""
+
+
+def _flt(name, where, nulls=False):
+    src = "auth_nulls" if nulls else "auth"
+    ctes = [AUTH_NULLS_SQL] if nulls else []
+    return query(name, with_views(f"SELECT * FROM {src} WHERE {where}", "auth", ctes=ctes))
+
+
+@_flt("flt_eq", "country = 'NATION_7'")
+def q_flt_eq(spark, sf):
+    return preds.where_equal(_authority(spark, sf), "country", "NATION_7")
+
+
+@_flt("flt_query", "country = 'NATION_12'")
+def q_flt_query(spark, sf):
+    return preds.where_sql(_authority(spark, sf), "country = 'NATION_12'")
+
+
+@_flt("flt_param", "country = 'NATION_3'")
+def q_flt_param(spark, sf):
+    return preds.where_bound(_authority(spark, sf), "country = :c", c="NATION_3")
+
+
+@_flt("flt_and_or", "(country = 'NATION_7' AND state_province = 'BUILDING') OR continent = 'EUROPE'")
+def q_flt_and_or(spark, sf):
+    c = F.col
+    return _authority(spark, sf).filter(preds.any_of(
+        preds.all_of(c("country") == "NATION_7", c("state_province") == "BUILDING"), c("continent") == "EUROPE"))
+
+
+@_flt("flt_in", "country IN ('NATION_1', 'NATION_2')")
+def q_flt_in(spark, sf):
+    return preds.where_in(_authority(spark, sf), "country", ["NATION_1", "NATION_2"])
+
+
+@_flt("flt_in_table", "country IN (SELECT n_name FROM nation WHERE n_regionkey = 1)")
+def q_flt_in_table(spark, sf):
+    nat = table(spark, sf, "nation").filter("n_regionkey = 1").select("n_name")
+    return preds.where_in(_authority(spark, sf), "country", nat)
+
+
+@_flt("flt_not_in", "state_province IS NULL OR state_province NOT IN ('BUILDING', 'MACHINERY')", nulls=True)
+def q_flt_not_in(spark, sf):
+    return preds.where_not_in(_auth_nulls(spark, sf), "state_province", ["BUILDING", "MACHINERY"])
+
+
+@_flt("flt_not_in_sql", "state_province NOT IN ('BUILDING', 'MACHINERY')", nulls=True)
+def q_flt_not_in_sql(spark, sf):
+    return preds.where_not_in(_auth_nulls(spark, sf), "state_province", ["BUILDING", "MACHINERY"], keep_nulls=False)
+
+
+@_flt("flt_null", "state_province IS NULL", nulls=True)
+def q_flt_null(spark, sf):
+    return preds.where_null(_auth_nulls(spark, sf), "state_province")
+
+
+@_flt("flt_notnull", "state_province IS NOT NULL", nulls=True)
+def q_flt_notnull(spark, sf):
+    return preds.where_not_null(_auth_nulls(spark, sf), "state_province")
+
+
+@_flt("flt_contains", "contains(county, '#0000001')")
+def q_flt_contains(spark, sf):
+    return preds.where_contains(_authority(spark, sf), "county", "#0000001")
+
+
+@_flt("flt_regex", "regexp_matches(county, '0000(1|2)[0-4]$')")
+def q_flt_regex(spark, sf):
+    return preds.where_contains(_authority(spark, sf), "county", "0000(1|2)[0-4]$", regex=True)
+
+
+@_flt("flt_like", "county LIKE 'Customer#00000012%'")
+def q_flt_like(spark, sf):
+    return preds.where_like(_authority(spark, sf), "county", "Customer#00000012%")
+
+
+# --------------------------------------------------------------------------
+# Scalar text over the probe rows
+# --------------------------------------------------------------------------
+
+def _label_sql(f, label):
+    return f"CASE WHEN {f} <> '' THEN '{label}=' || {f} ELSE '' END"
+
+
+QUESTION_SQL = ("'Find a match for Continent like ' || continent || ', Country like ' || country || "
+                "', State or Province like ' || state_province || ', County like ' || county || ' ' || "
+                + " || ', ' || ".join(_label_sql(f, QUESTION_LABELS[f]) for f in PLACE_FIELDS)
+                + " || ' must be included in the match'")
+
+
+@query("norm_blank", with_views("SELECT * FROM norm", "norm"))
+def q_norm_blank(spark, sf):
+    return _probes(spark, sf)
+
+
+@query("label_text", with_views("SELECT irn, " + ", ".join(
+    f"{_label_sql(f, QUESTION_LABELS[f])} AS {f}_text" for f in PLACE_FIELDS) + " FROM norm", "norm"))
+def q_label_text(spark, sf):
+    p = _probes(spark, sf)
+    return p.select("irn", *[txt.labelled(f, QUESTION_LABELS[f]).alias(f + "_text") for f in PLACE_FIELDS])
+
+
+@query("question_text", with_views(f"SELECT irn, {QUESTION_SQL} AS question FROM norm", "norm"))
+def q_question_text(spark, sf):
+    p = _probes(spark, sf)
+    return p.select("irn", txt.question_text(*PLACE_FIELDS).alias("question"))
+
+
+@query("predicate_text", with_views(
+    f"SELECT irn, {PREDICATE_TEXT_SQL.format(p='')} AS query_string FROM norm", "norm"))
+def q_predicate_text(spark, sf):
+    p = _probes(spark, sf)
+    return p.select("irn", txt.predicate_text(*PLACE_FIELDS).alias("query_string"))
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+@query("prompt_fill", with_views(
+    f"SELECT irn, replace(replace({_sql_str(PROMPT_TEMPLATE)}, '{{question}}', {QUESTION_SQL}), '{{context}}', "
+    f"{PREDICATE_TEXT_SQL.format(p='')}) AS prompt FROM norm", "norm"))
+def q_prompt_fill(spark, sf):
+    p = _probes(spark, sf)
+    return p.select("irn", txt.fill_template(PROMPT_TEMPLATE, txt.predicate_text(*PLACE_FIELDS),
+                                             txt.question_text(*PLACE_FIELDS)).alias("prompt"))
+
+
+RETRIEVE_KEYS = ("irn", "error", "irn_eluts", "continent", "country", "state_province", "county", "error_output")
+
+
+@query("default_row", with_views(
+    "SELECT coalesce(CAST(irn AS VARCHAR), 'none') AS irn, 'none' AS error, 'none' AS irn_eluts, "
+    "coalesce(dar_continent, 'none') AS continent, coalesce(dar_country, 'none') AS country, "
+    "coalesce(dar_state_province, 'none') AS state_province, coalesce(dar_county, 'none') AS county, "
+    "'none' AS error_output FROM trans", "trans"))
+def q_default_row(spark, sf):
+    t = views.transcribed(spark, sf)
+    t = t.select("irn", *[F.col("dar_" + f).alias(f) for f in PLACE_FIELDS])
+    return rows.default_filled(t, RETRIEVE_KEYS)
