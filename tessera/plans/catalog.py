@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import replies as R
 from ..functions import text as txt
 from ..functions.text import PLACE_FIELDS, PROMPT_TEMPLATE, QUESTION_LABELS
 from ..operators import authority as auth_ops
@@ -17,6 +18,7 @@ from ..operators import predicates as preds
 from ..operators import rows
 from ..session import table
 from . import reconcile as rec
+from . import replies as replies_plan
 from . import views
 from .views import with_views
 
@@ -306,3 +308,78 @@ def q_default_row(spark, sf):
     t = views.transcribed(spark, sf)
     t = t.select("irn", *[F.col("dar_" + f).alias(f) for f in PLACE_FIELDS])
     return rows.default_filled(t, RETRIEVE_KEYS)
+
+
+# --------------------------------------------------------------------------
+# Replies: trim, validity, status, fields
+# --------------------------------------------------------------------------
+
+def _trim_sql(s: str) -> str:
+    return (f"CASE WHEN instr({s}, '{{') = 0 THEN CASE WHEN suffix({s}, '}}') THEN '}}' ELSE '' END "
+            f"WHEN instr({s}, '}}') = 0 OR length({s}) - instr(reverse({s}), '}}') + 1 < instr({s}, '{{') THEN '' "
+            f"ELSE substring({s}, instr({s}, '{{'), length({s}) - instr(reverse({s}), '}}') + 2 - instr({s}, '{{')) END")
+
+
+def _status_sql(c: str) -> str:
+    return (f"CASE WHEN json_valid({c}) AND {c} <> '{{}}' THEN 'OK' WHEN {c} = '{{}}' THEN 'NO_ANSWER' "
+            f"ELSE 'INVALID_JSON' END")
+
+
+CLEANED_SQL = f"""cleaned AS (
+  SELECT reply_id, {_trim_sql('reply')} AS cleaned,
+         {_trim_sql("replace(reply, 'null', '''none''')")} AS patched FROM replies)"""
+STATUS_SQL = f"""status AS (SELECT *, {_status_sql('cleaned')} AS error FROM cleaned)"""
+REPLY_KEYS = ("k",)
+
+
+def _replies(spark, sf):
+    return views.replies(spark, sf)
+
+
+def _rq(name, body, extra=()):
+    return query(name, with_views(body, "replies", ctes=[CLEANED_SQL, STATUS_SQL, *extra]))
+
+
+@_rq("brace_trim", "SELECT reply_id, cleaned FROM cleaned")
+def q_brace_trim(spark, sf):
+    return _replies(spark, sf).select("reply_id", R.brace_trim("reply").alias("cleaned"))
+
+
+@_rq("null_patch", f"SELECT reply_id, patched, {_status_sql('patched')} AS parity_error FROM cleaned")
+def q_null_patch(spark, sf):
+    p = R.clean_reply(F.col("reply"), strict_parity=True)
+    return _replies(spark, sf).select("reply_id", p.alias("patched"), R.reply_status(p).alias("parity_error"))
+
+
+@_rq("json_valid", "SELECT reply_id, json_valid(cleaned) AS valid FROM cleaned")
+def q_json_valid(spark, sf):
+    return _replies(spark, sf).select("reply_id", R.is_json(R.brace_trim("reply")).alias("valid"))
+
+
+@_rq("reply_status", "SELECT reply_id, cleaned, error FROM status")
+def q_reply_status(spark, sf):
+    return replies_plan.clean_replies(_replies(spark, sf), REPLY_KEYS).select("reply_id", "cleaned", "error")
+
+
+@_rq("reply_fields", "SELECT reply_id, CASE WHEN error = 'OK' THEN coalesce(json_extract_string(cleaned, '$.k'), 'none') END AS k, "
+     "CASE WHEN error = 'OK' THEN 'NA' ELSE cleaned END AS error_output FROM status")
+def q_reply_fields(spark, sf):
+    return replies_plan.clean_replies(_replies(spark, sf), REPLY_KEYS).select("reply_id", "k", "error_output")
+
+
+@_rq("keys_valid", "SELECT reply_id, CASE WHEN json_valid(cleaned) THEN coalesce(json_keys(cleaned) = ['k'], false) "
+     "ELSE false END AS keys_valid FROM cleaned")
+def q_keys_valid(spark, sf):
+    return _replies(spark, sf).select("reply_id", R.keys_in_order(R.brace_trim("reply"), REPLY_KEYS).alias("keys_valid"))
+
+
+@_rq("status_counts", "SELECT error, count(*) AS n FROM status GROUP BY error")
+def q_status_counts(spark, sf):
+    return replies_plan.status_counts(replies_plan.clean_replies(_replies(spark, sf), REPLY_KEYS))
+
+
+@_rq("union_rows", "SELECT reply_id, coalesce(json_extract_string(cleaned, '$.k'), 'none') AS k, error, "
+     "NULL AS error_output FROM status WHERE error = 'OK' UNION ALL "
+     "SELECT reply_id, NULL AS k, error, cleaned AS error_output FROM status WHERE error <> 'OK'")
+def q_union_rows(spark, sf):
+    return replies_plan.assembled_rows(_replies(spark, sf), REPLY_KEYS)
