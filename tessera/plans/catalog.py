@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import replies as R
 from ..functions import text as txt
+from ..functions import vectors as V
 from ..functions.text import PLACE_FIELDS, PROMPT_TEMPLATE, QUESTION_LABELS
 from ..operators import authority as auth_ops
+from ..operators import knn as knn_ops
 from ..operators import predicates as preds
 from ..operators import rows
 from ..session import table
@@ -383,3 +385,137 @@ def q_status_counts(spark, sf):
      "SELECT reply_id, NULL AS k, error, cleaned AS error_output FROM status WHERE error <> 'OK'")
 def q_union_rows(spark, sf):
     return replies_plan.assembled_rows(_replies(spark, sf), REPLY_KEYS)
+
+
+# --------------------------------------------------------------------------
+# Vectors: distances, relevance, k-nearest join, threshold, best hit
+# --------------------------------------------------------------------------
+
+def _sq_sql(a: str, b: str) -> str:
+    x = f"CAST({a}[i] AS DOUBLE) - CAST({b}[i] AS DOUBLE)"
+    return f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: ({x}) * ({x})), lambda x, y: x + y)"
+
+
+def _dot_sql(a: str, b: str) -> str:
+    return (f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: CAST({a}[i] AS DOUBLE) * "
+            f"CAST({b}[i] AS DOUBLE)), lambda x, y: x + y)")
+
+
+PAIRS_EMB_SQL = """emb_pairs AS (
+  SELECT a.vec_id, b.vec_id AS next_id, a.embedding AS ea, b.embedding AS eb
+  FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)"""
+
+
+def _emb_pairs(spark, sf):
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    a, b = e.alias("a"), e.alias("b")
+    return a.join(b, F.col("b.vec_id") == F.col("a.vec_id") + 1).select(
+        F.col("a.vec_id").alias("vec_id"), F.col("b.vec_id").alias("next_id"),
+        F.col("a.embedding").alias("ea"), F.col("b.embedding").alias("eb"))
+
+
+@query("cosine_pairs", with_views(
+    f"SELECT vec_id, next_id, round(1 - {_dot_sql('ea', 'eb')} / (sqrt({_dot_sql('ea', 'ea')}) * "
+    f"sqrt({_dot_sql('eb', 'eb')})), 6) AS cosine_distance FROM emb_pairs", ctes=[PAIRS_EMB_SQL]))
+def q_cosine_pairs(spark, sf):
+    return _emb_pairs(spark, sf).select("vec_id", "next_id", F.round(V.cosine_distance("ea", "eb"), 6)
+                                        .alias("cosine_distance"))
+
+
+@query("l2_pairs", with_views(
+    f"SELECT vec_id, next_id, round(sqrt({_sq_sql('ea', 'eb')}), 6) AS l2_distance FROM emb_pairs",
+    ctes=[PAIRS_EMB_SQL]))
+def q_l2_pairs(spark, sf):
+    return _emb_pairs(spark, sf).select("vec_id", "next_id", F.round(V.l2("ea", "eb"), 6).alias("l2_distance"))
+
+
+@query("relevance", with_views(
+    f"SELECT vec_id, next_id, round(d, 6) AS sq_distance, round(1 - d / sqrt(2), 6) AS relevance FROM "
+    f"(SELECT vec_id, next_id, {_sq_sql('ea', 'eb')} AS d FROM emb_pairs) s", ctes=[PAIRS_EMB_SQL]))
+def q_relevance(spark, sf):
+    d = V.sq_l2("ea", "eb")
+    p = _emb_pairs(spark, sf).select("vec_id", "next_id", d.alias("d"))
+    return p.select("vec_id", "next_id", F.round("d", 6).alias("sq_distance"),
+                    F.round(V.relevance("d"), 6).alias("relevance"))
+
+
+KNN_SQL = f"""knn AS (
+  SELECT * FROM (
+    SELECT query_id, chunk_id, distance,
+           row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rk
+    FROM (SELECT q.vec_id AS query_id, c.vec_id AS chunk_id, {_sq_sql('q.embedding', 'c.embedding')} AS distance
+          FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id) d) r
+  WHERE rk <= 3)"""
+
+KNN_OUT_SQL = ("SELECT query_id, rk, chunk_id, round(distance, 6) AS distance, "
+               "round(1 - distance / sqrt(2), 6) AS relevance FROM knn")
+
+
+def _knn_emb(spark, sf, k=3):
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return knn_ops.knn_join(e, e, k, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding",
+                            exclude_self=True)
+
+
+def _round_hits(df):
+    return df.withColumn("distance", F.round("distance", 6)).withColumn("relevance", F.round("relevance", 6))
+
+
+@query("knn_top3", with_views(KNN_OUT_SQL, ctes=[KNN_SQL]))
+def q_knn_top3(spark, sf):
+    return _round_hits(_knn_emb(spark, sf))
+
+
+@query("knn_threshold", with_views(
+    KNN_OUT_SQL + " WHERE query_id IN (SELECT query_id FROM knn WHERE rk = 1 AND 1 - distance / sqrt(2) >= 0.1)",
+    ctes=[KNN_SQL]))
+def q_knn_threshold(spark, sf):
+    return _round_hits(knn_ops.threshold(_knn_emb(spark, sf), 0.1, on_low="drop"))
+
+
+@query("knn_flag", with_views(
+    "SELECT k.query_id, k.rk, k.chunk_id, round(k.distance, 6) AS distance, "
+    "round(1 - k.distance / sqrt(2), 6) AS relevance, 1 - b.distance / sqrt(2) < 0.2 AS low_confidence "
+    "FROM knn k JOIN knn b ON b.query_id = k.query_id AND b.rk = 1", ctes=[KNN_SQL]))
+def q_knn_flag(spark, sf):
+    return _round_hits(knn_ops.threshold(_knn_emb(spark, sf), 0.2, on_low="flag"))
+
+
+@query("best_hit", with_views(KNN_OUT_SQL + " WHERE rk = 1", ctes=[KNN_SQL]))
+def q_best_hit(spark, sf):
+    return _round_hits(knn_ops.best_hits(_knn_emb(spark, sf)))
+
+
+CENTROID_SQL = """centroid AS (
+  SELECT list(v ORDER BY i) AS c FROM (
+    SELECT i, avg(CAST(embedding[i] AS DOUBLE)) AS v
+    FROM embeddings, range(1, 65) t(i) GROUP BY i) s)"""
+
+
+@query("knn_single", with_views(
+    f"SELECT chunk_id, round(distance, 6) AS distance FROM (SELECT e.vec_id AS chunk_id, "
+    f"{_sq_sql('e.embedding', 'c.c')} AS distance FROM embeddings e, centroid c) s "
+    "ORDER BY distance, chunk_id LIMIT 3", ctes=[CENTROID_SQL]))
+def q_knn_single(spark, sf):
+    """Top-3 embeddings nearest the corpus centroid (one query vector)."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    dim = 64
+    # the centroid is one bounded row (dim doubles); it becomes a literal
+    cent = e.select(F.posexplode(V.as_double("embedding")).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"))
+    vals = [r["m"] for r in cent.orderBy("i").collect()][:dim]
+    qv = F.array(*[F.lit(float(x)) for x in vals])
+    out = knn_ops.knn_single(qv, e, 3, c_id="vec_id", c_vec="embedding", distance=V.sq_l2("embedding", qv))
+    return out.withColumn("distance", F.round("distance", 6))
+
+
+@query("knn_bucketed")
+def q_knn_bucketed(spark, sf):
+    """Approximate top-3: 4 hyperplane bits, multi-probe of the 4 buckets one
+    bit away, exact re-rank inside."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    planes = knn_ops.hyperplanes(64, 4)
+    b = knn_ops.lsh_bucket(F.col("embedding"), planes)
+    q = e.withColumn("_b", b)
+    return _round_hits(knn_ops.knn_join(
+        q, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
+        c_bucket=b, q_probe=F.array(F.col("_b"), *[F.col("_b").bitwiseXOR(F.lit(1 << j)) for j in range(4)])))
