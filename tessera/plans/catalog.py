@@ -15,12 +15,14 @@ from ..functions import text as txt
 from ..functions import vectors as V
 from ..functions.text import PLACE_FIELDS, PROMPT_TEMPLATE, QUESTION_LABELS
 from ..operators import authority as auth_ops
+from ..operators import chunking as chunk_ops
 from ..operators import knn as knn_ops
 from ..operators import predicates as preds
 from ..operators import rows
 from ..session import table
 from . import reconcile as rec
 from . import replies as replies_plan
+from . import retrieve as retr
 from . import views
 from .views import with_views
 
@@ -519,3 +521,134 @@ def q_knn_bucketed(spark, sf):
     return _round_hits(knn_ops.knn_join(
         q, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
         c_bucket=b, q_probe=F.array(F.col("_b"), *[F.col("_b").bitwiseXOR(F.lit(1 << j)) for j in range(4)])))
+
+
+# --------------------------------------------------------------------------
+# Documents: chunking, counts, hashed embedding, retrieval
+# --------------------------------------------------------------------------
+
+CHUNK_SIZE, CHUNK_OVERLAP, EMBED_DIM, TOP_K = 300, 100, 64, 3
+SEP_SQL = "chr(10) || chr(10) || '---' || chr(10) || chr(10)"
+
+CHUNKS_SQL = f"""chunks AS (
+  SELECT doc_id, CAST(start_index / {CHUNK_SIZE - CHUNK_OVERLAP} AS BIGINT) AS chunk_no, start_index, source,
+         substring(text, start_index + 1, {CHUNK_SIZE}) AS chunk,
+         doc_id * 1000000 + CAST(start_index / {CHUNK_SIZE - CHUNK_OVERLAP} AS BIGINT) AS chunk_id
+  FROM (SELECT doc_id, source, text,
+               unnest(range(0, greatest(length(text) - {CHUNK_OVERLAP} - 1, 0) + 1, {CHUNK_SIZE - CHUNK_OVERLAP})) AS start_index
+        FROM documents) d)"""
+
+
+def _bucket_rows_sql(name: str, id_col: str, text_expr: str, src: str) -> str:
+    return f"""{name} AS (
+  SELECT {id_col}, b, count(*) AS cnt FROM (
+    SELECT {id_col}, CAST(('0x' || substring(md5(t), 1, 8)) AS BIGINT) % {EMBED_DIM} AS b
+    FROM (SELECT {id_col}, unnest(list_filter(regexp_split_to_array(lower({text_expr}), '[ \\t\\r\\n]+'),
+                                              lambda x: x <> '')) AS t FROM {src}) s) s2
+  GROUP BY 1, 2)"""
+
+
+RETRIEVE_CTES = [
+    CHUNKS_SQL,
+    _bucket_rows_sql("cvec", "chunk_id", "chunk", "chunks"),
+    _bucket_rows_sql("qvec", "query_id", "text", "(SELECT item_id AS query_id, text FROM benchmark) bq"),
+    "cnorm AS (SELECT chunk_id, sum(cnt * cnt) AS n2 FROM cvec GROUP BY 1)",
+    "qnorm AS (SELECT query_id, sum(cnt * cnt) AS n2 FROM qvec GROUP BY 1)",
+    "dots AS (SELECT q.query_id, c.chunk_id, sum(q.cnt * c.cnt) AS dot FROM qvec q JOIN cvec c ON q.b = c.b GROUP BY 1, 2)",
+    """scored AS (
+  SELECT d.query_id, d.chunk_id,
+         CAST(2.0 AS DOUBLE) - CAST(2.0 AS DOUBLE) * CAST(d.dot AS DOUBLE) / sqrt(CAST(qn.n2 * cn.n2 AS DOUBLE)) AS distance
+  FROM dots d JOIN qnorm qn ON qn.query_id = d.query_id JOIN cnorm cn ON cn.chunk_id = d.chunk_id)""",
+    f"""hits AS (
+  SELECT h.*, 1 - h.distance / sqrt(2) AS relevance, c.chunk, c.source FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rk FROM scored) h
+  JOIN chunks c ON c.chunk_id = h.chunk_id WHERE rk <= {TOP_K})""",
+    f"""ctx AS (
+  SELECT query_id, count(*) AS n_hits, max(relevance) AS best_relevance,
+         string_agg(chunk, {SEP_SQL} ORDER BY rk) AS context, string_agg(source, ', ' ORDER BY rk) AS sources
+  FROM hits GROUP BY 1)""",
+]
+
+
+def _docs(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "source", "text")
+
+
+def _fixed(spark, sf):
+    return chunk_ops.fixed_chunks(_docs(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP)
+
+
+def _questions(spark, sf):
+    return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+@query("chunk_fixed", with_views("SELECT * FROM chunks", ctes=[CHUNKS_SQL]))
+def q_chunk_fixed(spark, sf):
+    return _fixed(spark, sf)
+
+
+@query("chunk_counts", with_views(
+    "SELECT source, count(*) FILTER (WHERE chunk_no = 0) AS n_docs, count(*) AS n_chunks FROM chunks GROUP BY 1",
+    ctes=[CHUNKS_SQL]))
+def q_chunk_counts(spark, sf):
+    return chunk_ops.chunk_counts(_fixed(spark, sf))
+
+
+@query("chunk_peek", with_views(
+    "SELECT doc_id, chunk_no, start_index, source, chunk, chunk_id FROM chunks ORDER BY doc_id, chunk_no "
+    "LIMIT 1 OFFSET 10", ctes=[CHUNKS_SQL]))
+def q_chunk_peek(spark, sf):
+    return rows.nth_row(_fixed(spark, sf), ["doc_id", "chunk_no"], 10)
+
+
+@query("hash_embed", with_views(
+    "SELECT v.doc_id, v.b AS bucket, v.cnt, round(v.cnt / sqrt(n.n2), 6) AS weight FROM dvec v "
+    "JOIN (SELECT doc_id, sum(cnt * cnt) AS n2 FROM dvec GROUP BY 1) n ON n.doc_id = v.doc_id",
+    ctes=[_bucket_rows_sql("dvec", "doc_id", "text", "documents")]))
+def q_hash_embed(spark, sf):
+    d = V.with_hashed_counts(_docs(spark, sf), "text", "v", EMBED_DIM)
+    d = d.withColumn("n2", V.int_sq_norm("v"))
+    x = d.select("doc_id", "n2", F.posexplode("v").alias("bucket", "cnt")).filter("cnt > 0")
+    return x.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.col("cnt").cast("bigint").alias("cnt"),
+                    F.round(F.col("cnt") / F.sqrt(F.col("n2").cast("double")), 6).alias("weight"))
+
+
+def _hits(spark, sf):
+    return retr.hits_for(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM)
+
+
+@query("context_join", with_views("SELECT query_id, context FROM ctx", ctes=RETRIEVE_CTES))
+def q_context_join(spark, sf):
+    return retr.context_rows(_hits(spark, sf)).select("query_id", "context")
+
+
+@query("source_list", with_views("SELECT query_id, sources FROM ctx", ctes=RETRIEVE_CTES))
+def q_source_list(spark, sf):
+    return retr.context_rows(_hits(spark, sf)).select("query_id", "sources")
+
+
+@query("retrieve", with_views(
+    f"SELECT b.item_id AS query_id, coalesce(c.n_hits, 0) AS n_hits, round(c.best_relevance, 6) AS best_relevance, "
+    f"coalesce(c.best_relevance < 0.5, true) AS low_confidence, coalesce(c.context, '') AS context, "
+    f"coalesce(c.sources, '') AS sources, "
+    f"replace(replace({_sql_str(PROMPT_TEMPLATE)}, '{{question}}', b.text), '{{context}}', coalesce(c.context, '')) AS prompt "
+    f"FROM benchmark b LEFT JOIN ctx c ON c.query_id = b.item_id", ctes=RETRIEVE_CTES))
+def q_retrieve(spark, sf):
+    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.5)
+    return out.withColumn("best_relevance", F.round("best_relevance", 6))
+
+
+@query("retrieve_gate", with_views(
+    f"SELECT c.query_id, c.n_hits, round(c.best_relevance, 6) AS best_relevance, false AS low_confidence, "
+    f"c.context, c.sources, replace(replace({_sql_str(PROMPT_TEMPLATE)}, '{{question}}', b.text), '{{context}}', "
+    f"c.context) AS prompt FROM ctx c JOIN benchmark b ON c.query_id = b.item_id WHERE c.best_relevance >= 0.7",
+    ctes=RETRIEVE_CTES))
+def q_retrieve_gate(spark, sf):
+    """Stop rule: only questions whose best hit reaches 0.7 get a prompt."""
+    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.7, on_low="drop")
+    return out.withColumn("best_relevance", F.round("best_relevance", 6))
+
+
+@query("chunk_recursive")
+def q_chunk_recursive(spark, sf):
+    return chunk_ops.recursive_chunks(_docs(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP)

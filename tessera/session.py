@@ -99,3 +99,11 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     local checkpoint: executors can be lost)."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin repartition before CPU-heavy narrow work, but only when
+    the input has fewer partitions than the cluster can run at once (a
+    single-row-group file); large inputs keep their scan splits untouched."""
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
