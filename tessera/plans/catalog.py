@@ -19,9 +19,17 @@ from ..operators import chunking as chunk_ops
 from ..operators import knn as knn_ops
 from ..operators import predicates as preds
 from ..operators import rows
-from ..session import table
+from ..operators import textcheck
+from ..session import new_scratch_path, table
+from ..session import spread as spreaded
+from ..sinks import files as sinks
+from ..sources import files as sources
+from ..streaming import incremental
+from . import ingest
+from . import match_eval as match_eval_plan
 from . import reconcile as rec
 from . import replies as replies_plan
+from . import requests as reqs
 from . import retrieve as retr
 from . import views
 from .views import with_views
@@ -652,3 +660,137 @@ def q_retrieve_gate(spark, sf):
 @query("chunk_recursive")
 def q_chunk_recursive(spark, sf):
     return chunk_ops.recursive_chunks(_docs(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP)
+
+
+# --------------------------------------------------------------------------
+# Text checks, stamps, chat documents, requests
+# --------------------------------------------------------------------------
+
+@query("char_census", "SELECT CAST(unicode(ch) AS BIGINT) AS code_point, ch, count(*) AS n FROM "
+       "(SELECT unnest(string_split(text, '')) AS ch FROM documents) s WHERE ch <> '' GROUP BY ch")
+def q_char_census(spark, sf):
+    return textcheck.char_census(_docs(spark, sf))
+
+
+@query("xml_quality")
+def q_xml_quality(spark, sf):
+    pages = spreaded(table(spark, sf, "pages").select("page_id", "html"))
+    return textcheck.xml_quality(pages, "page_id", "html")
+
+
+@query("run_stamp", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H-%M-%S') AS stamp FROM events")
+def q_run_stamp(spark, sf):
+    return table(spark, sf, "events").select("event_id", txt.run_stamp("ts").alias("stamp"))
+
+
+DATA_URL_SQL = ("CASE WHEN starts_with(url, 'https://') THEN url "
+                "ELSE 'data:image/jpeg;base64,' || to_base64(encode(html)) END")
+REQUEST_MODEL, REQUEST_PROMPT = "vision-model", "Transcribe the text on this page as JSON."
+
+
+@query("data_url", f"SELECT page_id, {DATA_URL_SQL} AS image_ref FROM pages")
+def q_data_url(spark, sf):
+    return reqs.page_requests(table(spark, sf, "pages"), REQUEST_MODEL, REQUEST_PROMPT).select("page_id", "image_ref")
+
+
+@query("request_json", f"""SELECT page_id, '{{"model":' || to_json('{REQUEST_MODEL}'::VARCHAR) || ',"logprobs":false,'
+  || '"messages":[{{"role":"user","content":[{{"type":"text","temperature":"0.0","text":'
+  || to_json('{REQUEST_PROMPT}'::VARCHAR) || '}},{{"type":"image_url","image_url":{{"url":'
+  || to_json({DATA_URL_SQL}) || '}}}}]}}],"max_tokens":4096}}' AS request FROM pages""")
+def q_request_json(spark, sf):
+    return reqs.page_requests(table(spark, sf, "pages"), REQUEST_MODEL, REQUEST_PROMPT).select("page_id", "request")
+
+
+TOK_SQL = "len(list_filter(regexp_split_to_array({t}, '[ \\t\\r\\n]+'), lambda x: x <> ''))"
+CHAT_SQL = f"""chat AS (
+  SELECT c.conv_id, c.turn, 'chatcmpl-' || c.conv_id || '-' || c.turn AS id, 'stop' AS finish_reason,
+         0 AS choice_index, CAST(NULL AS VARCHAR) AS logprobs, c.text AS content, c.role,
+         CAST(NULL AS VARCHAR) AS function_call, CAST(NULL AS VARCHAR) AS tool_calls,
+         1700000000 + c.conv_id * 10 + c.turn AS created, 'chat-model-' || CAST(c.conv_id % 3 AS VARCHAR) AS model,
+         'chat.completion' AS object, CAST(NULL AS VARCHAR) AS system_fingerprint,
+         {TOK_SQL.format(t='c.text')} AS completion_tokens, coalesce(p.pt, 0) AS prompt_tokens,
+         {TOK_SQL.format(t='c.text')} + coalesce(p.pt, 0) AS total_tokens
+  FROM conversations c
+  LEFT JOIN (SELECT conv_id, turn + 1 AS turn, {TOK_SQL.format(t='text')} AS pt FROM conversations) p
+    ON p.conv_id = c.conv_id AND p.turn = c.turn
+  WHERE c.role = 'assistant')"""
+
+
+def _chat(spark, sf):
+    conv = table(spark, sf, "conversations")
+    model = F.concat(F.lit("chat-model-"), (F.col("conv_id") % 3).cast("string"))
+    return reqs.reply_table(reqs.chat_reply_docs(conv, model))
+
+
+@query("chat_fields", with_views("SELECT * FROM chat", ctes=[CHAT_SQL]))
+def q_chat_fields(spark, sf):
+    return _chat(spark, sf)
+
+
+@query("usage_totals", with_views(
+    "SELECT model, count(*) AS n_replies, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, "
+    "CAST(sum(prompt_tokens) AS BIGINT) AS prompt_tokens, CAST(sum(total_tokens) AS BIGINT) AS total_tokens "
+    "FROM chat GROUP BY model", ctes=[CHAT_SQL]))
+def q_usage_totals(spark, sf):
+    return reqs.usage_totals(_chat(spark, sf))
+
+
+# --------------------------------------------------------------------------
+# Evaluation, files, vector table, streaming
+# --------------------------------------------------------------------------
+
+EVAL_PROBES_SQL = """probes AS (
+  SELECT irn_eluts * 10 AS irn, 0 AS variant, irn_eluts AS expected, coalesce(continent, '') AS continent,
+         coalesce(country, '') AS country, coalesce(state_province, '') AS state_province, coalesce(county, '') AS county FROM auth
+  UNION ALL SELECT irn_eluts * 10 + 1, 1, irn_eluts, coalesce(continent, ''), '', coalesce(state_province, ''),
+         coalesce(county, '') FROM auth
+  UNION ALL SELECT irn_eluts * 10 + 2, 2, irn_eluts, coalesce(continent, ''), coalesce(country, ''), '',
+         coalesce(regexp_extract(county, '([^#]*)$', 1), '') FROM auth
+  UNION ALL SELECT irn_eluts * 10 + 3, 3, irn_eluts, coalesce(continent, ''), '', '',
+         coalesce(regexp_extract(county, '([^#]*)$', 1), '') FROM auth)"""
+
+
+@query("match_eval", with_views(
+    """SELECT p.variant, count(*) AS n_probes, count(CASE WHEN n.a_irn_eluts = p.expected THEN 1 END) AS n_hit1,
+  count(CASE WHEN c.num_authority_matches > 0 THEN 1 END) AS n_matched,
+  CAST(sum(c.num_authority_matches) AS BIGINT) AS sum_candidates
+FROM probes p JOIN counts c ON c.irn = p.irn LEFT JOIN nearest n ON n.irn = p.irn GROUP BY p.variant""",
+    "auth", ctes=[EVAL_PROBES_SQL, PAIRS_SQL.replace("FROM norm t", "FROM probes t"),
+                  COUNT_SQL.replace("FROM norm t", "FROM probes t"), NEAREST_SQL]))
+def q_match_eval(spark, sf):
+    return match_eval_plan.match_eval(_authority(spark, sf))
+
+
+@query("csv_round_trip", with_views("SELECT * FROM auth_nulls", "auth", ctes=[AUTH_NULLS_SQL]))
+def q_csv_round_trip(spark, sf):
+    """Write the authority (with nulls) as CSV to the shared scratch folder
+    and read it back with the null-token aware reader."""
+    path = new_scratch_path(spark, "auth-csv")
+    sinks.write_csv(_auth_nulls(spark, sf), path)
+    schema = "irn_eluts bigint, continent string, country string, state_province string, county string"
+    return sources.read_csv_table(spark, path, schema)
+
+
+@query("vector_table", with_views(
+    "SELECT source, count(*) FILTER (WHERE chunk_no = 0) AS n_docs, count(*) AS n_chunks FROM chunks GROUP BY 1",
+    ctes=[CHUNKS_SQL]))
+def q_vector_table(spark, sf):
+    """Build the chunk vector table (fixed chunks + hashed counts), write a
+    new version, reopen it with the embedder check, count per source."""
+    root = new_scratch_path(spark, "vectors")
+    ingest.build_vector_table(_docs(spark, sf), root, CHUNK_SIZE, CHUNK_OVERLAP, EMBED_DIM)
+    vt = ingest.open_vectors(spark, root, EMBED_DIM)
+    return chunk_ops.chunk_counts(vt)
+
+
+@query("incremental_reconcile", RECONCILE_SQL)
+def q_incremental_reconcile(spark, sf):
+    """Probe rows arrive as files; a stream reconciles each micro-batch
+    against the static authority and appends it once."""
+    probes_dir = new_scratch_path(spark, "probes")
+    _probes(spark, sf).repartition(4).write.parquet(probes_dir)
+    out_dir = new_scratch_path(spark, "reconciled")
+    schema = spark.read.parquet(probes_dir).schema
+    incremental.run_incremental_reconcile(spark, probes_dir, schema, _authority(spark, sf), out_dir,
+                                          new_scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out_dir).select(*rec.RESULT_COLS)
