@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.vectors import relevance
@@ -53,6 +54,21 @@ def lsh_bucket(vec: Column, planes: np.ndarray) -> Column:
     return out
 
 
+def with_lsh_keys(df: DataFrame, vec_col: str, dim: int, tables: int = 3, bits: int = 4,
+                  seed: int = 7) -> DataFrame:
+    """Add ``_ckeys`` (one bucket key per hash table, for the corpus side)
+    and ``_qkeys`` (each table's bucket plus the ``bits`` buckets one bit
+    away, for the query side).  Keys of different tables never collide:
+    key = table * 2^bits + bucket."""
+    planes = hyperplanes(dim, tables * bits, seed)
+    x = df.withColumn("_lsh", F.array(*[lsh_bucket(F.col(vec_col), planes[t * bits:(t + 1) * bits])
+                                        for t in range(tables)]))
+    ck = [F.col("_lsh")[t] + F.lit(t << bits) for t in range(tables)]
+    qk = [(F.col("_lsh")[t].bitwiseXOR(F.lit(flip))) + F.lit(t << bits)
+          for t in range(tables) for flip in [0] + [1 << j for j in range(bits)]]
+    return x.withColumn("_ckeys", F.array(*ck)).withColumn("_qkeys", F.array(*qk)).drop("_lsh")
+
+
 def _block_topk(k: int, metric: str, exclude_self: bool, margin: int = 8):
     def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(c) == 0:
@@ -117,8 +133,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     relevance`` (rk 1 = nearest; distance = squared L2, or 2 - 2 cos for
     ``metric='cosine_counts'`` on integer count vectors).
 
-    ``q_bucket``/``c_bucket`` restrict candidates to equal buckets;
-    ``q_probe`` (an array column) lets one query look in several buckets."""
+    ``q_bucket``/``c_bucket`` restrict candidates to equal buckets (an
+    array ``c_bucket`` puts a corpus row in several buckets, e.g. one per
+    hash table); ``q_probe`` (an array column) lets one query look in
+    several buckets."""
     spark = queries.sparkSession
     q = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("v"),
                        (q_probe if q_probe is not None else
@@ -126,6 +144,8 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     q = q.withColumn("b", F.explode("bs")).drop("bs")
     c = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).alias("v"),
                       (c_bucket if c_bucket is not None else F.lit(0)).alias("b"))
+    if isinstance(c.schema["b"].dataType, T.ArrayType):
+        c = c.withColumn("b", F.explode("b"))
     # per-bucket sizes: one row per bucket (bounded by the bucket scheme)
     qn = {r["b"]: r["n"] for r in q.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
     cn = {r["b"]: r["n"] for r in c.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}

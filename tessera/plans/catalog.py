@@ -520,15 +520,12 @@ def q_knn_single(spark, sf):
 
 @query("knn_bucketed")
 def q_knn_bucketed(spark, sf):
-    """Approximate top-3: 4 hyperplane bits, multi-probe of the 4 buckets one
-    bit away, exact re-rank inside."""
-    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    planes = knn_ops.hyperplanes(64, 4)
-    b = knn_ops.lsh_bucket(F.col("embedding"), planes)
-    q = e.withColumn("_b", b)
+    """Approximate top-3: 3 hash tables of 4 hyperplane bits, each probed at
+    its bucket and the 4 buckets one bit away, exact re-rank inside."""
+    e = knn_ops.with_lsh_keys(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", 64)
     return _round_hits(knn_ops.knn_join(
-        q, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
-        c_bucket=b, q_probe=F.array(F.col("_b"), *[F.col("_b").bitwiseXOR(F.lit(1 << j)) for j in range(4)])))
+        e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
+        c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys")))
 
 
 # --------------------------------------------------------------------------
