@@ -33,6 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import PLACE_FIELDS
+from ..session import checked_broadcast
+
+# Distinct probe keys up to this count are broadcast into the semi-join that
+# trims the expanded authority; more keys shuffle instead.
+KEY_BROADCAST_ROWS = 2_000_000
 
 EQ_FIELDS = ("continent", "country", "state_province")
 BITS = {"continent": 1, "country": 2, "state_province": 4, "county": 8}
@@ -177,7 +182,11 @@ def _key_stats(probes: DataFrame, authority: DataFrame, gram: int, rarest_gram:
     keys, keyed, has_long = _shapes(probes, gram)
     parts = []
     if keyed:
+        # keep only authority keys some probe carries before aggregating:
+        # the expanded authority is mostly keys nobody asks for
+        kk = keys.filter(F.col("_L") < gram).select("_m", "_L", *PLACE_FIELDS)
         agg = (_keyed_authority(authority, keyed)
+               .join(checked_broadcast(kk, KEY_BROADCAST_ROWS), ["_m", "_L", *PLACE_FIELDS], "left_semi")
                .groupBy("_m", "_L", *PLACE_FIELDS)
                .agg(F.count(F.lit(1)).alias("n"), _best_struct(similarity_score()).alias("best")))
         parts.append(keys.join(agg, ["_m", "_L", *PLACE_FIELDS]).select(*PLACE_FIELDS, "n", "best"))

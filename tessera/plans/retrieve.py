@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from ..functions.text import CONTEXT_SEPARATOR, PROMPT_TEMPLATE, fill_template
 from ..functions.vectors import with_hashed_counts
 from ..operators.knn import knn_join, threshold
+from ..session import fits
+
+# Questions up to this count make a hit table (questions x k rows) small
+# enough to broadcast into the chunk table; above it the join shuffles.
+BROADCAST_QUESTIONS = 100_000
 
 
 def _ordered(field: str, sep: str):
@@ -28,7 +33,9 @@ def hits_for(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64,
                             "text", "v", dim)
     cv = with_hashed_counts(chunks.select("chunk_id", "chunk"), "chunk", "v", dim)
     hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric="cosine_counts")
-    return hits.join(chunks.select("chunk_id", "chunk", "source"), "chunk_id")
+    if fits(questions, BROADCAST_QUESTIONS):
+        hits = F.broadcast(hits)
+    return chunks.select("chunk_id", "chunk", "source").join(hits, "chunk_id")
 
 
 def context_rows(hits: DataFrame) -> DataFrame:
