@@ -136,3 +136,8 @@ def tokens(text, lower: bool = False) -> Column:
 
 def token_count(text) -> Column:
     return F.size(tokens(text))
+
+
+def answer_line(response, sources) -> Column:
+    """'Response: ...' and 'Sources: ...' on two lines (a column instead of a print)."""
+    return F.concat(F.lit("Response: "), _c(response), F.lit("\nSources: "), _c(sources))

@@ -795,3 +795,39 @@ def q_incremental_reconcile(spark, sf):
     incremental.run_incremental_reconcile(spark, probes_dir, schema, _authority(spark, sf), out_dir,
                                           new_scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(out_dir).select(*rec.RESULT_COLS)
+
+
+# --------------------------------------------------------------------------
+# Remaining scalar text: instruction, lengths, answer line
+# --------------------------------------------------------------------------
+
+INSTRUCTION_SQL = ("""'Find the nearest match to Continent="' || continent || '", Country="' || country || """
+                   """'", State/Province="' || state_province || '", County="' || county || '"' || chr(10) || """
+                   """'Return the nearest matching line together with the irn_eluts number as JSON of structure """
+                   """{"irn_eluts":"value1", "continent":"value2", "country":"value3", "state_province":"value4", """
+                   """"county":"value5"}' || chr(10) || 'Make no commentDo not return newlines in the JSON'""")
+
+
+@query("instruction_text", with_views(f"SELECT irn, {INSTRUCTION_SQL} AS instruction FROM norm", "norm"))
+def q_instruction_text(spark, sf):
+    p = _probes(spark, sf)
+    return p.select("irn", txt.instruction_text(*PLACE_FIELDS).alias("instruction"))
+
+
+@query("text_length", "SELECT doc_id, length(text) AS n_chars, "
+       f"{TOK_SQL.format(t='text')} AS n_tokens FROM documents")
+def q_text_length(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.length("text").alias("n_chars"), txt.token_count("text").alias("n_tokens"))
+
+
+@query("answer_text", with_views(
+    "SELECT query_id, 'Response: ' || chunk || chr(10) || 'Sources: ' || sources AS answer "
+    "FROM (SELECT h.query_id, h.chunk, c.sources FROM hits h JOIN ctx c ON c.query_id = h.query_id WHERE h.rk = 1) s",
+    ctes=RETRIEVE_CTES))
+def q_answer_text(spark, sf):
+    """Answer line with its sources: the best chunk as the response (no
+    remote model here) and the ordered source list."""
+    hits = _hits(spark, sf)
+    best = hits.filter("rk = 1").select("query_id", F.col("chunk").alias("response"))
+    ctx = retr.context_rows(hits).select("query_id", "sources")
+    return best.join(ctx, "query_id").select("query_id", txt.answer_line("response", "sources").alias("answer"))

@@ -13,10 +13,11 @@ from ..operators.rows import select_keys
 
 
 def write_csv(df: DataFrame, path: str, keys=(), mode: str = "overwrite") -> None:
-    """Header, comma, UTF-8; '' written as "" so it reads back as '' and not
-    as null.  A folder of part files (one per task)."""
+    """Header, comma, UTF-8.  Spark writes '' as a quoted "" and null as an
+    empty field, so both read back as they were.  A folder of part files
+    (one per task)."""
     (select_keys(df, keys).write.mode(mode).option("header", True).option("escape", '"')
-     .option("emptyValue", "").option("encoding", "UTF-8").csv(path))
+     .option("encoding", "UTF-8").csv(path))
 
 
 def write_batches(df: DataFrame, path: str, order_col: str, batch_size: int = 20) -> None:

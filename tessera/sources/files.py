@@ -11,15 +11,21 @@ from ..functions.text import CSV_NULL_TOKENS, base64_plain
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, null_tokens=CSV_NULL_TOKENS,
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = False, keep_empty: bool = False) -> DataFrame:
     """CSV with a header and an explicit schema (no inference pass).
 
     ``escape='"'`` reads doubled quotes inside quoted cells; every string
     cell equal to one of ``null_tokens`` becomes null, as the dataframe
     reader does (Spark alone only nulls empty cells).  ``multiline`` only
-    for files whose cells hold newlines: it stops files being split."""
-    df = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-          .option("multiLine", multiline).option("mode", "PERMISSIVE").csv(path))
+    for files whose cells hold newlines: it stops files being split.
+    ``keep_empty=True`` reads a quoted "" as '' (only an empty field is
+    null), the way ``write_csv`` writes them; by default both are null, as
+    in the dataframe library."""
+    r = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+         .option("multiLine", multiline).option("mode", "PERMISSIVE"))
+    if keep_empty:
+        r = r.option("nullValue", "\u0000")
+    df = r.csv(path)
     toks = [t for t in null_tokens if t != ""]
     cols = []
     for f in df.schema.fields:
