@@ -704,7 +704,7 @@ def q_request_json(spark, sf):
 
 TOK_SQL = "len(list_filter(regexp_split_to_array({t}, '[ \\t\\r\\n]+'), lambda x: x <> ''))"
 CHAT_SQL = f"""chat AS (
-  SELECT c.conv_id, c.turn, 'chatcmpl-' || c.conv_id || '-' || c.turn AS id, 'stop' AS finish_reason,
+  SELECT c.conv_id, c.turn, 'reply-' || c.conv_id || '-' || c.turn AS id, 'stop' AS finish_reason,
          0 AS choice_index, CAST(NULL AS VARCHAR) AS logprobs, c.text AS content, c.role,
          CAST(NULL AS VARCHAR) AS function_call, CAST(NULL AS VARCHAR) AS tool_calls,
          1700000000 + c.conv_id * 10 + c.turn AS created, 'chat-model-' || CAST(c.conv_id % 3 AS VARCHAR) AS model,

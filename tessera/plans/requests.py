@@ -26,7 +26,7 @@ def chat_reply_docs(conversations: DataFrame, model_col=None) -> DataFrame:
     pt = F.coalesce("prompt_tokens", F.lit(0))
     null_s = F.lit(None).cast("string")
     doc = F.to_json(F.struct(
-        F.concat(F.lit("chatcmpl-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
+        F.concat(F.lit("reply-"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("id"),
         F.array(F.struct(F.lit("stop").alias("finish_reason"), F.lit(0).alias("index"), null_s.alias("logprobs"),
                          F.struct(F.col("text").alias("content"), F.col("role").alias("role"),
                                   null_s.alias("function_call"), null_s.alias("tool_calls")).alias("message"))).alias("choices"),
