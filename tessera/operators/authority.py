@@ -22,22 +22,34 @@ pre-aggregating the authority on the join key wherever the key fixes the
 answer, so a probe that matches a third of the authority never turns into a
 third of the authority in pairs.  Only long-county probes build pairs, and
 those feed partial (map-side) aggregates.
+
+Broadcasts.  One small aggregate job (``shapes``) counts the distinct probe
+keys of every shape before the plan is built.  Those counts, not planner
+estimates, decide which side is broadcast: probe keys into the expanded
+authority (so the authority streams in its scan partitions and is never
+shuffled) and the per-key stats back to the probes (so a key held by a
+third of the probes never lands in one reducer).  Above the limits the
+joins shuffle and AQE splits skewed partitions.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import PLACE_FIELDS
-from ..session import checked_broadcast
+from ..session import spread
 
-# Distinct probe keys up to this count are broadcast into the semi-join that
-# trims the expanded authority; more keys shuffle instead.
+# Distinct probe keys up to this count are broadcast into the expanded /
+# gram-exploded authority; more keys shuffle instead.
 KEY_BROADCAST_ROWS = 2_000_000
+# The per-key stats table (count + nearest candidate, ~100 bytes a row) is
+# broadcast back to the probes up to this many distinct keys.
+STATS_BROADCAST_ROWS = 1_000_000
 
 EQ_FIELDS = ("continent", "country", "state_province")
 BITS = {"continent": 1, "country": 2, "state_province": 4, "county": 8}
@@ -66,7 +78,11 @@ def grams(col: Column, n) -> Column:
 
 
 def _auth(authority: DataFrame) -> DataFrame:
-    return authority.select(*[F.col(c).alias("a_" + c) for c in AUTH_COLS])
+    """Authority columns prefixed ``a_``.  The authority is the streamed
+    side of the broadcast joins below and is multiplied by shapes and grams,
+    so a single-split input is spread over the cores first (inputs with
+    enough scan splits are left as they are)."""
+    return spread(authority.select(*[F.col(c).alias("a_" + c) for c in AUTH_COLS]))
 
 
 def _with_kind(df: DataFrame, gram: int) -> DataFrame:
@@ -74,11 +90,42 @@ def _with_kind(df: DataFrame, gram: int) -> DataFrame:
     return df.withColumn("_m", mask_of()).withColumn("_L", F.least(F.length("county"), F.lit(gram)))
 
 
-def _kinds(keys: DataFrame, gram: int) -> list[tuple[int, int]]:
-    """Distinct (mask, capped county length) shapes present in the probes:
-    at most 15 * gram tiny rows, so collecting them is bounded."""
-    rows = _with_kind(keys, gram).select("_m", "_L").distinct().collect()
-    return sorted((r["_m"], r["_L"]) for r in rows if r["_m"])
+class Shapes(NamedTuple):
+    """What the probes look like, from one small aggregate job.
+
+    ``keys``: distinct probe keys with ``_m``/``_L``; ``keyed``: the
+    (mask, L) shapes answered by the keyed authority; ``has_long``: some
+    probe county is at least ``gram`` long; ``n_keyed`` / ``n_long``:
+    distinct probe keys of each kind; ``n_long_grams``: upper bound of the
+    distinct grams of the long probe counties."""
+    keys: DataFrame
+    keyed: list
+    has_long: bool
+    n_keyed: int
+    n_long: int
+    n_long_grams: int
+
+
+def shapes(probes: DataFrame, gram: int = 3) -> Shapes:
+    """Distinct (mask, capped county length) shapes with their key counts:
+    at most 15 * gram tiny rows, so collecting them is bounded.  All-blank
+    probes (mask 0) match nothing and form no shape."""
+    keys = _with_kind(probes.select(*PLACE_FIELDS).distinct(), gram)
+    rows = (keys.groupBy("_m", "_L")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum(F.when(F.col("_L") == gram, F.size(grams(F.col("county"), gram)))).alias("g"))
+            .collect())
+    rows = [r for r in rows if r["_m"]]
+    short = [r for r in rows if r["_L"] < gram]
+    long_ = [r for r in rows if r["_L"] == gram]
+    return Shapes(keys, sorted((r["_m"], r["_L"]) for r in short), bool(long_),
+                  sum(r["n"] for r in short), sum(r["n"] for r in long_), sum(r["g"] or 0 for r in long_))
+
+
+def _bcast(df: DataFrame, n: int, limit: int) -> DataFrame:
+    """Broadcast hint for a side whose row count ``n`` is known (from
+    ``shapes``) to be within ``limit``; otherwise leave it to the planner."""
+    return F.broadcast(df) if n <= limit else df
 
 
 def similarity_score(prefix_probe: str = "", prefix_auth: str = "a_") -> Column:
@@ -104,63 +151,68 @@ def _keyed_authority(authority: DataFrame, kinds) -> DataFrame:
     contained in an authority county iff it is one of its L-grams.  This is
     the same Expand a CUBE does, restricted to the shapes in use."""
     a = _auth(authority)
-    shapes = [F.struct(F.lit(m).alias("_m"), F.lit(L).alias("_L"),
-                       *[(F.col("a_" + f) if m & BITS[f] else F.lit("")).alias(f) for f in EQ_FIELDS])
-              for m, L in kinds]
-    x = a.withColumn("_k", F.explode(F.array(*shapes))).select(*a.columns, "_k.*")
+    shapes_ = [F.struct(F.lit(m).alias("_m"), F.lit(L).alias("_L"),
+                        *[(F.col("a_" + f) if m & BITS[f] else F.lit("")).alias(f) for f in EQ_FIELDS])
+               for m, L in kinds]
+    x = a.withColumn("_k", F.explode(F.array(*shapes_))).select(*a.columns, "_k.*")
     county = F.when(F.col("_L") == 0, F.array(F.lit(""))).otherwise(grams(F.col("a_county"), F.col("_L")))
     return x.withColumn("county", F.explode(county))
 
 
-def _long_pairs(long_keys: DataFrame, authority: DataFrame, gram: int, rarest: bool) -> DataFrame:
+def _auth_grams(authority: DataFrame, n: int) -> DataFrame:
+    return _auth(authority).withColumn("gram", F.explode(grams(F.col("a_county"), n)))
+
+
+def _long_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int) -> DataFrame:
     """Pairs for probes whose county is at least ``gram`` long: join on one
     gram of the probe county (the rarest in the authority, so a gram shared
     by most rows is only used when every gram of the probe is that common),
-    with the wildcard equality tests and ``contains`` as join filters."""
+    with the wildcard equality tests and ``contains`` as join filters.
+
+    Within ``limit`` the long probe keys are broadcast into the
+    gram-exploded authority, which then streams through a hash join in its
+    scan partitions: no authority shuffle, and a hot gram costs pairs but
+    no skewed reducer.  Gram frequencies are only counted for grams some
+    probe holds (semi-join before the partial aggregate)."""
+    long_keys = sh.keys.filter(F.col("_L") == gram).drop("_m", "_L")
+    ag = _auth_grams(authority, gram)
     if rarest:
-        freq = _auth_grams(authority, gram).groupBy("gram").agg(F.count(F.lit(1)).alias("gram_n"))
-        pg = (long_keys.select("county").distinct()
-              .withColumn("gram", F.explode(grams(F.col("county"), gram)))
-              .join(freq, "gram", "left")
+        pcg = (long_keys.select("county").distinct()
+               .withColumn("gram", F.explode(grams(F.col("county"), gram))))
+        wanted = _bcast(pcg.select("gram").distinct(), sh.n_long_grams, limit)
+        freq = (ag.select("gram").join(wanted, "gram", "left_semi")
+                .groupBy("gram").agg(F.count(F.lit(1)).alias("gram_n")))
+        pg = (pcg.join(_bcast(freq, sh.n_long_grams, limit), "gram", "left")
               .groupBy("county")
               .agg(F.min_by("gram", F.struct(F.coalesce("gram_n", F.lit(0)), F.col("gram"))).alias("gram")))
         pk = long_keys.join(pg, "county")
     else:
         pk = long_keys.withColumn("gram", F.substring("county", 1, gram))
-    ag = _auth_grams(authority, gram).withColumnRenamed("gram", "a_gram")
+    ag = ag.withColumnRenamed("gram", "a_gram")
+    pk = _bcast(pk, sh.n_long, limit)
     cond = [pk.gram == ag.a_gram, F.contains(ag.a_county, pk.county)] + [
         (pk[f] == "") | (ag["a_" + f] == pk[f]) for f in EQ_FIELDS]
-    return pk.join(ag, reduce(lambda x, y: x & y, cond)).drop("gram", "a_gram")
+    return ag.join(pk, reduce(lambda x, y: x & y, cond)).drop("gram", "a_gram")
 
 
-def _auth_grams(authority: DataFrame, n: int) -> DataFrame:
-    return _auth(authority).withColumn("gram", F.explode(grams(F.col("a_county"), n)))
-
-
-def _shapes(probes: DataFrame, gram: int):
-    keys = _with_kind(probes.select(*PLACE_FIELDS).distinct(), gram)
-    kinds = _kinds(keys.drop("_m", "_L"), gram)
-    keyed = [(m, L) for m, L in kinds if L < gram]
-    has_long = any(L == gram for _, L in kinds)
-    return keys, keyed, has_long
-
-
-def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3,
-                         rarest_gram: bool = True) -> DataFrame:
+def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3, rarest_gram: bool = True,
+                         key_broadcast_rows: int = KEY_BROADCAST_ROWS, **_) -> DataFrame:
     """Every (probe, matching authority row) pair.
 
     Output: the probe columns plus ``a_irn_eluts, a_continent, a_country,
     a_state_province, a_county``.  Probes with no match or with every field
     blank give no pair (``match_counts`` is the left-outer view)."""
     probes = probes.select(*PROBE_COLS)
-    keys, keyed, has_long = _shapes(probes, gram)
+    sh = shapes(probes, gram)
     cols = list(PLACE_FIELDS) + ["a_" + c for c in AUTH_COLS]
     parts = []
-    if keyed:
-        parts.append(keys.join(_keyed_authority(authority, keyed), ["_m", "_L", *PLACE_FIELDS]).select(*cols))
-    if has_long:
-        parts.append(_long_pairs(keys.filter(F.col("_L") == gram).drop("_m", "_L"), authority, gram,
-                                 rarest_gram).select(*cols))
+    if sh.keyed:
+        kk = sh.keys.filter(F.col("_L") < gram)
+        parts.append(_keyed_authority(authority, sh.keyed)
+                     .join(_bcast(kk, sh.n_keyed, key_broadcast_rows), ["_m", "_L", *PLACE_FIELDS])
+                     .select(*cols))
+    if sh.has_long:
+        parts.append(_long_pairs(sh, authority, gram, rarest_gram, key_broadcast_rows).select(*cols))
     if not parts:
         return probes.join(_auth(authority), F.lit(False)).select("irn", *cols)
     pairs = reduce(DataFrame.unionByName, parts)
@@ -172,84 +224,86 @@ def _best_struct(score: Column) -> Column:
     return F.max_by(cand, F.struct(score, -F.col("a_irn_eluts")))
 
 
-def _key_stats(probes: DataFrame, authority: DataFrame, gram: int, rarest_gram: bool) -> DataFrame | None:
+def _key_stats(probes: DataFrame, authority: DataFrame, gram: int, rarest_gram: bool,
+               limit: int) -> tuple[DataFrame | None, int]:
     """Per distinct probe key: candidate count ``n`` and the best candidate
-    ``best`` (max score, ties to the smallest irn_eluts).
+    ``best`` (max score, ties to the smallest irn_eluts); and the number of
+    distinct probe keys, which bounds the rows of that table.
 
     Keyed shapes aggregate the authority on the join key before the join
     (the probe's place fields are the key, so the score is known there);
     long-county shapes aggregate their pairs, map-side first."""
-    keys, keyed, has_long = _shapes(probes, gram)
+    sh = shapes(probes, gram)
     parts = []
-    if keyed:
+    if sh.keyed:
         # keep only authority keys some probe carries before aggregating:
         # the expanded authority is mostly keys nobody asks for
-        kk = keys.filter(F.col("_L") < gram).select("_m", "_L", *PLACE_FIELDS)
-        agg = (_keyed_authority(authority, keyed)
-               .join(checked_broadcast(kk, KEY_BROADCAST_ROWS), ["_m", "_L", *PLACE_FIELDS], "left_semi")
+        kk = sh.keys.filter(F.col("_L") < gram).select("_m", "_L", *PLACE_FIELDS)
+        agg = (_keyed_authority(authority, sh.keyed)
+               .join(_bcast(kk, sh.n_keyed, limit), ["_m", "_L", *PLACE_FIELDS], "left_semi")
                .groupBy("_m", "_L", *PLACE_FIELDS)
                .agg(F.count(F.lit(1)).alias("n"), _best_struct(similarity_score()).alias("best")))
-        parts.append(keys.join(agg, ["_m", "_L", *PLACE_FIELDS]).select(*PLACE_FIELDS, "n", "best"))
-    if has_long:
-        pairs = _long_pairs(keys.filter(F.col("_L") == gram).drop("_m", "_L"), authority, gram, rarest_gram)
+        parts.append(agg.select(*PLACE_FIELDS, "n", "best"))
+    if sh.has_long:
+        pairs = _long_pairs(sh, authority, gram, rarest_gram, limit)
         parts.append(pairs.groupBy(*PLACE_FIELDS)
                      .agg(F.count(F.lit(1)).alias("n"), _best_struct(similarity_score()).alias("best")))
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    return (reduce(DataFrame.unionByName, parts) if parts else None), sh.n_keyed + sh.n_long
 
 
-def match_counts(probes: DataFrame, authority: DataFrame, gram: int = 3,
-                 rarest_gram: bool = True) -> DataFrame:
-    """One row per probe with ``num_authority_matches`` (0, never null)."""
+def _joined(probes: DataFrame, authority: DataFrame, how: str, kw: dict, cols=("n", "best")):
+    """Probes joined to their key stats (``how``), and the stats table (None
+    when no probe has a present field).  Within ``stats_broadcast_rows``
+    distinct keys the stats are broadcast, so the probe side keeps its
+    partitions; beyond it the join shuffles with AQE skew splitting."""
     probes = probes.select(*PROBE_COLS)
-    stats = _key_stats(probes, authority, gram, rarest_gram)
+    stats, n_keys = _key_stats(probes, authority, kw.get("gram", 3), kw.get("rarest_gram", True),
+                               kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS))
     if stats is None:
-        return probes.withColumn("num_authority_matches", F.lit(0).cast("bigint"))
-    return (probes.join(stats.select(*PLACE_FIELDS, "n"), list(PLACE_FIELDS), "left")
-            .select(*PROBE_COLS, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches")))
+        return probes, None
+    side = _bcast(stats.select(*PLACE_FIELDS, *cols), n_keys, kw.get("stats_broadcast_rows", STATS_BROADCAST_ROWS))
+    return probes.join(side, list(PLACE_FIELDS), how), stats
+
+
+def match_counts(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
+    """One row per probe with ``num_authority_matches`` (0, never null)."""
+    j, stats = _joined(probes, authority, "left", kw, cols=("n",))
+    if stats is None:
+        return j.withColumn("num_authority_matches", F.lit(0).cast("bigint"))
+    return j.select(*PROBE_COLS, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches"))
 
 
 def matched(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
     """Probes with at least one authority match (left semi form)."""
-    stats = _key_stats(probes.select(*PROBE_COLS), authority, kw.get("gram", 3), kw.get("rarest_gram", True))
-    if stats is None:
-        return probes.limit(0)
-    return probes.join(stats.select(*PLACE_FIELDS), list(PLACE_FIELDS), "left_semi")
+    j, stats = _joined(probes, authority, "left_semi", kw, cols=())
+    return j if stats is not None else j.limit(0)
 
 
 def unmatched(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
     """Probes with no authority match, all-blank probes included (left anti form)."""
-    stats = _key_stats(probes.select(*PROBE_COLS), authority, kw.get("gram", 3), kw.get("rarest_gram", True))
-    if stats is None:
-        return probes
-    return probes.join(stats.select(*PLACE_FIELDS), list(PLACE_FIELDS), "left_anti")
+    return _joined(probes, authority, "left_anti", kw, cols=())[0]
 
 
-def probe_stats(probes: DataFrame, authority: DataFrame, gram: int = 3,
-                rarest_gram: bool = True) -> DataFrame:
+def probe_stats(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
     """Left-outer view per probe: ``num_authority_matches`` and ``best``
     (struct of the nearest candidate, null when there is none), from one
     pass over the authority."""
-    probes = probes.select(*PROBE_COLS)
-    stats = _key_stats(probes, authority, gram, rarest_gram)
+    j, stats = _joined(probes, authority, "left", kw)
     if stats is None:
-        return probes.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
-                             F.lit(None).alias("best"))
-    return (probes.join(stats, list(PLACE_FIELDS), "left")
-            .select(*PROBE_COLS, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches"), "best"))
+        return j.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
+                        F.lit(None).alias("best"))
+    return j.select(*PROBE_COLS, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches"), "best")
 
 
-def nearest_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3,
-                       rarest_gram: bool = True, with_count: bool = False) -> DataFrame:
+def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool = False, **kw) -> DataFrame:
     """The nearest authority row of each matched probe under
     ``similarity_score``; probes without a match are left out.
 
     Output: probe columns + ``irn_eluts, a_continent, a_country,
     a_state_province, a_county, score`` (+ ``num_authority_matches``)."""
-    probes = probes.select(*PROBE_COLS)
-    stats = _key_stats(probes, authority, gram, rarest_gram)
+    out, stats = _joined(probes, authority, "inner", kw)
     if stats is None:
-        return probes.limit(0)
-    out = probes.join(stats, list(PLACE_FIELDS))
+        return out.limit(0)
     extra = [F.col("n").alias("num_authority_matches")] if with_count else []
     return out.select(*PROBE_COLS, F.col("best.irn_eluts").alias("irn_eluts"),
                       *[F.col("best." + f).alias("a_" + f) for f in PLACE_FIELDS],

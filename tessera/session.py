@@ -70,8 +70,19 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table as a lazy DataFrame.  The resolved relation (file
+    listing and footer schema) is remembered per session and path, so
+    queries that read the same table do not list it again; no data is
+    cached."""
+    path = f"{sf_dir}/{name}.parquet"
+    hit = _TABLES.get(path)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES[path] = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
@@ -103,7 +114,12 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
 
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     """Round-robin repartition before CPU-heavy narrow work, but only when
-    the input has fewer partitions than the cluster can run at once (a
-    single-row-group file); large inputs keep their scan splits untouched."""
+    the input is read from fewer files than the cluster has cores (every
+    file is at least one scan split; a small single file is exactly one).
+    Large inputs, stored as many files, keep their scan splits untouched.
+
+    The file count comes from the file index the reader already built, so
+    the check runs no job (``df.rdd.getNumPartitions()`` would execute the
+    input's shuffle and broadcast stages under AQE)."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(target) if len(df.inputFiles()) < target else df

@@ -76,3 +76,29 @@ def test_candidate_list_is_capped_but_count_exact(spark, golden_authority):
     assert r["num_authority_matches"] == 3
     assert r["candidates_truncated"] is True
     assert r["candidates"].count("irn_eluts") == 2
+
+
+def test_shuffle_fallbacks_equal_broadcast_plans(spark):
+    """Limits of 0 force every probe-key and stats join to shuffle; the
+    counts and nearest rows must not change."""
+    from tessera.plans import views
+    sf = "/root/testdata/sf0.001"
+    probes, auth = views.normalized(spark, sf), views.authority(spark, sf)
+    extra = spark.createDataFrame([(90002, "", "", "", "Customer#"), (90003, "ASIA", "", "", "r#00000001"),
+                                   (90004, "", "", "BUILDING", "1")], PROBE_SCHEMA)
+    p = probes.unionByName(extra)
+    want = _nested_loop_counts(p, auth)
+    small = dict(key_broadcast_rows=0, stats_broadcast_rows=0)
+    got = {r["irn"]: r["num_authority_matches"] for r in A.match_counts(p, auth, **small).collect()}
+    assert got == want
+    near = {r["irn"]: (r["irn_eluts"], r["score"]) for r in A.nearest_candidates(p, auth).collect()}
+    near_shuffled = {r["irn"]: (r["irn_eluts"], r["score"]) for r in A.nearest_candidates(p, auth, **small).collect()}
+    assert near == near_shuffled and set(near) == {k for k, v in want.items() if v}
+
+
+def test_shapes_counts_keys(spark):
+    p = spark.createDataFrame([(1, "ASIA", "", "", ""), (2, "ASIA", "", "", ""), (3, "", "", "", "ab"),
+                               (4, "", "", "", "abcd"), (5, "", "", "", "")], PROBE_SCHEMA)
+    sh = A.shapes(p, 3)
+    assert sh.keyed == [(1, 0), (8, 2)]
+    assert (sh.n_keyed, sh.n_long, sh.n_long_grams, sh.has_long) == (2, 1, 2, True)
