@@ -146,10 +146,11 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
                       (c_bucket if c_bucket is not None else F.lit(0)).alias("b"))
     if isinstance(c.schema["b"].dataType, T.ArrayType):
         c = c.withColumn("b", F.explode("b"))
-    # per-bucket sizes: one row per bucket (bounded by the bucket scheme)
-    qn = {r["b"]: r["n"] for r in q.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cn = {r["b"]: r["n"] for r in c.groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    both = {b: (qn[b], cn[b]) for b in qn if b in cn}
+    # per-bucket sizes of both sides in one job: one row per bucket (bounded
+    # by the bucket scheme, not by the data)
+    sizes = (q.select("b", F.lit(1).alias("_q")).unionByName(c.select("b", F.lit(0).alias("_q")))
+             .groupBy("b").agg(F.sum("_q").alias("nq"), F.sum(F.lit(1) - F.col("_q")).alias("nc")).collect())
+    both = {r["b"]: (r["nq"], r["nc"]) for r in sizes if r["nq"] and r["nc"]}
     if not both:
         return spark.createDataFrame([], "query_id long, rk int, chunk_id long, distance double, relevance double")
     min_groups = min_groups or 2 * spark.sparkContext.defaultParallelism

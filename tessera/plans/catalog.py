@@ -518,11 +518,49 @@ def q_knn_single(spark, sf):
     return out.withColumn("distance", F.round("distance", 6))
 
 
-@query("knn_bucketed")
+LSH_DIM, LSH_TABLES, LSH_BITS = 64, 3, 4
+
+
+def _lsh_sql() -> list[str]:
+    """The same sign buckets in SQL: the seeded hyperplanes as exact double
+    literals, each dot product a left fold in index order (bit-identical to
+    the Spark ``aggregate``), so the candidate sets agree exactly."""
+    planes = knn_ops.hyperplanes(LSH_DIM, LSH_TABLES * LSH_BITS)
+
+    def dot(p):
+        lit = "[" + ", ".join(format(float(x), ".17e") for x in p) + "]::DOUBLE[]"
+        return (f"list_reduce(list_transform(range(1, {LSH_DIM} + 1), lambda i: CAST(embedding[i] AS DOUBLE) * "
+                f"({lit})[i]), lambda x, y: x + y)")
+
+    bucket = [" + ".join(f"(CASE WHEN {dot(planes[t * LSH_BITS + j])} > 0 THEN {1 << j} ELSE 0 END)"
+                         for j in range(LSH_BITS)) for t in range(LSH_TABLES)]
+    ck = ", ".join(f"b{t} + {t << LSH_BITS}" for t in range(LSH_TABLES))
+    qk = ", ".join(f"xor(b{t}, {f}) + {t << LSH_BITS}" for t in range(LSH_TABLES)
+                   for f in [0] + [1 << j for j in range(LSH_BITS)])
+    return [
+        "lsh AS (SELECT vec_id, " + ", ".join(f"{b} AS b{t}" for t, b in enumerate(bucket)) + " FROM embeddings)",
+        f"ck AS (SELECT vec_id, unnest([{ck}]) AS key FROM lsh)",
+        f"qk AS (SELECT vec_id, unnest([{qk}]) AS key FROM lsh)",
+        """cand AS (SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS chunk_id
+  FROM qk q JOIN ck c ON q.key = c.key AND q.vec_id <> c.vec_id)""",
+        f"""knn AS (
+  SELECT * FROM (
+    SELECT query_id, chunk_id, distance,
+           row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rk
+    FROM (SELECT d.query_id, d.chunk_id, {_sq_sql('q.embedding', 'c.embedding')} AS distance
+          FROM cand d JOIN embeddings q ON q.vec_id = d.query_id JOIN embeddings c ON c.vec_id = d.chunk_id) s) r
+  WHERE rk <= 3)""",
+    ]
+
+
+@query("knn_bucketed", with_views(KNN_OUT_SQL, ctes=_lsh_sql()))
 def q_knn_bucketed(spark, sf):
     """Approximate top-3: 3 hash tables of 4 hyperplane bits, each probed at
-    its bucket and the 4 buckets one bit away, exact re-rank inside."""
-    e = knn_ops.with_lsh_keys(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding", 64)
+    its bucket and the 4 buckets one bit away, exact re-rank inside.  The
+    oracle rebuilds the same buckets, so it checks the exact top-3 within
+    the probed buckets (recall against brute force is a pytest)."""
+    e = knn_ops.with_lsh_keys(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding",
+                              LSH_DIM, tables=LSH_TABLES, bits=LSH_BITS)
     return _round_hits(knn_ops.knn_join(
         e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
         c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys")))
