@@ -195,6 +195,20 @@ def _long_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit
     return ag.join(pk, reduce(lambda x, y: x & y, cond)).drop("gram", "a_gram")
 
 
+def _key_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int) -> DataFrame | None:
+    """(distinct probe key, matching authority row) pairs: the probe's place
+    fields plus ``a_*`` columns.  A key shared by many probes appears once."""
+    cols = list(PLACE_FIELDS) + ["a_" + c for c in AUTH_COLS]
+    parts = []
+    if sh.keyed:
+        kk = sh.keys.filter(F.col("_L") < gram)
+        parts.append(_keyed_authority(authority, sh.keyed)
+                     .join(_bcast(kk, sh.n_keyed, limit), ["_m", "_L", *PLACE_FIELDS]).select(*cols))
+    if sh.has_long:
+        parts.append(_long_pairs(sh, authority, gram, rarest, limit).select(*cols))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3, rarest_gram: bool = True,
                          key_broadcast_rows: int = KEY_BROADCAST_ROWS, **_) -> DataFrame:
     """Every (probe, matching authority row) pair.
@@ -203,19 +217,9 @@ def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3,
     a_state_province, a_county``.  Probes with no match or with every field
     blank give no pair (``match_counts`` is the left-outer view)."""
     probes = probes.select(*PROBE_COLS)
-    sh = shapes(probes, gram)
-    cols = list(PLACE_FIELDS) + ["a_" + c for c in AUTH_COLS]
-    parts = []
-    if sh.keyed:
-        kk = sh.keys.filter(F.col("_L") < gram)
-        parts.append(_keyed_authority(authority, sh.keyed)
-                     .join(_bcast(kk, sh.n_keyed, key_broadcast_rows), ["_m", "_L", *PLACE_FIELDS])
-                     .select(*cols))
-    if sh.has_long:
-        parts.append(_long_pairs(sh, authority, gram, rarest_gram, key_broadcast_rows).select(*cols))
-    if not parts:
-        return probes.join(_auth(authority), F.lit(False)).select("irn", *cols)
-    pairs = reduce(DataFrame.unionByName, parts)
+    pairs = _key_pairs(shapes(probes, gram), authority, gram, rarest_gram, key_broadcast_rows)
+    if pairs is None:
+        return probes.join(_auth(authority), F.lit(False)).select(*PROBE_COLS, *["a_" + c for c in AUTH_COLS])
     return probes.join(pairs, list(PLACE_FIELDS)).select(*PROBE_COLS, *["a_" + c for c in AUTH_COLS])
 
 
@@ -224,7 +228,7 @@ def _best_struct(score: Column) -> Column:
     return F.max_by(cand, F.struct(score, -F.col("a_irn_eluts")))
 
 
-def _key_stats(probes: DataFrame, authority: DataFrame, gram: int, rarest_gram: bool,
+def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool,
                limit: int) -> tuple[DataFrame | None, int]:
     """Per distinct probe key: candidate count ``n`` and the best candidate
     ``best`` (max score, ties to the smallest irn_eluts); and the number of
@@ -233,7 +237,6 @@ def _key_stats(probes: DataFrame, authority: DataFrame, gram: int, rarest_gram:
     Keyed shapes aggregate the authority on the join key before the join
     (the probe's place fields are the key, so the score is known there);
     long-county shapes aggregate their pairs, map-side first."""
-    sh = shapes(probes, gram)
     parts = []
     if sh.keyed:
         # keep only authority keys some probe carries before aggregating:
@@ -257,7 +260,8 @@ def _joined(probes: DataFrame, authority: DataFrame, how: str, kw: dict, cols=("
     distinct keys the stats are broadcast, so the probe side keeps its
     partitions; beyond it the join shuffles with AQE skew splitting."""
     probes = probes.select(*PROBE_COLS)
-    stats, n_keys = _key_stats(probes, authority, kw.get("gram", 3), kw.get("rarest_gram", True),
+    gram = kw.get("gram", 3)
+    stats, n_keys = _key_stats(shapes(probes, gram), authority, gram, kw.get("rarest_gram", True),
                                kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS))
     if stats is None:
         return probes, None
@@ -310,24 +314,40 @@ def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool
                       F.col("best.score").alias("score"), *extra)
 
 
-def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, **kw) -> DataFrame:
+def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram: int = 3,
+                    rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS,
+                    stats_broadcast_rows: int = STATS_BROADCAST_ROWS) -> DataFrame:
     """Rendered candidate context per probe: the best ``cap`` candidates by
     score (then irn_eluts) as a JSON array, the exact total and a flag.
 
-    The per-probe limit runs as a window group limit, which is applied
-    before the shuffle as well, so a hot probe ships at most ``cap`` rows
-    per map partition.  The count is exact; only the rendered list is
-    bounded (it is prompt text)."""
-    pairs = authority_candidates(probes, authority, **kw).withColumn("score", F.round(similarity_score(), 6))
-    w = Window.partitionBy(*PROBE_COLS).orderBy(F.col("score").desc(), F.col("a_irn_eluts"))
+    The list depends only on the probe's place fields, so it is ranked and
+    rendered once per distinct probe key: the per-key limit runs as a window
+    group limit that is also applied before the shuffle, so a key matching a
+    third of the authority ships at most ``cap`` rows per map partition, and
+    probes sharing a key are never multiplied by its candidates.  Counts come
+    from the pre-aggregated key stats (exact); only the rendered list is
+    bounded (it is prompt text).  The per-key table (one row per distinct key)
+    is joined back to the probes, broadcast within ``stats_broadcast_rows``."""
+    probes = probes.select(*PROBE_COLS)
+    sh = shapes(probes, gram)
+    out_cols = [*PROBE_COLS, "num_authority_matches", "candidates", "candidates_truncated"]
+    pairs = _key_pairs(sh, authority, gram, rarest_gram, key_broadcast_rows)
+    if pairs is None:
+        return probes.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
+                             F.lit("[]").alias("candidates"), F.lit(False).alias("candidates_truncated"))
+    pairs = pairs.withColumn("score", F.round(similarity_score(), 6))
+    w = Window.partitionBy(*PLACE_FIELDS).orderBy(F.col("score").desc(), F.col("a_irn_eluts"))
     top = pairs.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= cap)
-    lists = (top.groupBy(*PROBE_COLS).agg(
+    lists = top.groupBy(*PLACE_FIELDS).agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(
             "rk", F.struct(F.col("a_irn_eluts").cast("string").alias("irn_eluts"),
                            *[F.col("a_" + f).alias(f) for f in PLACE_FIELDS])
-            .alias("c")))), lambda x: x["c"])).alias("candidates")))
-    counts = match_counts(probes, authority, **kw)
-    return (counts.join(lists, list(PROBE_COLS), "left")
-            .select(*PROBE_COLS, "num_authority_matches",
+            .alias("c")))), lambda x: x["c"])).alias("candidates"))
+    stats, n_keys = _key_stats(sh, authority, gram, rarest_gram, key_broadcast_rows)
+    per_key = stats.select(*PLACE_FIELDS, "n").join(lists, list(PLACE_FIELDS), "left")
+    n = F.coalesce("n", F.lit(0)).cast("bigint")
+    return (probes.join(_bcast(per_key, n_keys, stats_broadcast_rows), list(PLACE_FIELDS), "left")
+            .select(*PROBE_COLS, n.alias("num_authority_matches"),
                     F.coalesce("candidates", F.lit("[]")).alias("candidates"),
-                    (F.col("num_authority_matches") > cap).alias("candidates_truncated")))
+                    (n > cap).alias("candidates_truncated"))
+            .select(*out_cols))
