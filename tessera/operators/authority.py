@@ -113,7 +113,7 @@ def shapes(probes: DataFrame, gram: int = 3) -> Shapes:
     keys = _with_kind(probes.select(*PLACE_FIELDS).distinct(), gram)
     rows = (keys.groupBy("_m", "_L")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(F.when(F.col("_L") == gram, F.size(grams(F.col("county"), gram)))).alias("g"))
+                 F.sum(F.when(F.col("_L") == gram, F.length("county") - gram + 1)).alias("g"))
             .collect())
     rows = [r for r in rows if r["_m"]]
     short = [r for r in rows if r["_L"] < gram]
