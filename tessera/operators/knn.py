@@ -11,6 +11,12 @@ per-block winners.  Block sizes are bounded (``block_rows`` per side), so
 no task holds more than block_rows^2 distances whatever the data size, and
 a hot bucket is simply cut into more blocks.
 
+* small query side (at most ``broadcast_queries`` rows, checked with a
+            bounded count): the query vectors are broadcast and the corpus
+            streams once through ``mapInPandas`` in its own scan partitions;
+            every task keeps a running top-k per query, so neither side is
+            shuffled and only k rows per query leave a task (retrieval: few
+            questions, a huge chunk table);
 * exact:    one bucket for everything (brute force, blocked);
 * bucketed: random-hyperplane sign buckets (same seed on both sides), with
             optional multi-probe of the buckets one bit away; exact re-rank
@@ -32,8 +38,12 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.vectors import relevance
+from ..session import fits
 
 OUT_SCHEMA = "qid long, cid long, distance double"
+# Query sets up to this many rows are broadcast (64-dim doubles: 32 MB) and
+# the corpus is streamed; larger query sets use the blocked equi-key join.
+BROADCAST_QUERIES = 65_536
 
 
 def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
@@ -114,6 +124,37 @@ def _block_topk(k: int, metric: str, exclude_self: bool, margin: int = 8):
     return fn
 
 
+def _top_per_query(df: pd.DataFrame, k: int) -> pd.DataFrame:
+    """k smallest (distance, cid) rows per qid."""
+    df = df.sort_values(["qid", "distance", "cid"], kind="mergesort")
+    return df.groupby("qid", sort=False).head(k)
+
+
+def _stream_topk(qid: np.ndarray, Q: np.ndarray, k: int, metric: str, exclude_self: bool, block_rows: int):
+    """Per-partition running top-k of every broadcast query over the corpus
+    rows of the partition, in query x corpus blocks of ``block_rows``."""
+    block = _block_topk(k, metric, exclude_self)
+    q_blocks = [pd.DataFrame({"qid": qid[i:i + block_rows], "v": list(Q[i:i + block_rows])})
+                for i in range(0, len(qid), block_rows)]
+    keep = 4 * k * len(qid) + 65_536
+
+    def run(batches):
+        acc, n = [], 0
+        for pdf in batches:
+            for s in range(0, len(pdf), block_rows):
+                c = pdf.iloc[s:s + block_rows]
+                for qb in q_blocks:
+                    r = block(qb, c)
+                    acc.append(r)
+                    n += len(r)
+            if n > keep:
+                acc = [_top_per_query(pd.concat(acc, ignore_index=True), k)]
+                n = len(acc[0])
+        if acc:
+            yield _top_per_query(pd.concat(acc, ignore_index=True), k)
+    return run
+
+
 def _blocks(counts: dict, block_rows: int, min_groups: int) -> dict:
     """Blocks per side per bucket: ceil(n / block_rows), and enough corpus
     blocks that one bucket still spreads over ``min_groups`` tasks."""
@@ -128,7 +169,7 @@ def _blocks(counts: dict, block_rows: int, min_groups: int) -> dict:
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec: str, c_id: str, c_vec: str,
              metric: str = "sq_l2", exclude_self: bool = False, block_rows: int = 2048,
              q_bucket: Column | None = None, c_bucket: Column | None = None, q_probe: Column | None = None,
-             min_groups: int | None = None) -> DataFrame:
+             min_groups: int | None = None, broadcast_queries: int = BROADCAST_QUERIES) -> DataFrame:
     """Top-``k`` corpus rows per query: ``query_id, rk, chunk_id, distance,
     relevance`` (rk 1 = nearest; distance = squared L2, or 2 - 2 cos for
     ``metric='cosine_counts'`` on integer count vectors).
@@ -138,6 +179,8 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     hash table); ``q_probe`` (an array column) lets one query look in
     several buckets."""
     spark = queries.sparkSession
+    if q_bucket is None and c_bucket is None and q_probe is None and fits(queries, broadcast_queries):
+        return _knn_stream(queries, corpus, k, q_id, q_vec, c_id, c_vec, metric, exclude_self, block_rows)
     q = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("v"),
                        (q_probe if q_probe is not None else
                         F.array(q_bucket if q_bucket is not None else F.lit(0))).alias("bs"))
@@ -169,12 +212,38 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     # a query probing several buckets can meet the same corpus row twice
     if q_probe is not None:
         part = part.dropDuplicates(["qid", "cid"])
+    return _merge_top(part, k)
+
+
+def _merge_top(part: DataFrame, k: int) -> DataFrame:
+    """Merge per-block / per-task winners: a window group limit (partial
+    before the shuffle) keeps the k best (distance, cid) per query."""
     w = Window.partitionBy("qid").orderBy("distance", "cid")
     top = part.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
     return top.select(F.col("qid").alias("query_id"), "rk", F.col("cid").alias("chunk_id"), "distance",
                       relevance(F.col("distance")).alias("relevance"))
 
 
+def _knn_stream(queries: DataFrame, corpus: DataFrame, k: int, q_id: str, q_vec: str, c_id: str, c_vec: str,
+                metric: str, exclude_self: bool, block_rows: int) -> DataFrame:
+    """Broadcast-query plan: the (size-checked) query vectors are collected
+    once and shipped with the task closure (PySpark broadcasts a large
+    closure); the corpus is scanned once, unshuffled."""
+    rows = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("v")).collect()
+    if not rows:
+        return corpus.sparkSession.createDataFrame(
+            [], "query_id long, rk int, chunk_id long, distance double, relevance double")
+    qid = np.array([r["qid"] for r in rows], dtype=np.int64)
+    dtype = np.int64 if metric == "cosine_counts" else np.float64
+    Q = np.array([list(r["v"]) for r in rows], dtype=dtype)
+    # the corpus keeps its partitions (callers spread single-split inputs
+    # before their CPU-heavy steps; a second round-robin here would only
+    # shuffle the vectors again)
+    c = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).alias("v"))
+    part = c.mapInPandas(_stream_topk(qid, Q, k, metric, exclude_self, block_rows), OUT_SCHEMA)
+    return _merge_top(part, k)
+
+
 def knn_single(query_vec: Column, corpus: DataFrame, k: int, *, c_id: str, c_vec: str,
                distance: Column) -> DataFrame:
     """Top-k for one query: a distributed ``orderBy().limit()`` (each

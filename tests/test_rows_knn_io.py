@@ -45,12 +45,13 @@ def _brute(spark):
 def test_exact_knn_matches_brute_force_and_bucketed_recall(spark):
     truth = _brute(spark)
     e = table(spark, "/root/testdata/sf0.01", "embeddings").select("vec_id", "embedding")
-    exact = K.knn_join(e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding",
-                       exclude_self=True, block_rows=128)
-    got = {}
-    for r in exact.collect():
-        got.setdefault(r["query_id"], []).append((r["rk"], r["chunk_id"]))
-    assert {q: [c for _, c in sorted(v)] for q, v in got.items()} == truth
+    for bq in (0, K.BROADCAST_QUERIES):  # blocked equi-key join, then broadcast queries + streamed corpus
+        exact = K.knn_join(e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding",
+                           exclude_self=True, block_rows=128, broadcast_queries=bq)
+        got = {}
+        for r in exact.collect():
+            got.setdefault(r["query_id"], []).append((r["rk"], r["chunk_id"]))
+        assert {q: [c for _, c in sorted(v)] for q, v in got.items()} == truth
     x = K.with_lsh_keys(e, "embedding", 64, tables=3, bits=4)
     approx = K.knn_join(x, x, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding",
                         exclude_self=True, c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys"))
