@@ -6,7 +6,9 @@
 * ``replies``    - damaged model replies derived from ``events.props``
 
 The SQL strings are the same derivations for the DuckDB oracle; they are
-plain ANSI SQL with CTE names ``auth``, ``trans``, ``norm``, ``replies``.
+plain SQL with CTE names ``auth``, ``trans``, ``norm``, ``replies``.  ``auth``
+and ``norm`` are ``MATERIALIZED``: same rows, and it keeps DuckDB's parquet
+dictionary cache out of the nested-loop joins (an internal error at sf0.1).
 """
 
 from __future__ import annotations
@@ -73,7 +75,7 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("reply_id"), reply.alias("reply"))
 
 
-AUTH_SQL = """auth AS (
+AUTH_SQL = """auth AS MATERIALIZED (
   SELECT CAST(c_custkey AS BIGINT) AS irn_eluts, r_name AS continent, n_name AS country,
          c_mktsegment AS state_province, c_name AS county
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
@@ -86,7 +88,7 @@ TRANS_SQL = """trans AS (
     CASE WHEN s_suppkey % 2 = 0 THEN NULL ELSE lpad(CAST(s_suppkey % 100 AS VARCHAR), 2, '0') END AS dar_county
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
-NORM_SQL = """norm AS (
+NORM_SQL = """norm AS MATERIALIZED (
   SELECT irn,
     coalesce(nullif(nullif(dar_continent,'nan'),'none'),'') AS continent,
     coalesce(nullif(nullif(dar_country,'nan'),'none'),'') AS country,
