@@ -56,3 +56,32 @@ def test_char_census_counts_code_points(spark):
     df = spark.createDataFrame([("aé😀a",)], "text string")
     got = {r["code_point"]: r["n"] for r in X.char_census(df).collect()}
     assert got == {97: 2, 233: 1, 128512: 1}
+
+
+def test_recursive_chunks_cover_whole_documents(spark):
+    """Whole driver table: every chunk fits, sits at its offset, offsets never
+    go back, and whatever no chunk covers (between chunks, before the first,
+    after the last) is whitespace only - no text is lost."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.window import Window
+
+    from tessera.session import table
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "source", "text")
+    ch = C.recursive_chunks(docs, 300, 100)
+    j = ch.join(docs.select("doc_id", "text"), "doc_id")
+    w = Window.partitionBy("doc_id").orderBy("chunk_no")
+    end = F.col("start_index") + F.length("chunk")
+    x = j.withColumn("prev_end", F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))) \
+         .withColumn("prev_start", F.lag("start_index").over(w)) \
+         .withColumn("last", F.col("chunk_no") == F.max("chunk_no").over(Window.partitionBy("doc_id")))
+    gap = F.when(F.col("prev_end").isNull(), F.substring("text", 1, F.col("start_index"))) \
+        .otherwise(F.expr("substring(text, prev_end + 1, greatest(start_index - prev_end, 0))"))
+    tail = F.when(F.col("last"), F.expr("substring(text, start_index + length(chunk) + 1)")).otherwise(F.lit(""))
+    bad = x.filter((F.length("chunk") > 300)
+                   | (F.expr("substring(text, start_index + 1, length(chunk))") != F.col("chunk"))
+                   | (F.col("prev_start").isNotNull() & (F.col("start_index") < F.col("prev_start")))
+                   | (F.trim(gap, F.lit(" \t\r\n")) != "") | (F.trim(tail, F.lit(" \t\r\n")) != ""))
+    assert bad.count() == 0
+    # every document with visible text has chunks
+    covered = ch.select("doc_id").distinct().count()
+    assert covered == docs.filter(F.trim(F.col("text"), F.lit(" \t\r\n")) != "").count()
