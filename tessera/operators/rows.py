@@ -43,7 +43,9 @@ def row_numbers(df: DataFrame, order_cols, name: str = "row_no", stable: bool =
     bits), then add the row count of all earlier partitions.  The offset
     table has one row per partition, so broadcasting it is bounded by the
     partition count, not by the data.  ``stable=True`` checkpoints the
-    sorted table first so both uses read identical partitions."""
+    sorted table first so both uses read identical partitions.
+    ``order_cols`` should form a key (the callers number by the probe id):
+    rows tied on them share a range partition and have no defined order."""
     order_cols = list(order_cols)
     x = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
          .withColumn("_mid", F.monotonically_increasing_id()))
