@@ -51,7 +51,8 @@ def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
 
 
 def lsh_bucket(vec: Column, planes: np.ndarray) -> Column:
-    """Sign pattern of the vector against fixed hyperplanes, as an int."""
+    """Sign pattern of the vector against fixed hyperplanes, as an int
+    (Column expression; ``with_lsh_keys`` uses the batched form below)."""
     v = F.transform(vec, lambda x: x.cast("double"))
     terms = []
     for j, p in enumerate(planes):
@@ -64,6 +65,32 @@ def lsh_bucket(vec: Column, planes: np.ndarray) -> Column:
     return out
 
 
+def lsh_buckets(planes: np.ndarray, tables: int, bits: int):
+    """Arrow-batched sign buckets of every hash table: one numpy pass per
+    batch.  The dot products are a left fold in index order (vectorised over
+    rows and planes), the same sums as ``lsh_bucket`` and the SQL check, so
+    every sign bit is identical to theirs."""
+    P = np.asarray(planes, dtype=np.float64)
+    weights = (1 << np.arange(bits)).astype(np.int32)
+
+    @F.pandas_udf("array<int>")
+    def buckets(vecs: pd.Series) -> pd.Series:
+        ok = vecs.notna().to_numpy()
+        out = [None] * len(vecs)
+        if not ok.any():
+            return pd.Series(out, dtype=object)
+        V = np.stack(vecs[ok].to_numpy()).astype(np.float64)
+        acc = np.zeros((V.shape[0], P.shape[0]))
+        for i in range(P.shape[1]):
+            acc = acc + V[:, i:i + 1] * P[:, i]
+        b = ((acc > 0).reshape(V.shape[0], tables, bits) * weights).sum(2).astype(np.int32)
+        for j, i in enumerate(np.flatnonzero(ok)):
+            out[i] = b[j]
+        return pd.Series(out, dtype=object)
+
+    return buckets
+
+
 def with_lsh_keys(df: DataFrame, vec_col: str, dim: int, tables: int = 3, bits: int = 4,
                   seed: int = 7) -> DataFrame:
     """Add ``_ckeys`` (one bucket key per hash table, for the corpus side)
@@ -71,8 +98,7 @@ def with_lsh_keys(df: DataFrame, vec_col: str, dim: int, tables: int = 3, bits:
     away, for the query side).  Keys of different tables never collide:
     key = table * 2^bits + bucket."""
     planes = hyperplanes(dim, tables * bits, seed)
-    x = df.withColumn("_lsh", F.array(*[lsh_bucket(F.col(vec_col), planes[t * bits:(t + 1) * bits])
-                                        for t in range(tables)]))
+    x = df.withColumn("_lsh", lsh_buckets(planes, tables, bits)(F.col(vec_col)))
     ck = [F.col("_lsh")[t] + F.lit(t << bits) for t in range(tables)]
     qk = [(F.col("_lsh")[t].bitwiseXOR(F.lit(flip))) + F.lit(t << bits)
           for t in range(tables) for flip in [0] + [1 << j for j in range(bits)]]

@@ -81,3 +81,11 @@ def test_vector_table_versions_and_embedder_check(spark):
     with pytest.raises(ValueError):
         from tessera.sinks.files import open_vector_table
         open_vector_table(spark, root, "other", 64)
+
+
+def test_batched_lsh_buckets_equal_column_form(spark):
+    e = table(spark, "/root/testdata/sf0.01", "embeddings").select("vec_id", "embedding")
+    planes = K.hyperplanes(64, 12)
+    col_form = F.array(*[K.lsh_bucket(F.col("embedding"), planes[t * 4:(t + 1) * 4]) for t in range(3)])
+    x = e.select(col_form.alias("a"), K.lsh_buckets(planes, 3, 4)(F.col("embedding")).alias("b"))
+    assert x.filter(F.col("a") != F.col("b")).count() == 0
