@@ -258,8 +258,9 @@ def _joined(probes: DataFrame, authority: DataFrame, how: str, kw: dict, cols=("
     """Probes joined to their key stats (``how``), and the stats table (None
     when no probe has a present field).  Within ``stats_broadcast_rows``
     distinct keys the stats are broadcast, so the probe side keeps its
-    partitions; beyond it the join shuffles with AQE skew splitting."""
-    probes = probes.select(*PROBE_COLS)
+    partitions; beyond it the join shuffles with AQE skew splitting.
+    ``carry`` (in ``kw``) names extra probe columns kept through the join."""
+    probes = probes.select(*PROBE_COLS, *kw.get("carry", ()))
     gram = kw.get("gram", 3)
     stats, n_keys = _key_stats(shapes(probes, gram), authority, gram, kw.get("rarest_gram", True),
                                kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS))
@@ -291,12 +292,12 @@ def unmatched(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
 def probe_stats(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
     """Left-outer view per probe: ``num_authority_matches`` and ``best``
     (struct of the nearest candidate, null when there is none), from one
-    pass over the authority."""
+    pass over the authority.  ``carry=(...)`` keeps extra probe columns."""
     j, stats = _joined(probes, authority, "left", kw)
+    keep = [*PROBE_COLS, *kw.get("carry", ())]
     if stats is None:
-        return j.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
-                        F.lit(None).alias("best"))
-    return j.select(*PROBE_COLS, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches"), "best")
+        return j.select(*keep, F.lit(0).cast("bigint").alias("num_authority_matches"), F.lit(None).alias("best"))
+    return j.select(*keep, F.coalesce("n", F.lit(0)).cast("bigint").alias("num_authority_matches"), "best")
 
 
 def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool = False, **kw) -> DataFrame:

@@ -36,9 +36,7 @@ def degraded_probes(authority: DataFrame) -> DataFrame:
 
 
 def match_eval(authority: DataFrame, **kw) -> DataFrame:
-    probes = degraded_probes(authority)
-    stats = probe_stats(probes.drop("variant", "expected"), authority, **kw)
-    j = stats.join(probes.select("irn", "variant", "expected"), "irn")
+    j = probe_stats(degraded_probes(authority), authority, carry=("variant", "expected"), **kw)
     return j.groupBy("variant").agg(
         F.count(F.lit(1)).alias("n_probes"),
         F.count(F.when(F.col("best.irn_eluts") == F.col("expected"), 1)).alias("n_hit1"),
