@@ -11,8 +11,9 @@ per-block winners.  Block sizes are bounded (``block_rows`` per side), so
 no task holds more than block_rows^2 distances whatever the data size, and
 a hot bucket is simply cut into more blocks.
 
-* small query side (at most ``broadcast_queries`` rows, checked with a
-            bounded count): the query vectors are broadcast and the corpus
+* small query side (at most ``broadcast_queries`` rows and 64 MB of
+            vectors, checked with a bounded count): the query vectors are
+            broadcast and the corpus
             streams once through ``mapInPandas`` in its own scan partitions;
             every task keeps a running top-k per query, so neither side is
             shuffled and only k rows per query leave a task (retrieval: few
@@ -38,12 +39,22 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.vectors import relevance
-from ..session import fits
 
 OUT_SCHEMA = "qid long, cid long, distance double"
-# Query sets up to this many rows are broadcast (64-dim doubles: 32 MB) and
-# the corpus is streamed; larger query sets use the blocked equi-key join.
+# Query sets up to this many rows, and up to this many bytes of float64
+# vectors, are broadcast and the corpus is streamed; larger query sets use
+# the blocked equi-key join.
 BROADCAST_QUERIES = 65_536
+BROADCAST_QUERY_BYTES = 64 << 20
+
+
+def _small_query_side(queries: DataFrame, q_vec: str, max_rows: int, max_bytes: int) -> bool:
+    """Row count and widest vector of at most ``max_rows + 1`` rows (the
+    limit stops the scan early): the query side fits when both its rows and
+    its float64 matrix stay within the bounds."""
+    r = (queries.select(F.size(q_vec).alias("d")).limit(max_rows + 1)
+         .agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("d")).first())
+    return r["n"] <= max_rows and r["n"] * max(r["d"] or 0, 0) * 8 <= max_bytes
 
 
 def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
@@ -205,7 +216,8 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     hash table); ``q_probe`` (an array column) lets one query look in
     several buckets."""
     spark = queries.sparkSession
-    if q_bucket is None and c_bucket is None and q_probe is None and fits(queries, broadcast_queries):
+    if (q_bucket is None and c_bucket is None and q_probe is None
+            and _small_query_side(queries, q_vec, broadcast_queries, BROADCAST_QUERY_BYTES)):
         return _knn_stream(queries, corpus, k, q_id, q_vec, c_id, c_vec, metric, exclude_self, block_rows)
     q = queries.select(F.col(q_id).cast("long").alias("qid"), F.col(q_vec).alias("v"),
                        (q_probe if q_probe is not None else

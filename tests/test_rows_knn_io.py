@@ -89,3 +89,10 @@ def test_batched_lsh_buckets_equal_column_form(spark):
     col_form = F.array(*[K.lsh_bucket(F.col("embedding"), planes[t * 4:(t + 1) * 4]) for t in range(3)])
     x = e.select(col_form.alias("a"), K.lsh_buckets(planes, 3, 4)(F.col("embedding")).alias("b"))
     assert x.filter(F.col("a") != F.col("b")).count() == 0
+
+
+def test_query_side_bound_counts_bytes(spark):
+    wide = spark.createDataFrame([(i, [0.5] * 2048) for i in range(10)], "id long, v array<double>")
+    assert K._small_query_side(wide, "v", 100, 10 * 2048 * 8)
+    assert not K._small_query_side(wide, "v", 100, 10 * 2048 * 8 - 1)
+    assert not K._small_query_side(wide, "v", 9, 1 << 30)
