@@ -219,7 +219,10 @@ def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3,
     probes = probes.select(*PROBE_COLS)
     pairs = _key_pairs(shapes(probes, gram), authority, gram, rarest_gram, key_broadcast_rows)
     if pairs is None:
-        return probes.join(_auth(authority), F.lit(False)).select(*PROBE_COLS, *["a_" + c for c in AUTH_COLS])
+        # no probe has a present field: an empty result with the pair schema
+        a = authority.schema
+        return probes.select(*PROBE_COLS, *[F.lit(None).cast(a[c].dataType).alias("a_" + c)
+                                            for c in AUTH_COLS]).limit(0)
     return probes.join(pairs, list(PLACE_FIELDS)).select(*PROBE_COLS, *["a_" + c for c in AUTH_COLS])
 
 
