@@ -63,10 +63,6 @@ def mask_of(prefix: str = "") -> Column:
                   [F.when(F.col(prefix + f) != "", F.lit(BITS[f])).otherwise(F.lit(0)) for f in PLACE_FIELDS])
 
 
-def _fields(mask: int) -> list[str]:
-    return [f for f in PLACE_FIELDS if mask & BITS[f]]
-
-
 def grams(col: Column, n) -> Column:
     """Distinct character n-grams of ``col``; ``n`` may be a Column.  Strings
     shorter than n give none."""
