@@ -228,14 +228,21 @@ def _best_struct(score: Column) -> Column:
 
 
 def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool,
-               limit: int) -> tuple[DataFrame | None, int]:
+               limit: int, score: Column | None = None) -> tuple[DataFrame | None, int]:
     """Per distinct probe key: candidate count ``n`` and the best candidate
-    ``best`` (max score, ties to the smallest irn_eluts); and the number of
-    distinct probe keys, which bounds the rows of that table.
+    ``best`` (max ``score``, ties to the smallest irn_eluts); and the number
+    of distinct probe keys, which bounds the rows of that table.
+
+    ``score`` is the nearest-match rule: any Column over the probe's place
+    fields and the ``a_*`` authority columns (default ``similarity_score``).
+    On the keyed path the key columns are the probe's own fields (blank
+    fields are '', a short county is the gram it joined on), so a rule sees
+    the same values on both paths.
 
     Keyed shapes aggregate the authority on the join key before the join
     (the probe's place fields are the key, so the score is known there);
     long-county shapes aggregate their pairs, map-side first."""
+    score = similarity_score() if score is None else score
     parts = []
     if sh.keyed:
         # keep only authority keys some probe carries before aggregating:
@@ -244,12 +251,12 @@ def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool,
         agg = (_keyed_authority(authority, sh.keyed)
                .join(_bcast(kk, sh.n_keyed, limit), ["_m", "_L", *PLACE_FIELDS], "left_semi")
                .groupBy("_m", "_L", *PLACE_FIELDS)
-               .agg(F.count(F.lit(1)).alias("n"), _best_struct(similarity_score()).alias("best")))
+               .agg(F.count(F.lit(1)).alias("n"), _best_struct(score).alias("best")))
         parts.append(agg.select(*PLACE_FIELDS, "n", "best"))
     if sh.has_long:
         pairs = _long_pairs(sh, authority, gram, rarest_gram, limit)
         parts.append(pairs.groupBy(*PLACE_FIELDS)
-                     .agg(F.count(F.lit(1)).alias("n"), _best_struct(similarity_score()).alias("best")))
+                     .agg(F.count(F.lit(1)).alias("n"), _best_struct(score).alias("best")))
     return (reduce(DataFrame.unionByName, parts) if parts else None), sh.n_keyed + sh.n_long
 
 
@@ -258,11 +265,12 @@ def _joined(probes: DataFrame, authority: DataFrame, how: str, kw: dict, cols=("
     when no probe has a present field).  Within ``stats_broadcast_rows``
     distinct keys the stats are broadcast, so the probe side keeps its
     partitions; beyond it the join shuffles with AQE skew splitting.
-    ``carry`` (in ``kw``) names extra probe columns kept through the join."""
+    ``carry`` (in ``kw``) names extra probe columns kept through the join;
+    ``score`` (in ``kw``) replaces the nearest-match rule."""
     probes = probes.select(*PROBE_COLS, *kw.get("carry", ()))
     gram = kw.get("gram", 3)
     stats, n_keys = _key_stats(shapes(probes, gram), authority, gram, kw.get("rarest_gram", True),
-                               kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS))
+                               kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS), kw.get("score"))
     if stats is None:
         return probes, None
     side = _bcast(stats.select(*PLACE_FIELDS, *cols), n_keys, kw.get("stats_broadcast_rows", STATS_BROADCAST_ROWS))
@@ -316,7 +324,7 @@ def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool
 
 def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram: int = 3,
                     rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS,
-                    stats_broadcast_rows: int = STATS_BROADCAST_ROWS) -> DataFrame:
+                    stats_broadcast_rows: int = STATS_BROADCAST_ROWS, score: Column | None = None) -> DataFrame:
     """Rendered candidate context per probe: the best ``cap`` candidates by
     score (then irn_eluts) as a JSON array, the exact total and a flag.
 
@@ -335,7 +343,7 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram
     if pairs is None:
         return probes.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
                              F.lit("[]").alias("candidates"), F.lit(False).alias("candidates_truncated"))
-    pairs = pairs.withColumn("score", F.round(similarity_score(), 6))
+    pairs = pairs.withColumn("score", F.round(similarity_score() if score is None else score, 6))
     w = Window.partitionBy(*PLACE_FIELDS).orderBy(F.col("score").desc(), F.col("a_irn_eluts"))
     top = pairs.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= cap)
     lists = top.groupBy(*PLACE_FIELDS).agg(
@@ -343,7 +351,7 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram
             "rk", F.struct(F.col("a_irn_eluts").cast("string").alias("irn_eluts"),
                            *[F.col("a_" + f).alias(f) for f in PLACE_FIELDS])
             .alias("c")))), lambda x: x["c"])).alias("candidates"))
-    stats, n_keys = _key_stats(sh, authority, gram, rarest_gram, key_broadcast_rows)
+    stats, n_keys = _key_stats(sh, authority, gram, rarest_gram, key_broadcast_rows, score)
     per_key = stats.select(*PLACE_FIELDS, "n").join(lists, list(PLACE_FIELDS), "left")
     n = F.coalesce("n", F.lit(0)).cast("bigint")
     return (probes.join(_bcast(per_key, n_keys, stats_broadcast_rows), list(PLACE_FIELDS), "left")

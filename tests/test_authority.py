@@ -102,3 +102,16 @@ def test_shapes_counts_keys(spark):
     sh = A.shapes(p, 3)
     assert sh.keyed == [(1, 0), (8, 2)]
     assert (sh.n_keyed, sh.n_long, sh.n_long_grams, sh.has_long) == (2, 1, 2, True)
+
+
+def test_nearest_match_rule_is_pluggable(spark, golden_authority):
+    """A replacement rule (here: the largest irn_eluts wins) is applied on
+    both the keyed path (continent only) and the long-county path."""
+    probes = spark.createDataFrame([(1, "Asia", "", "", ""), (2, "", "", "", "ikita")], PROBE_SCHEMA)
+    rule = F.col("a_irn_eluts").cast("double")
+    got = {r["irn"]: r["irn_eluts"] for r in A.nearest_candidates(probes, golden_authority, score=rule).collect()}
+    assert got == {1: 1036733, 2: 372354}
+    lists = {r["irn"]: r["candidates"] for r in A.candidate_lists(probes, golden_authority, cap=1, score=rule).collect()}
+    assert '"1036733"' in lists[1] and '"372354"' in lists[2]
+    out = {r["irn"]: r["irn_eluts"] for r in rec.reconcile(probes, golden_authority, score=rule).collect()}
+    assert out == {"1": "1036733", "2": "372354"}
