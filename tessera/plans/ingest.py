@@ -13,12 +13,15 @@ EMBEDDER = "md5-bag"
 
 
 def build_vector_table(docs: DataFrame, root: str, size: int = 300, overlap: int = 100, dim: int = 64,
-                       recursive: bool = False) -> str:
+                       recursive: bool = False, embed=with_hashed_counts, embedder: str = EMBEDDER) -> str:
+    """Chunk, embed with ``embed(df, text_col, out_col, dim)`` and write a new
+    version of the vector table tagged ``{embedder}-{dim}``."""
     docs = spread(docs)
     chunks = recursive_chunks(docs, size, overlap) if recursive else fixed_chunks(docs, size, overlap)
-    vec = with_hashed_counts(chunks, "chunk", "embedding", dim)
-    return write_vector_table(vec, root, f"{EMBEDDER}-{dim}", dim)
+    vec = embed(chunks, "chunk", "embedding", dim)
+    return write_vector_table(vec, root, f"{embedder}-{dim}", dim)
 
 
-def open_vectors(spark: SparkSession, root: str, dim: int = 64) -> DataFrame:
-    return open_vector_table(spark, root, f"{EMBEDDER}-{dim}", dim)
+def open_vectors(spark: SparkSession, root: str, dim: int = 64, embedder: str = EMBEDDER) -> DataFrame:
+    """The current version; refused unless it was built by ``embedder``/``dim``."""
+    return open_vector_table(spark, root, f"{embedder}-{dim}", dim)

@@ -26,13 +26,15 @@ def _ordered(field: str, sep: str):
 
 
 def hits_for(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64,
-             q_id: str = "query_id", q_text: str = "text") -> DataFrame:
-    """Top-k chunk hits per question (cosine on hashed token counts) joined
-    back to the chunk text and source."""
-    qv = with_hashed_counts(questions.select(F.col(q_id).alias("query_id"), F.col(q_text).alias("text")),
-                            "text", "v", dim)
-    cv = with_hashed_counts(chunks.select("chunk_id", "chunk"), "chunk", "v", dim)
-    hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric="cosine_counts")
+             q_id: str = "query_id", q_text: str = "text", embed=with_hashed_counts,
+             metric: str = "cosine_counts") -> DataFrame:
+    """Top-k chunk hits per question joined back to the chunk text and
+    source.  ``embed(df, text_col, out_col, dim)`` is the embedder, applied to
+    both sides (default: hashed token counts, compared by cosine); an
+    embedder of float vectors pairs with ``metric='sq_l2'``."""
+    qv = embed(questions.select(F.col(q_id).alias("query_id"), F.col(q_text).alias("text")), "text", "v", dim)
+    cv = embed(chunks.select("chunk_id", "chunk"), "chunk", "v", dim)
+    hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric=metric)
     if fits(questions, BROADCAST_QUESTIONS):
         hits = F.broadcast(hits)
     return chunks.select("chunk_id", "chunk", "source").join(hits, "chunk_id")
@@ -48,11 +50,11 @@ def context_rows(hits: DataFrame) -> DataFrame:
 
 def retrieve(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64, min_relevance: float = 0.5,
              on_low: str = "flag", template: str = PROMPT_TEMPLATE, q_id: str = "query_id",
-             q_text: str = "text") -> DataFrame:
+             q_text: str = "text", embed=with_hashed_counts, metric: str = "cosine_counts") -> DataFrame:
     """One row per question: hit count, best relevance, low-confidence flag
     (or, with ``on_low='drop'``, only questions whose best hit passes),
     ordered context, ordered sources and the filled prompt."""
-    hits = hits_for(questions, chunks, k, dim, q_id, q_text)
+    hits = hits_for(questions, chunks, k, dim, q_id, q_text, embed, metric)
     if on_low == "drop":
         hits = threshold(hits, min_relevance, on_low="drop")
     ctx = context_rows(hits)

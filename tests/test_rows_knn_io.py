@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import knn as K
@@ -96,3 +97,32 @@ def test_query_side_bound_counts_bytes(spark):
     assert K._small_query_side(wide, "v", 100, 10 * 2048 * 8)
     assert not K._small_query_side(wide, "v", 100, 10 * 2048 * 8 - 1)
     assert not K._small_query_side(wide, "v", 9, 1 << 30)
+
+
+def test_pluggable_embedder_for_retrieval_and_vector_table(spark):
+    """A replacement embedder (unit-length doubles of the hashed counts,
+    compared by squared L2) is used on both sides; on unit vectors it ranks
+    like the default cosine, and the vector table records its id."""
+    from tessera.functions import vectors as V
+    from tessera.operators.chunking import fixed_chunks
+    from tessera.plans import ingest, retrieve as R
+
+    def unit_embed(df, text_col, out_col, dim):
+        return V.with_hashed_counts(df, text_col, "_c", dim).withColumn(out_col, V.normalized("_c")).drop("_c")
+
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "source", "text")
+    qs = table(spark, "/root/testdata/sf0.001", "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    ch = fixed_chunks(docs, 300, 100)
+    a = {r["query_id"]: (r["chunk_id"], r["distance"]) for r in R.hits_for(qs, ch).filter("rk = 1").collect()}
+    b = {r["query_id"]: (r["chunk_id"], r["distance"])
+         for r in R.hits_for(qs, ch, embed=unit_embed, metric="sq_l2").filter("rk = 1").collect()}
+    assert set(a) == set(b)
+    for q in a:
+        assert abs(a[q][1] - b[q][1]) < 1e-9
+    same = sum(a[q][0] == b[q][0] for q in a) / len(a)
+    assert same >= 0.9, same
+    root = new_scratch_path(spark, "vt-embed")
+    ingest.build_vector_table(docs, root, embed=unit_embed, embedder="unit-md5")
+    assert ingest.open_vectors(spark, root, embedder="unit-md5").count() == ch.count()
+    with pytest.raises(ValueError):
+        ingest.open_vectors(spark, root)
