@@ -56,3 +56,41 @@ def test_chat_reply_round_trip(spark):
     r = Q.reply_table(Q.chat_reply_docs(conv)).first()
     assert (r["content"], r["role"], r["completion_tokens"], r["prompt_tokens"], r["total_tokens"]) == \
         ("x y", "assistant", 2, 3, 5)
+
+
+def test_strict_json_check_matches_python_on_damaged_replies(spark):
+    """Randomly damaged JSON (truncation, stray brackets, single quotes,
+    trailing commas, bare words, NaN, doubled values): the Column check
+    agrees with Python's strict parser (NaN rejected) on every string."""
+    import json
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tessera.functions import replies as R
+
+    rnd = random.Random(5)
+    base = ['{"a":1}', '{"a":[1,2,{"b":"x"}]}', '{"s":"q\\"uote"}', '{"a":null,"b":true}', '{"a":1.5e3}', '{ }',
+            '{"a":{"b":{}}}', '{"k": "v", "n": [ ]}']
+    ops = [lambda s: s, lambda s: s[:-1], lambda s: s + "}", lambda s: s.replace('"', "'"),
+           lambda s: s.replace("}", ",}", 1), lambda s: s + ",{}", lambda s: "[" + s, lambda s: s + "]",
+           lambda s: s.replace(":", "", 1), lambda s: " " + s + " \n", lambda s: s.replace("1", "NaN", 1),
+           lambda s: s + "],[" + s, lambda s: s.replace('"a"', "a", 1), lambda s: s.replace("true", "True"),
+           lambda s: s[:len(s) // 2] + s, lambda s: s.replace("{", "{{", 1), lambda s: s + s]
+    cases = set()
+    for _ in range(1500):
+        s = rnd.choice(base)
+        for _ in range(rnd.randint(1, 2)):
+            s = rnd.choice(ops)(s)
+        cases.add(s)
+
+    def strict(s):
+        try:
+            json.loads(s, parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
+            return True
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(s,) for s in sorted(cases)], "s string")
+    got = {r["s"]: r["v"] for r in df.select("s", R.is_json(F.col("s")).alias("v")).collect()}
+    assert {s: got[s] for s in cases} == {s: strict(s) for s in cases}
