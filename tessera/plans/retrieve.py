@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import CONTEXT_SEPARATOR, PROMPT_TEMPLATE, fill_template
 from ..functions.vectors import with_hashed_counts
-from ..operators.knn import knn_join, threshold
+from ..operators.knn import knn_join, threshold, with_lsh_keys
 from ..session import fits
 
 # Questions up to this count make a hit table (questions x k rows) small
@@ -27,14 +27,25 @@ def _ordered(field: str, sep: str):
 
 def hits_for(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64,
              q_id: str = "query_id", q_text: str = "text", embed=with_hashed_counts,
-             metric: str = "cosine_counts") -> DataFrame:
+             metric: str = "cosine_counts", lsh: tuple[int, int] | None = None) -> DataFrame:
     """Top-k chunk hits per question joined back to the chunk text and
     source.  ``embed(df, text_col, out_col, dim)`` is the embedder, applied to
     both sides (default: hashed token counts, compared by cosine); an
-    embedder of float vectors pairs with ``metric='sq_l2'``."""
+    embedder of float vectors pairs with ``metric='sq_l2'``.
+
+    ``lsh=(tables, bits)`` searches approximately, as the original vector
+    store does: both sides get hyperplane sign buckets (one per table, the
+    query also probing the buckets one bit away) and only bucket mates are
+    compared, exactly.  Signs do not change under positive scaling, so the
+    raw counts bucket like their cosine."""
     qv = embed(questions.select(F.col(q_id).alias("query_id"), F.col(q_text).alias("text")), "text", "v", dim)
     cv = embed(chunks.select("chunk_id", "chunk"), "chunk", "v", dim)
-    hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric=metric)
+    kw = {}
+    if lsh is not None:
+        tables, bits = lsh
+        qv, cv = with_lsh_keys(qv, "v", dim, tables, bits), with_lsh_keys(cv, "v", dim, tables, bits)
+        kw = dict(c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys"))
+    hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric=metric, **kw)
     if fits(questions, BROADCAST_QUESTIONS):
         hits = F.broadcast(hits)
     return chunks.select("chunk_id", "chunk", "source").join(hits, "chunk_id")
@@ -50,11 +61,12 @@ def context_rows(hits: DataFrame) -> DataFrame:
 
 def retrieve(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64, min_relevance: float = 0.5,
              on_low: str = "flag", template: str = PROMPT_TEMPLATE, q_id: str = "query_id",
-             q_text: str = "text", embed=with_hashed_counts, metric: str = "cosine_counts") -> DataFrame:
+             q_text: str = "text", embed=with_hashed_counts, metric: str = "cosine_counts",
+             lsh: tuple[int, int] | None = None) -> DataFrame:
     """One row per question: hit count, best relevance, low-confidence flag
     (or, with ``on_low='drop'``, only questions whose best hit passes),
     ordered context, ordered sources and the filled prompt."""
-    hits = hits_for(questions, chunks, k, dim, q_id, q_text, embed, metric)
+    hits = hits_for(questions, chunks, k, dim, q_id, q_text, embed, metric, lsh)
     if on_low == "drop":
         hits = threshold(hits, min_relevance, on_low="drop")
     ctx = context_rows(hits)

@@ -126,3 +126,22 @@ def test_pluggable_embedder_for_retrieval_and_vector_table(spark):
     assert ingest.open_vectors(spark, root, embedder="unit-md5").count() == ch.count()
     with pytest.raises(ValueError):
         ingest.open_vectors(spark, root)
+
+
+def test_bucketed_retrieval_recall_against_exact(spark):
+    """Approximate retrieval (LSH buckets on the count vectors) returns hits
+    whose distances are exact, and finds most of the exact top-3."""
+    from tessera.operators.chunking import fixed_chunks
+    from tessera.plans import retrieve as R
+
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    qs = table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    ch = fixed_chunks(docs, 300, 100)
+    exact = {(r["query_id"], r["chunk_id"]): r["distance"] for r in R.hits_for(qs, ch).collect()}
+    approx = {(r["query_id"], r["chunk_id"]): r["distance"] for r in R.hits_for(qs, ch, lsh=(3, 4)).collect()}
+    assert approx and {q for q, _ in approx} <= {q for q, _ in exact}
+    recall = len(set(approx) & set(exact)) / len(exact)
+    assert recall >= 0.5, recall
+    for key in set(approx) & set(exact):
+        assert abs(approx[key] - exact[key]) < 1e-12
