@@ -81,3 +81,26 @@ def test_random_wildcard_join_equals_brute_force(spark, seed, limits):
         assert [int(c["irn_eluts"]) for c in json.loads(r["candidates"])] == [i for _, i in ranked[:4]]
     pairs = A.authority_candidates(p, a, **limits).groupBy("irn").count().collect()
     assert {r[0]: r[1] for r in pairs} == {k: v[0] for k, v in want.items() if v[0]}
+
+
+def test_random_reconcile_rows_equal_brute_force(spark):
+    """The composite job: nearest authority row (or the input values put
+    back), count and status per probe, against the brute force."""
+    from tessera.plans import reconcile as rec
+
+    probes, auth = _data(7)
+    want = _brute(probes, auth)
+    by_id = {a[0]: a for a in auth}
+    p = spark.createDataFrame(probes, PROBE_SCHEMA)
+    a = spark.createDataFrame(auth, AUTH_SCHEMA)
+    got = {r["irn"]: r for r in rec.reconcile(p, a).collect()}
+    for irn, *pf in probes:
+        n, best, _ = want[irn]
+        r = got[str(irn)]
+        assert r["num_authority_matches"] == n
+        if best is None:
+            assert (r["error"], r["irn_eluts"], r["error_output"]) == (rec.STATUS_NO_ANSWER, "none", "{}")
+            assert [r[f] for f in ("continent", "country", "state_province", "county")] == pf
+        else:
+            assert (r["error"], r["irn_eluts"], r["error_output"]) == (rec.STATUS_OK, str(best), "NA")
+            assert [r[f] for f in ("continent", "country", "state_province", "county")] == list(by_id[best][1:])
