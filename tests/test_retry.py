@@ -7,8 +7,9 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 
 def test_results_survive_lost_tasks():
     """Tasks that fail on their first attempt are re-run by Spark; the
-    reconcile snapshot (range partitions, per-partition ids) and the
-    streamed kNN give the same rows as a run without failures."""
+    reconcile snapshot (range partitions, per-partition ids), the streamed
+    kNN and retrieval (chunks, hashed embedding, context) give the same rows
+    as a run without failures."""
     out = subprocess.run([sys.executable, os.path.join(HERE, "scripts", "retry_run.py")],
                          capture_output=True, text=True, timeout=900)
     assert "RETRY_SAME" in out.stdout, out.stdout[-2000:] + out.stderr[-3000:]
