@@ -61,3 +61,16 @@ def test_batch_writes_and_first_rows(spark):
     assert [r[0] for r in first_rows(df, ["irn"], 3).collect()] == [0, 1, 2]
     assert first_rows(df, ["irn"], None).count() == 45
     assert sinks.stamped_path("out", "proj", "2024-05-18T06-53-26", 20) == "out/proj_2024-05-18T06-53-26-20.csv"
+
+
+def test_spread_only_touches_inputs_with_fewer_files_than_cores(spark):
+    from tessera.session import spread
+    target = spark.sparkContext.defaultParallelism
+    many = new_scratch_path(spark, "many-files")
+    spark.range(0, 1000, numPartitions=target + 2).write.parquet(many)
+    df = spark.read.parquet(many)
+    assert spread(df) is df                      # enough scan splits: untouched
+    one = new_scratch_path(spark, "one-file")
+    spark.range(0, 1000, numPartitions=1).write.parquet(one)
+    small = spark.read.parquet(one)
+    assert spread(small).rdd.getNumPartitions() == target
