@@ -3,15 +3,24 @@ express them.  Each query applies its operator to the whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, exact_dedup, url_rules
+from tessera.llm import chat, exact_dedup, packing, pieces, url_rules
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1(spark, d):
+    return pieces.digests(read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op2(spark, d):
+    return packing.pack(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
+
+
 def op4(spark, d):
     rows = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], rows.schema)
@@ -26,5 +35,5 @@ def op10(spark, d):
     return exact_dedup.duplicates(read(spark, d, "documents"))
 
 
-QUERIES = {"op4_chat_format": op4, "op8_url_rules": op8, "op10_exact_dedup": op10}
+QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op4_chat_format": op4, "op8_url_rules": op8, "op10_exact_dedup": op10}
 ORACLE = {"op4_chat_format": chat.SQL, "op8_url_rules": url_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
