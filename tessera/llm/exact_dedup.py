@@ -39,7 +39,8 @@ def frequent_digests(digests: DataFrame) -> DataFrame:
     two steps (so no single task receives a summary of every input task)."""
     local = digests.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {COUNTERS})").alias("s"))
-    merged = local.agg(F.expr(f"approx_top_k_combine(s, {COUNTERS})").alias("s"))
+    # grouped by a constant: an ungrouped merge fails on empty partitions
+    merged = local.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(s, {COUNTERS})").alias("s"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(s, {HEAVY_LIMIT})")).alias("e"))
     return top.select(F.col("e.item").alias("text_sha256"))
 
