@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import chat, exact_dedup, packing, pieces, url_rules
+from tessera.llm import chat, exact_dedup, langid, packing, pieces, secret_scan, url_rules
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2(spark, d):
     return packing.pack(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json")).drop("ids")
 
 
+def op3(spark, d):
+    return secret_scan.digests(read(spark, d, "documents"))
+
+
 def op4(spark, d):
     rows = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], rows.schema)
@@ -31,9 +35,14 @@ def op8(spark, d):
     return url_rules.judge(read(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9(spark, d):
+    return langid.languages(read(spark, d, "documents"))
+
+
 def op10(spark, d):
     return exact_dedup.duplicates(read(spark, d, "documents"))
 
 
-QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op4_chat_format": op4, "op8_url_rules": op8, "op10_exact_dedup": op10}
+QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op3_secret_scan": op3, "op4_chat_format": op4, "op8_url_rules": op8,
+           "op9_language_id": op9, "op10_exact_dedup": op10}
 ORACLE = {"op4_chat_format": chat.SQL, "op8_url_rules": url_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
