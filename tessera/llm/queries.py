@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import chat, exact_dedup, langid, packing, pieces, secret_scan, url_rules
+from tessera.llm import ann, chat, exact_dedup, langid, packing, pieces, secret_scan, simhash, suffix_dedup, url_rules
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,18 @@ def op4(spark, d):
     return chat.digests(rows.unionByName(probe))
 
 
+def op5(spark, d):
+    return suffix_dedup.digests(read(spark, d, "documents"))
+
+
+def op6(spark, d):
+    return ann.nearest(read(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7(spark, d):
+    return simhash.near_duplicates(read(spark, d, "documents"))
+
+
 def op8(spark, d):
     return url_rules.judge(read(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -43,6 +56,7 @@ def op10(spark, d):
     return exact_dedup.duplicates(read(spark, d, "documents"))
 
 
-QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op3_secret_scan": op3, "op4_chat_format": op4, "op8_url_rules": op8,
+QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op3_secret_scan": op3, "op4_chat_format": op4, "op5_suffix_dedup": op5, "op6_stable_projection": op6,
+           "op7_simhash_cover": op7, "op8_url_rules": op8,
            "op9_language_id": op9, "op10_exact_dedup": op10}
 ORACLE = {"op4_chat_format": chat.SQL, "op8_url_rules": url_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
