@@ -35,8 +35,9 @@ from tessera.llm.common import materialize, pick
 WINDOW = 2048
 END_ID = 1
 SPECIAL = "<|endoftext|>"  # a text that holds it is encoded whole by the library
-BLOCK_BYTES = 12 << 20  # text tokenized together
-CACHE_WORDS = 500_000  # distinct chunks a worker remembers (about 100 MB)
+BLOCK_BYTES = 8 << 20  # text tokenized together
+CACHE_WORDS = 250_000  # distinct chunks a worker remembers (about 50 MB)
+CUT_ROWS = 1000  # documents cut together in pass 2
 # Fixed value: the split pattern of byte-level BPE tokenizers of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Chunks of these characters only go to the faster encoder; the library itself
@@ -72,6 +73,11 @@ def _ranked(path: str):
     return tiktoken.Encoding("chunks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
 
+@cache
+def id_type(path: str) -> str:
+    return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 @cache
 def _known(path: str) -> dict[str, bytes]:
     return {}
@@ -82,9 +88,9 @@ def _raw_chunks(text: str) -> list[str]:
 
 
 def _encode(words: list[str], path: str) -> list[bytes]:
-    """uint32 ids of each distinct chunk; chunks seen lately in this worker
+    """Ids (little-endian, ``id_type`` wide) of each distinct chunk; chunks seen lately in this worker
     are not segmented again."""
-    known = _known(path)
+    known, kind = _known(path), id_type(path)
     fresh = [w for w in words if w not in known]
     if len(known) + len(fresh) > CACHE_WORDS:
         known.clear()
@@ -93,13 +99,13 @@ def _encode(words: list[str], path: str) -> list[bytes]:
     for w in fresh:
         c = chunk_text(w)
         if fast is not None and SPECIAL not in c and LATIN.fullmatch(c):
-            known[w] = np.array(fast.encode_ordinary(c), "<u4").tobytes()
+            known[w] = np.array(fast.encode_ordinary(c), kind).tobytes()
         else:
             rest.append((w, c))
     for at in range(0, len(rest), 10_000):
         some = rest[at:at + 10_000]
         for (w, _), e in zip(some, _tokenizer(path).encode_batch_fast([c for _, c in some], add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
+            known[w] = np.array(e.ids, kind).tobytes()
     return [known[w] for w in words]
 
 
@@ -107,9 +113,10 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after another, ids per text) without end ids."""
     words = cut(texts, ODD, True, _raw_chunks)
     ids = _encode(words.distinct.to_pylist(), path)
-    lengths = np.array([len(b) // 4 for b in ids], np.int64)
+    width = np.dtype(id_type(path)).itemsize
+    lengths = np.array([len(b) // width for b in ids], np.int64)
     starts = np.cumsum(lengths) - lengths
-    flat = gather(np.frombuffer(b"".join(ids), "<u4"), starts, lengths, words.codes)
+    flat = gather(np.frombuffer(b"".join(ids), id_type(path)), starts, lengths, words.codes)
     per_word = lengths[words.codes]
     before = np.concatenate([[0], np.cumsum(per_word)])
     return flat, before[words.ends] - before[words.starts]
@@ -123,12 +130,12 @@ def _tokenized(path: str, end_id: int):
                 flat, counts = token_ids(b.column(1).cast(pa.large_string()).fill_null(""), path)
                 n = counts + 1
                 ends = np.cumsum(n)
-                out = np.full(int(ends[-1]), end_id, "<u4")
+                out = np.full(int(ends[-1]), end_id, flat.dtype)
                 mask = np.ones(len(out), bool)
                 mask[ends - 1] = False
                 out[mask] = flat
                 ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b.num_rows, [
-                    None, pa.py_buffer(np.concatenate([[0], ends * 4]).astype(np.int64)), pa.py_buffer(out)])
+                    None, pa.py_buffer(np.concatenate([[0], ends * out.itemsize]).astype(np.int64)), pa.py_buffer(out)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(np.full(b.num_rows, part, np.int32)), pa.array(seen + ends - n), pa.array(n), ids.cast(pa.binary())],
                     ["doc_id", "part", "before", "n", "ids"])
@@ -137,7 +144,8 @@ def _tokenized(path: str, end_id: int):
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """Pass 1, written once: doc_id, part, before, n, ids (uint32, little-endian)."""
+    """Pass 1, written once: doc_id, part, before, n, ids (little-endian, as
+    wide as the vocabulary needs)."""
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     t = d.mapInArrow(_tokenized(path, end_id), "doc_id long, part int, before long, n long, ids binary")
     return materialize(t, "token-ids")
@@ -151,11 +159,11 @@ def partition_offsets(tokens: DataFrame) -> DataFrame:
     return totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
 
 
-def _cutter(window: int):
+def _cutter(window: int, kind: str):
     cols = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids_crc32", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (batch.slice(at, CUT_ROWS) for batch in batches for at in range(0, batch.num_rows, CUT_ROWS)):
             first = np.asarray(b.column(1)) + np.asarray(b.column(4))  # before + offset of the partition
             n = np.asarray(b.column(2))
             pieces = (first + n - 1) // window - first // window + 1
@@ -164,8 +172,8 @@ def _cutter(window: int):
             lo = np.maximum(seq * window, first[row])
             hi = np.minimum((seq + 1) * window, first[row] + n[row])
             start = lo - first[row]
-            raw, ids = [memoryview(x.as_buffer()) for x in b.column(3)], []
-            ids = [raw[r][4 * s:4 * (s + k)] for r, s, k in zip(row.tolist(), start.tolist(), (hi - lo).tolist(), strict=True)]
+            doc = [np.frombuffer(x.as_buffer(), kind) for x in b.column(3)]
+            ids = [doc[r][s:s + k].astype("<u4").tobytes() for r, s, k in zip(row.tolist(), start.tolist(), (hi - lo).tolist(), strict=True)]
             arrays = [b.column(0).take(pa.array(row)), pa.array(start), pa.array(hi - lo), pa.array(n[row]), pa.array(seq), pa.array(lo - seq * window),
                       pa.array([crc32(x) for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, cols)
@@ -178,4 +186,4 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
     tokens = tokenize(docs, path, end_id)
     offsets = partition_offsets(tokens)
     placed = tokens.join(F.broadcast(offsets), "part").select("doc_id", "before", "n", "ids", "offset")
-    return placed.mapInArrow(_cutter(window), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary")
+    return placed.mapInArrow(_cutter(window, id_type(path)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary")
