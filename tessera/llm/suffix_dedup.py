@@ -45,8 +45,8 @@ from tessera.llm.common import materialize, pick
 
 LENGTH, SAMPLE = 400, 64
 BANDS = (64, 8, 1)
-BLOCK_BYTES = 6 << 20
-SEGMENT = 1 << 21  # window starts whose families are found together
+BLOCK_BYTES = 2 << 20
+SEGMENT = 1 << 18  # window starts whose families are found together
 BROADCAST_BYTES = 32 << 20  # marks of all blocks sent to every executor at most
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
@@ -70,7 +70,7 @@ class Names:
     """Fingerprints of the substrings of one buffer."""
 
     def __init__(self, data: np.ndarray):
-        size = 1 << max(22, int(len(data)).bit_length())
+        size = 1 << max(21, int(len(data)).bit_length())
         power, self.inverse = _powers(size)
         self.sums = np.zeros(len(data) + 1, U)
         np.cumsum(BYTE_VALUE[data] * power[:len(data)], out=self.sums[1:])
