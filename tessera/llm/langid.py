@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import pick, positional
+from tessera.llm.common import pick, positional, released
 
 GRAMS = 3
 # Bounds of the fit, per language: sampled texts, landmarks among them, and
@@ -149,7 +149,7 @@ def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str =
     """``docs`` with the predicted language and its score (0 to 1)."""
     rows = positional(docs)
     schema = T.StructType([*rows.schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())])
-    return rows.mapInArrow(_predict(model, docs.columns.index("text")), schema).toDF(*docs.columns, lang, score)
+    return rows.mapInArrow(released(_predict(model, docs.columns.index("text"))), schema).toDF(*docs.columns, lang, score)
 
 
 def languages(docs: DataFrame) -> DataFrame:

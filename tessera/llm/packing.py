@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import RAW, blocks, chunk_text, cut, gather
-from tessera.llm.common import materialize, pick
+from tessera.llm.common import materialize, pick, released
 
 WINDOW = 2048
 END_ID = 1
 SPECIAL = "<|endoftext|>"  # a text that holds it is encoded whole by the library
 BLOCK_BYTES = 8 << 20  # text tokenized together
-CACHE_WORDS = 250_000  # distinct chunks a worker remembers (about 50 MB)
+CACHE_WORDS = 250_000  # distinct chunks a task remembers (about 50 MB)
 CUT_ROWS = 1000  # documents cut together in pass 2
 # Fixed value: the split pattern of byte-level BPE tokenizers of this kind.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -78,19 +78,14 @@ def id_type(path: str) -> str:
     return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-@cache
-def _known(path: str) -> dict[str, bytes]:
-    return {}
-
-
 def _raw_chunks(text: str) -> list[str]:
     return [RAW + text] if SPECIAL in text else [RAW + c for c in SAFE_CUT.split(text)]
 
 
-def _encode(words: list[str], path: str) -> list[bytes]:
-    """Ids (little-endian, ``id_type`` wide) of each distinct chunk; chunks seen lately in this worker
+def _encode(words: list[str], path: str, known: dict[str, bytes]) -> list[bytes]:
+    """Ids (little-endian, ``id_type`` wide) of each distinct chunk; chunks ``known`` holds
     are not segmented again."""
-    known, kind = _known(path), id_type(path)
+    kind = id_type(path)
     fresh = [w for w in words if w not in known]
     if len(known) + len(fresh) > CACHE_WORDS:
         known.clear()
@@ -109,10 +104,10 @@ def _encode(words: list[str], path: str) -> list[bytes]:
     return [known[w] for w in words]
 
 
-def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(texts: pa.Array, path: str, known: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after another, ids per text) without end ids."""
     words = cut(texts, ODD, True, _raw_chunks)
-    ids = _encode(words.distinct.to_pylist(), path)
+    ids = _encode(words.distinct.to_pylist(), path, known)
     width = np.dtype(id_type(path)).itemsize
     lengths = np.array([len(b) // width for b in ids], np.int64)
     starts = np.cumsum(lengths) - lengths
@@ -124,10 +119,10 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _tokenized(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), 0
+        part, seen, known = TaskContext.get().partitionId(), 0, {}
         for batch in batches:
             for b in blocks(batch, 1, BLOCK_BYTES):
-                flat, counts = token_ids(b.column(1).cast(pa.large_string()).fill_null(""), path)
+                flat, counts = token_ids(b.column(1).cast(pa.large_string()).fill_null(""), path, known)
                 n = counts + 1
                 ends = np.cumsum(n)
                 out = np.full(int(ends[-1]), end_id, flat.dtype)
@@ -147,7 +142,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     """Pass 1, written once: doc_id, part, before, n, ids (little-endian, as
     wide as the vocabulary needs)."""
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    t = d.mapInArrow(_tokenized(path, end_id), "doc_id long, part int, before long, n long, ids binary")
+    t = d.mapInArrow(released(_tokenized(path, end_id)), "doc_id long, part int, before long, n long, ids binary")
     return materialize(t, "token-ids")
 
 
@@ -186,4 +181,4 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID)
     tokens = tokenize(docs, path, end_id)
     offsets = partition_offsets(tokens)
     placed = tokens.join(F.broadcast(offsets), "part").select("doc_id", "before", "n", "ids", "offset")
-    return placed.mapInArrow(_cutter(window, id_type(path)), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary")
+    return placed.mapInArrow(released(_cutter(window, id_type(path))), "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids_crc32 long, ids binary")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import pick, positional
+from tessera.llm.common import pick, positional, released
 
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns and lengths of the contract.
@@ -102,7 +102,7 @@ class Chains:
 def train(docs: DataFrame) -> Chains:
     """Chains counted over every document.  Each unseen transition counts
     once, so without any labelled string the random chain is uniform."""
-    counts = pick(docs, "text").mapInArrow(_count, "label string, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n"))
+    counts = pick(docs, "text").mapInArrow(released(_count), "label string, pair int, n long").groupBy("label", "pair").agg(F.sum("n").alias("n"))
     n = {"random": np.ones((SIZE, SIZE)), "ordinary": np.ones((SIZE, SIZE))}
     for r in counts.collect():  # at most 2 x 66 x 66 rows
         n[r.label][divmod(r.pair, SIZE)] += r.n
@@ -163,13 +163,13 @@ def scan(docs: DataFrame, chains: Chains | None = None) -> DataFrame:
     """doc_id, spans (array of kind, start, end)."""
     chains = chains or train(docs)
     d = pick(docs, "doc_id", "text")
-    return d.mapInArrow(_scan(chains, 1, False), T.StructType([d.schema["doc_id"], T.StructField("spans", SPANS)]))
+    return d.mapInArrow(released(_scan(chains, 1, False)), T.StructType([d.schema["doc_id"], T.StructField("spans", SPANS)]))
 
 
 def redact(docs: DataFrame, chains: Chains | None = None) -> DataFrame:
     """``docs`` with every secret replaced by a mark; all columns kept."""
     chains, names, rows = chains or train(docs), docs.columns, positional(docs)
-    return rows.mapInArrow(_scan(chains, names.index("text"), True), rows.schema).toDF(*names)
+    return rows.mapInArrow(released(_scan(chains, names.index("text"), True)), rows.schema).toDF(*names)
 
 
 def summary(spans: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, pick, positional
+from tessera.llm.common import materialize, pick, positional, released
 from tessera.llm.components import components
 
 BITS, SHINGLE, RADIUS, SEED = 64, 4, 4, 42
@@ -174,14 +174,14 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     cells = single.unionByName(several) if not large.isEmpty() else rows.selectExpr("t", "key", "0 AS i", "0 AS j", "fp", "node")
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = cells.repartition(parts, "t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    return cells.mapInArrow(_links(radius), "a long, b long")
+    return cells.mapInArrow(released(_links(radius)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id that
     links reach)."""
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    prints = materialize(d.mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "fingerprints")
+    prints = materialize(d.mapInArrow(released(_fingerprints(shingle)), "doc_id long, fp long"), "fingerprints")
     nodes = materialize(prints.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct-fingerprints")
     roots = components(links(nodes, radius))
     named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.chunks import blocks
-from tessera.llm.common import materialize, pick
+from tessera.llm.common import materialize, pick, released
 
 LENGTH, SAMPLE = 400, 64
 BANDS = (64, 8, 1)
@@ -305,13 +305,13 @@ def _with_marks(table: DataFrame, marks: list[DataFrame]) -> DataFrame:
 def repeats(docs: DataFrame, emit, schema: str, length: int = LENGTH, k: int = SAMPLE) -> DataFrame:
     """``emit(doc_ids, bytes, ends, removed mask)`` turns a block into rows."""
     d = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    table = materialize(d.mapInArrow(_to_blocks(length, k), BLOCK), "text-blocks")
+    table = materialize(d.mapInArrow(released(_to_blocks(length, k)), BLOCK), "text-blocks")
     marks: list[DataFrame] = []
     for level in range(len(BANDS) + 1):
-        names = _with_marks(table, marks).mapInArrow(_level(length, level), NAMES)
+        names = _with_marks(table, marks).mapInArrow(released(_level(length, level)), NAMES)
         found = ranked(names).groupBy("block").applyInArrow(_mark, "block long, marks binary")
         marks.append(materialize(found, f"shared-names-{level}"))
-    return _with_marks(table, marks).mapInArrow(_cut(length, emit), schema)
+    return _with_marks(table, marks).mapInArrow(released(_cut(length, emit)), schema)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
