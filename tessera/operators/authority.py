@@ -322,11 +322,12 @@ def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool
                       F.col("best.score").alias("score"), *extra)
 
 
-def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram: int = 3,
+def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int, gram: int = 3,
                     rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS,
                     stats_broadcast_rows: int = STATS_BROADCAST_ROWS, score: Column | None = None) -> DataFrame:
-    """Rendered candidate context per probe: the best ``cap`` candidates by
-    score (then irn_eluts) as a JSON array, the exact total and a flag.
+    """Rendered prompt context per probe: the best ``cap`` candidates by score
+    (then irn_eluts) as a JSON array, the exact total and a flag.  The limit is
+    the caller's choice; ``candidate_pages`` gives every candidate.
 
     The list depends only on the probe's place fields, so it is ranked and
     rendered once per distinct probe key: the per-key limit runs as a window
@@ -359,3 +360,22 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int = 60, gram
                     F.coalesce("candidates", F.lit("[]")).alias("candidates"),
                     (n > cap).alias("candidates_truncated"))
             .select(*out_cols))
+
+
+def candidate_pages(probes: DataFrame, authority: DataFrame, page_size: int = 60, gram: int = 3,
+                    rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS) -> DataFrame:
+    """Every candidate of every distinct probe key, in pages: place fields,
+    page, pages, candidates (sorted by irn_eluts).  A key with n candidates
+    has ceil(n / page_size) pages and a candidate's page is its id modulo that
+    number, so no key collects into one row and none needs a global rank.
+    Probes link to their pages by the place fields."""
+    sh = shapes(probes.select(*PROBE_COLS), gram)
+    pairs = _key_pairs(sh, authority, gram, rarest_gram, key_broadcast_rows)
+    if pairs is None:
+        empty = "page bigint, pages bigint, candidates array<bigint>"
+        return probes.sparkSession.createDataFrame([], ", ".join(f"{f} string" for f in PLACE_FIELDS) + ", " + empty)
+    stats, _ = _key_stats(sh, authority, gram, rarest_gram, key_broadcast_rows, None)
+    sizes = stats.select(*PLACE_FIELDS, F.ceil(F.col("n") / page_size).cast("bigint").alias("pages"))
+    paged = pairs.select(*PLACE_FIELDS, "a_irn_eluts").join(sizes, list(PLACE_FIELDS))
+    paged = paged.withColumn("page", F.pmod(F.col("a_irn_eluts"), F.col("pages")))
+    return paged.groupBy(*PLACE_FIELDS, "page", "pages").agg(F.sort_array(F.collect_list("a_irn_eluts")).alias("candidates"))

@@ -2,19 +2,19 @@
 
 * ``fixed_chunks``: sliding character windows (size, overlap) as one
   ``explode(sequence(...))`` + ``substring`` - native, no Python.
-* ``recursive_chunks``: split at the coarsest separator of
-  ``["\\n\\n", "\\n", " ", ""]`` that yields pieces under the size, merge
-  pieces back up to the size with the requested overlap, strip, and locate
-  each chunk in the document for its start offset.  Runs per document in
-  ``mapInPandas``; Spark spreads documents over tasks.
+* ``recursive_chunks``: spans between separators of the ladder
+  ``["\\n\\n", "\\n", " ", ""]``, packed greedily up to the size with the
+  requested overlap and trimmed; offsets are carried, never searched for.
+  Runs per document in ``mapInPandas``; Spark spreads documents over tasks.
 
 Output rows: ``doc_id, chunk_no (0-based), start_index (0-based), source,
-chunk`` plus ``chunk_id = doc_id * 1_000_000 + chunk_no``.
+chunk`` plus ``chunk_id``, one key for (doc_id, chunk_no).
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -34,7 +34,7 @@ def fixed_chunks(docs: DataFrame, size: int = 300, overlap: int = 100, text_col:
                     F.col(text_col).alias("_t"), F.posexplode(starts).alias("chunk_no", "start_index"))
     return x.select("doc_id", "chunk_no", "start_index", "source",
                     F.expr(f"substring(_t, start_index + 1, {size})").alias("chunk"),
-                    (F.col("doc_id") * CHUNK_ID_STRIDE + F.col("chunk_no")).alias("chunk_id"))
+                    chunk_key(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"))
 
 
 def chunk_counts(chunks: DataFrame) -> DataFrame:
@@ -44,97 +44,77 @@ def chunk_counts(chunks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_chunks"))
 
 
-# ---- recursive splitter (per document, plain Python) ---------------------
-
-def _split_keep(text: str, sep: str) -> list[str]:
-    """Split on ``sep`` keeping it at the start of the following piece."""
-    if not sep:
-        return [c for c in text]
-    parts = re.split("(" + re.escape(sep) + ")", text)
-    out = [parts[0]] + [parts[i] + parts[i + 1] for i in range(1, len(parts) - 1, 2)]
-    if len(parts) % 2 == 0:
-        out.append(parts[-1])
-    return [p for p in out if p != ""]
-
-
-def _join(pieces: list[str], sep: str) -> str | None:
-    t = sep.join(pieces).strip()
-    return t or None
-
-
-def _merge(pieces: list[str], sep: str, size: int, overlap: int) -> list[str]:
-    sep_len = len(sep)
-    docs: list[str] = []
-    cur: list[str] = []
-    total = 0
-    for p in pieces:
-        n = len(p)
-        if total + n + (sep_len if cur else 0) > size:
-            if cur:
-                d = _join(cur, sep)
-                if d is not None:
-                    docs.append(d)
-                while total > overlap or (total + n + (sep_len if cur else 0) > size and total > 0):
-                    total -= len(cur[0]) + (sep_len if len(cur) > 1 else 0)
-                    cur = cur[1:]
-        cur.append(p)
-        total += n + (sep_len if len(cur) > 1 else 0)
-    d = _join(cur, sep)
-    if d is not None:
-        docs.append(d)
-    return docs
-
-
-def split_recursive(text: str, size: int, overlap: int, separators=SEPARATORS) -> list[str]:
-    sep = separators[-1]
-    rest: tuple = ()
-    for i, s in enumerate(separators):
-        if s == "":
-            sep = s
-            break
-        if s in text:
-            sep, rest = s, tuple(separators[i + 1:])
-            break
-    out: list[str] = []
-    good: list[str] = []
-    for piece in _split_keep(text, sep):
-        if len(piece) < size:
-            good.append(piece)
+def chunk_key(doc_id, chunk_no):
+    """One 64-bit key for (doc_id, chunk_no): readable for small ids, a hash
+    where the product would not fit (file documents have hashed ids)."""
+    small = (F.abs(doc_id) < F.lit(1 << 42)) & (chunk_no < CHUNK_ID_STRIDE)
+    return F.when(small, F.when(small, doc_id).otherwise(0) * CHUNK_ID_STRIDE + chunk_no).otherwise(F.xxhash64(doc_id, chunk_no))
+
+
+# ---- recursive splitter: spans over one document -------------------------
+
+def unit_runs(text: str, lo: int, hi: int, size: int, separators=SEPARATORS, length=len) -> Iterator[list[tuple[int, int]]]:
+    """Runs of neighbouring units of text[lo:hi].  A unit ends where the
+    coarsest separator that occurs begins; one that is not below the size is
+    split by the finer separators into runs of its own."""
+    at = next(i for i, s in enumerate(separators) if text.find(s, lo, hi) >= 0)
+    mark, finer = separators[at], separators[at + 1:]
+    starts = range(lo, hi) if not mark else [m.start() for m in re.finditer(re.escape(mark), text[lo:hi])]
+    cuts = list(starts) if not mark else [lo, *(lo + s for s in starts if s), hi]
+    units = [(p, p + 1) for p in cuts] if not mark else list(zip(cuts, cuts[1:]))
+    run: list[tuple[int, int]] = []
+    for a, b in units:
+        if not finer or length(text[a:b]) < size:
+            run.append((a, b))
             continue
-        if good:
-            out.extend(_merge(good, "", size, overlap))
-            good = []
-        if not rest:
-            out.append(piece)
-        else:
-            out.extend(split_recursive(piece, size, overlap, rest))
-    if good:
-        out.extend(_merge(good, "", size, overlap))
+        if run:
+            yield run
+        run = []
+        yield from unit_runs(text, a, b, size, finer, length)
+    if run:
+        yield run
+
+
+def packed(text: str, run: list[tuple[int, int]], size: int, overlap: int, length=len) -> Iterator[tuple[int, int]]:
+    """Greedy windows over a run: as many units as fit; the next window goes
+    back over at most ``overlap`` as far as its first new unit still fits."""
+    first = 0
+    for k, (a, b) in enumerate(run):
+        if k > first and length(text[run[first][0]:b]) > size:
+            yield run[first][0], a
+            while first < k and (length(text[run[first][0]:a]) > overlap or length(text[run[first][0]:b]) > size):
+                first += 1
+    yield run[first][0], run[-1][1]
+
+
+def chunk_with_offsets(text: str, size: int, overlap: int, length=len) -> list[tuple[int, str]]:
+    """Trimmed chunks with their 0-based offsets, which are the spans' own."""
+    out = []
+    for run in unit_runs(text, 0, len(text), size, length=length) if text else ():
+        for a, b in packed(text, run, size, overlap, length):
+            chunk = text[a:b].strip()
+            if chunk:
+                out.append((a + len(text[a:b]) - len(text[a:b].lstrip()), chunk))
     return out
 
 
-def chunk_with_offsets(text: str, size: int, overlap: int) -> list[tuple[int, str]]:
-    """Chunks with their 0-based offsets: each chunk is searched from just
-    past where the previous one could have started its overlap."""
-    res = []
-    index, prev_len = 0, 0
-    for ch in split_recursive(text, size, overlap):
-        index = text.find(ch, max(0, index + prev_len - overlap))
-        prev_len = len(ch)
-        res.append((index, ch))
-    return res
+def token_length(text: str) -> int:
+    """Length in white-space separated tokens (a ``length`` for the splitter)."""
+    return len(text.split())
 
 
 def recursive_chunks(docs: DataFrame, size: int = 300, overlap: int = 100, text_col: str = "text",
-                     id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+                     id_col: str = "doc_id", source_col: str = "source", length=len) -> DataFrame:
+    """``length`` measures a text against ``size`` and ``overlap`` (default:
+    characters; ``token_length``: tokens)."""
     def run(batches):
         for pdf in batches:
             rows = []
             for did, src, text in zip(pdf["doc_id"], pdf["source"], pdf["text"]):
-                for no, (start, ch) in enumerate(chunk_with_offsets(text or "", size, overlap)):
-                    rows.append((did, no, start, src, ch, did * CHUNK_ID_STRIDE + no))
-            yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "start_index", "source", "chunk", "chunk_id"])
+                for no, (start, ch) in enumerate(chunk_with_offsets(text or "", size, overlap, length)):
+                    rows.append((did, no, start, src, ch))
+            yield pd.DataFrame(rows, columns=["doc_id", "chunk_no", "start_index", "source", "chunk"])
 
-    schema = "doc_id long, chunk_no int, start_index int, source string, chunk string, chunk_id long"
+    schema = "doc_id long, chunk_no int, start_index int, source string, chunk string"
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
-    return src.mapInPandas(run, schema)
+    return src.mapInPandas(run, schema).withColumn("chunk_id", chunk_key(F.col("doc_id"), F.col("chunk_no")))

@@ -116,7 +116,7 @@ def with_lsh_keys(df: DataFrame, vec_col: str, dim: int, tables: int = 3, bits:
     return x.withColumn("_ckeys", F.array(*ck)).withColumn("_qkeys", F.array(*qk)).drop("_lsh")
 
 
-def _block_topk(k: int, metric: str, exclude_self: bool, margin: int = 8):
+def _block_topk(k: int, metric: str, exclude_self: bool):
     def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if len(q) == 0 or len(c) == 0:
             return pd.DataFrame({"qid": pd.Series([], "int64"), "cid": pd.Series([], "int64"),
@@ -139,25 +139,23 @@ def _block_topk(k: int, metric: str, exclude_self: bool, margin: int = 8):
             approx = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
         if exclude_self:
             approx = np.where(qid[:, None] == cid[None, :], np.inf, approx)
-        kk = min(k + (0 if metric == "cosine_counts" else margin), C.shape[0])
-        idx = np.argpartition(approx, kk - 1, axis=1)[:, :kk] if kk < C.shape[0] else \
-            np.tile(np.arange(C.shape[0]), (Q.shape[0], 1))
+        # every column that may belong to the k nearest: within a rounding
+        # bound of the k-th value, so ties are cut by the exact order only
+        kth = np.partition(approx, min(k, len(cid)) - 1, axis=1)[:, min(k, len(cid)) - 1]
+        slack = 0.0 if metric == "cosine_counts" else 1e-9 * (1.0 + (Q * Q).sum(1) + (C * C).sum(1).max())
+        row, col = np.nonzero((approx <= (kth + slack)[:, None]) & np.isfinite(approx))
         if metric == "cosine_counts":
-            exact = np.take_along_axis(d, idx, 1)
+            exact = approx[row, col]
         else:
-            exact = np.zeros(idx.shape, dtype=np.float64)
+            exact = np.zeros(len(row))
             for j in range(Q.shape[1]):  # left fold in index order
-                t = Q[:, j][:, None] - C[idx, j]
+                t = Q[row, j] - C[col, j]
                 exact = exact + t * t
-        cand = cid[idx]
-        if exclude_self:
-            exact = np.where(cand == qid[:, None], np.inf, exact)
-        order = np.lexsort((cand, exact), axis=1)[:, :k]
-        dist = np.take_along_axis(exact, order, 1)
-        cc = np.take_along_axis(cand, order, 1)
-        qq = np.repeat(qid[:, None], order.shape[1], 1)
-        keep = np.isfinite(dist)
-        return pd.DataFrame({"qid": qq[keep], "cid": cc[keep], "distance": dist[keep]})
+        order = np.lexsort((cid[col], exact, row))
+        row, col, exact = row[order], col[order], exact[order]
+        first = np.searchsorted(row, row, "left")
+        keep = np.arange(len(row)) - first < k
+        return pd.DataFrame({"qid": qid[row[keep]], "cid": cid[col[keep]], "distance": exact[keep]})
     return fn
 
 
@@ -214,8 +212,9 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     ``q_bucket``/``c_bucket`` restrict candidates to equal buckets (an
     array ``c_bucket`` puts a corpus row in several buckets, e.g. one per
     hash table); ``q_probe`` (an array column) lets one query look in
-    several buckets."""
+    several buckets.  Rows without a vector take no part."""
     spark = queries.sparkSession
+    queries, corpus = queries.filter(F.col(q_vec).isNotNull()), corpus.filter(F.col(c_vec).isNotNull())
     if (q_bucket is None and c_bucket is None and q_probe is None
             and _small_query_side(queries, q_vec, broadcast_queries, BROADCAST_QUERY_BYTES)):
         return _knn_stream(queries, corpus, k, q_id, q_vec, c_id, c_vec, metric, exclude_self, block_rows)

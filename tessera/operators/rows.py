@@ -34,23 +34,22 @@ def union_rows(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def row_numbers(df: DataFrame, order_cols, name: str = "row_no", stable: bool = False) -> DataFrame:
+def row_numbers(df: DataFrame, order_cols, name: str = "row_no") -> DataFrame:
     """Consecutive 1-based numbers in ``order_cols`` order without moving the
     table into one partition.
 
     Range-partition and sort, number rows inside each partition
     (``monotonically_increasing_id`` carries the partition id in its high
-    bits), then add the row count of all earlier partitions.  The offset
-    table has one row per partition, so broadcasting it is bounded by the
-    partition count, not by the data.  ``stable=True`` checkpoints the
-    sorted table first so both uses read identical partitions.
-    ``order_cols`` should form a key (the callers number by the probe id):
-    rows tied on them share a range partition and have no defined order."""
+    bits), then add the row count of all earlier partitions.  The numbered
+    partitions are checkpointed first: the counts and the rows have to come
+    from the same partitions, and neither sampled range bounds nor runtime
+    coalescing give the same ones twice.  The offset table has one row per
+    partition, so broadcasting it is bounded by the partition count, not by
+    the data.  Rows tied on ``order_cols`` get distinct numbers in no defined
+    order."""
     order_cols = list(order_cols)
-    x = (df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    if stable:
-        x = _checkpoint(x)
+    x = _checkpoint(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+                    .withColumn("_mid", F.monotonically_increasing_id()))
     x = x.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
     counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

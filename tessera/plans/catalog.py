@@ -159,6 +159,26 @@ def q_candidates_json(spark, sf):
     return auth_ops.candidate_lists(_probes(spark, sf), _authority(spark, sf), cap=60)
 
 
+@query("candidate_pages", with_views("""SELECT continent, country, state_province, county, page, pages,
+  count(*) AS n_candidates, sum(a_irn_eluts)::BIGINT AS id_sum, min(a_irn_eluts) AS first_id, max(a_irn_eluts) AS last_id
+FROM (SELECT *, a_irn_eluts % pages AS page FROM (
+  SELECT *, CAST(ceil(count(*) OVER (PARTITION BY continent, country, state_province, county) / 60.0) AS BIGINT) AS pages
+  FROM (SELECT DISTINCT continent, country, state_province, county, a_irn_eluts FROM pairs) k) s) p
+GROUP BY continent, country, state_province, county, page, pages""", "auth", "norm", ctes=[PAIRS_SQL]))
+def q_candidate_pages(spark, sf):
+    pages = auth_ops.candidate_pages(_probes(spark, sf), _authority(spark, sf), 60)
+    return pages.select("continent", "country", "state_province", "county", "page", "pages",
+                        F.size("candidates").cast("bigint").alias("n_candidates"),
+                        F.aggregate("candidates", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("id_sum"),
+                        F.array_min("candidates").alias("first_id"), F.array_max("candidates").alias("last_id"))
+
+
+@query("row_numbers", "SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS row_no FROM lineitem")
+def q_row_numbers(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return rows.row_numbers(lines, ["l_orderkey", "l_linenumber"])
+
+
 @query("batch_snapshot", with_views("""SELECT *, (row_no - 1) // 20 + 1 AS batch_no FROM (
   SELECT r.*, row_number() OVER (ORDER BY CAST(r.irn AS BIGINT)) AS row_no FROM reconciled r) s""", "auth", "norm", ctes=[PAIRS_SQL, NEAREST_SQL, COUNT_SQL,
     "reconciled AS (" + RECONCILE_SQL[RECONCILE_SQL.index("SELECT CASE WHEN n.irn"):] + ")"]))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,12 +52,17 @@ def get_session(master: str | None = None, app: str = "tessera",
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh folder is made and registered.
+    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset and the
+    master is local (one machine, as in tests) a fresh folder is registered.
+    On a cluster without the setting this raises: a folder of one machine
+    would lose data there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        local = spark._jvm.java.lang.System.getProperty("java.io.tmpdir")
+        d = os.path.join(local, f"tessera-scratch-{uuid.uuid4().hex[:12]}")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -112,14 +116,26 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+SPREAD_BYTES = 16 << 20  # planned bytes per core below which an input is dealt out
+
+
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin repartition before CPU-heavy narrow work, but only when
-    the input is read from fewer files than the cluster has cores (every
-    file is at least one scan split; a small single file is exactly one).
-    Large inputs, stored as many files, keep their scan splits untouched.
-
-    The file count comes from the file index the reader already built, so
-    the check runs no job (``df.rdd.getNumPartitions()`` would execute the
-    input's shuffle and broadcast stages under AQE)."""
+    """Round-robin repartition before CPU-heavy narrow work, but only for an
+    input whose planned size is small (below SPREAD_BYTES per core): one file
+    of that size is a single scan split.  Larger inputs have enough splits and
+    are never shuffled here, however many files they are stored in.  The size
+    is the optimizer's estimate, so the check runs no job and lists nothing."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if len(df.inputFiles()) < target else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(target) if size < target * SPREAD_BYTES else df
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package whatever the working directory
+    is.  On a cluster whose machines do not have the folder, submit the
+    package with ``--py-files`` as well (README, Running)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, have)])

@@ -5,14 +5,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import CSV_NULL_TOKENS, base64_plain
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, null_tokens=CSV_NULL_TOKENS,
-                   multiline: bool = False, keep_empty: bool = False) -> DataFrame:
-    """CSV with a header and an explicit schema (no inference pass).
+                   multiline: bool = False, keep_empty: bool = False, bad_cells: str | None = None) -> DataFrame:
+    """CSV with a header and an explicit schema (no inference pass).  Columns
+    are taken by name, in any order and beside any others; a name that the
+    header lacks is an error.  ``bad_cells`` names an array column that lists,
+    per row, the columns whose text could not be read as their type.
 
     ``escape='"'`` reads doubled quotes inside quoted cells; every string
     cell equal to one of ``null_tokens`` becomes null, as the dataframe
@@ -21,18 +24,26 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, nul
     ``keep_empty=True`` reads a quoted "" as '' (only an empty field is
     null), the way ``write_csv`` writes them; by default both are null, as
     in the dataframe library."""
-    r = (spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    r = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
          .option("multiLine", multiline).option("mode", "PERMISSIVE"))
     if keep_empty:
         r = r.option("nullValue", "\u0000")
-    df = r.csv(path)
+    header = r.csv(path).columns  # reads the first line only
+    missing = [f.name for f in wanted if f.name not in header]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {header}")
+    df = r.schema(StructType([StructField(c, StringType()) for c in header])).csv(path)
     toks = [t for t in null_tokens if t != ""]
-    cols = []
-    for f in df.schema.fields:
+    cols, bad = [], []
+    for f in wanted:
         c = F.col(f"`{f.name}`")
-        if f.dataType.simpleString() == "string":
-            c = F.when(c.isin(*toks), F.lit(None)).otherwise(c)
-        cols.append(c.alias(f.name))
+        c = F.when(c.isin(*toks), F.lit(None)).otherwise(c)
+        value = c if isinstance(f.dataType, StringType) else F.expr(f"try_cast(trim(`{f.name}`) AS {f.dataType.simpleString()})")
+        cols.append(value.alias(f.name))
+        bad.append(F.when(c.isNotNull() & value.isNull(), F.lit(f.name)))
+    if bad_cells:
+        cols.append(F.filter(F.array(*bad), lambda x: x.isNotNull()).alias(bad_cells))
     return df.select(*cols)
 
 

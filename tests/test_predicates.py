@@ -56,3 +56,14 @@ def test_equality_filter_is_pushed_to_parquet(spark):
     df = P.where_equal(table(spark, "/root/testdata/sf0.001", "customer"), "c_mktsegment", "BUILDING")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "c_mktsegment" in plan
+
+
+def test_null_lists_agree_whatever_their_length_or_container(spark):
+    from tessera.operators import predicates as P
+    df = spark.createDataFrame([(1,), (2,), (None,)], "`a.b` int")
+    for extra in ([], list(range(10, 1500))):
+        for values in ([1, None, *extra], spark.createDataFrame([(x,) for x in [1, None, *extra]], "v int")):
+            assert [r[0] for r in P.where_in(df, "a.b", values).collect()] == [1]
+            assert P.where_not_in(df, "a.b", values, keep_nulls=False).count() == 0
+            assert sorted(r[0] or 0 for r in P.where_not_in(df, "a.b", values).collect()) == [0, 2]
+    assert P.where_null(df, "a.b").count() == 1 and P.where_not_null(df, "a.b").count() == 2

@@ -145,3 +145,22 @@ def test_bucketed_retrieval_recall_against_exact(spark):
     assert recall >= 0.5, recall
     for key in set(approx) & set(exact):
         assert abs(approx[key] - exact[key]) < 1e-12
+
+
+def test_row_numbers_lose_no_row(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 300_000, numPartitions=8).selectExpr("xxhash64(id) AS k", "repeat(cast(id AS string), 50) AS wide", "id % 7 AS tie")
+    for order in (["k"], ["tie"]):
+        r = W.row_numbers(df, order).agg(F.count("*"), F.countDistinct("row_no"), F.min("row_no"), F.max("row_no")).first()
+        assert tuple(r) == (300_000, 300_000, 1, 300_000)
+
+
+def test_knn_ties_do_not_depend_on_partitions_or_plan(spark):
+    from tessera.operators.knn import knn_join
+    df = spark.createDataFrame([(i, [1.0, 2.0, float(i == 0)]) for i in range(400)] + [(900, None)], "id long, v array<double>")
+    for metric in ("sq_l2", "cosine_counts"):
+        d = df if metric == "sq_l2" else df.withColumn("v", df.v.cast("array<bigint>"))
+        for n in (1, 4, 16):
+            for limit in (0, 65_536):
+                hits = knn_join(d.filter("id = 7"), d.repartition(n), 3, q_id="id", q_vec="v", c_id="id", c_vec="v", metric=metric, broadcast_queries=limit)
+                assert [r["chunk_id"] for r in hits.orderBy("rk").collect()] == [1, 2, 3]

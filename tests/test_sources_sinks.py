@@ -63,14 +63,33 @@ def test_batch_writes_and_first_rows(spark):
     assert sinks.stamped_path("out", "proj", "2024-05-18T06-53-26", 20) == "out/proj_2024-05-18T06-53-26-20.csv"
 
 
-def test_spread_only_touches_inputs_with_fewer_files_than_cores(spark):
-    from tessera.session import spread
+def test_spread_deals_out_small_inputs_only(spark, monkeypatch):
+    from tessera import session
     target = spark.sparkContext.defaultParallelism
-    many = new_scratch_path(spark, "many-files")
-    spark.range(0, 1000, numPartitions=target + 2).write.parquet(many)
-    df = spark.read.parquet(many)
-    assert spread(df) is df                      # enough scan splits: untouched
     one = new_scratch_path(spark, "one-file")
     spark.range(0, 1000, numPartitions=1).write.parquet(one)
     small = spark.read.parquet(one)
-    assert spread(small).rdd.getNumPartitions() == target
+    assert session.spread(small).rdd.getNumPartitions() == target
+    monkeypatch.setattr(session, "SPREAD_BYTES", 1)  # a large input: more planned bytes than the bound
+    assert session.spread(small) is small
+
+
+def test_csv_columns_are_taken_by_name(spark):
+    path = new_scratch_path(spark, "wide-csv")
+    spark.createDataFrame([("1", "junk", "China", "Asia"), ("x", "j", "NULL", "")], "irn string, extra string, country string, continent string").coalesce(1).write.option("header", True).csv(path)
+    got = sources.read_csv_table(spark, path, "irn bigint, continent string, country string", bad_cells="bad").orderBy(F.col("irn").desc()).collect()
+    assert [tuple(r) for r in got] == [(1, "Asia", "China", []), (None, None, None, ["irn"])]
+    with pytest.raises(ValueError):
+        sources.read_csv_table(spark, path, "irn bigint, nowhere string")
+
+
+def test_file_documents_can_be_chunked(spark):
+    from tessera.operators.chunking import fixed_chunks, recursive_chunks, token_length
+    path = new_scratch_path(spark, "md-chunks")
+    spark.createDataFrame([("one two three " * 60,)], "value string").coalesce(1).write.text(path)
+    docs = sources.read_text_documents(spark, path, "*.txt")
+    for chunks in (fixed_chunks(docs, 100, 20), recursive_chunks(docs, 100, 20), recursive_chunks(docs, 12, 3, length=token_length)):
+        rows = chunks.collect()
+        text = docs.first()["text"]
+        assert len(rows) > 5 and len({r["chunk_id"] for r in rows}) == len(rows)
+        assert all(text[r["start_index"]:r["start_index"] + len(r["chunk"])] == r["chunk"] for r in rows)

@@ -23,11 +23,11 @@ def test_recursive_splitter_contract():
 
 def test_recursive_splitter_prefers_coarse_separators():
     text = "aaaa bbbb\n\ncccc dddd"
-    assert C.split_recursive(text, 12, 0) == ["aaaa bbbb", "cccc dddd"]
+    assert [c for _, c in C.chunk_with_offsets(text, 12, 0)] == ["aaaa bbbb", "cccc dddd"]
     # the separator stays at the start of the next piece (" w3" is 3 long),
     # so "w3" + " w4" is 6 > 5 and they stay apart
-    assert C.split_recursive("w1 w2 w3 w4", 5, 0) == ["w1 w2", "w3", "w4"]
-    assert C.split_recursive("w1 w2 w3 w4", 6, 0) == ["w1 w2", "w3 w4"]
+    assert [c for _, c in C.chunk_with_offsets("w1 w2 w3 w4", 5, 0)] == ["w1 w2", "w3", "w4"]
+    assert [c for _, c in C.chunk_with_offsets("w1 w2 w3 w4", 6, 0)] == ["w1 w2", "w3 w4"]
 
 
 def test_recursive_chunks_on_spark(spark):
