@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.operators.rows import first_rows
