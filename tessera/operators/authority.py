@@ -322,6 +322,11 @@ def nearest_candidates(probes: DataFrame, authority: DataFrame, with_count: bool
                       F.col("best.score").alias("score"), *extra)
 
 
+# Rendered lists are broadcast up to this many bytes, at this many per candidate
+# (the place names of the authority are far shorter); beyond it they shuffle.
+LIST_BROADCAST_BYTES, CANDIDATE_BYTES = 128 << 20, 400
+
+
 def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int, gram: int = 3,
                     rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS,
                     stats_broadcast_rows: int = STATS_BROADCAST_ROWS, score: Column | None = None) -> DataFrame:
@@ -355,7 +360,7 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int, gram: int
     stats, n_keys = _key_stats(sh, authority, gram, rarest_gram, key_broadcast_rows, score)
     per_key = stats.select(*PLACE_FIELDS, "n").join(lists, list(PLACE_FIELDS), "left")
     n = F.coalesce("n", F.lit(0)).cast("bigint")
-    return (probes.join(_bcast(per_key, n_keys, stats_broadcast_rows), list(PLACE_FIELDS), "left")
+    return (probes.join(_bcast(per_key, n_keys, min(stats_broadcast_rows, LIST_BROADCAST_BYTES // (cap * CANDIDATE_BYTES))), list(PLACE_FIELDS), "left")
             .select(*PROBE_COLS, n.alias("num_authority_matches"),
                     F.coalesce("candidates", F.lit("[]")).alias("candidates"),
                     (n > cap).alias("candidates_truncated"))

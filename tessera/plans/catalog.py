@@ -179,6 +179,64 @@ def q_row_numbers(spark, sf):
     return rows.row_numbers(lines, ["l_orderkey", "l_linenumber"])
 
 
+@query("batch_writes", """SELECT (row_no - 1) // 20 + 1 AS batch_no, count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS row_no FROM orders) s GROUP BY 1""")
+def q_batch_writes(spark, sf):
+    """Save batches of one run, written twice (the second replaces the first)."""
+    path, orders = new_scratch_path(spark, "batches"), table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    for _ in range(2):
+        sinks.write_batches(orders, path, "o_orderkey", 20)
+    return spark.read.parquet(path).groupBy("batch_no").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first_key"),
+                                                            F.max("o_orderkey").alias("last_key"))
+
+
+@query("select_keys", "SELECT source, doc_id, lang FROM documents")
+def q_select_keys(spark, sf):
+    return rows.select_keys(table(spark, sf, "documents"), ["source", "doc_id", "lang"])
+
+
+@query("flt_quoted_name", "SELECT doc_id, lang AS \"main lang.\" FROM documents WHERE lang = 'fr'")
+def q_flt_quoted_name(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("main lang."))
+    return preds.where_equal(docs, "main lang.", "fr")
+
+
+@query("first_rows", "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 60")
+def q_first_rows(spark, sf):
+    """The development stop of 60 rows is the feature."""
+    return rows.first_rows(table(spark, sf, "documents").select("doc_id", "source"), ["doc_id"], 60)
+
+
+@query("csv_row_documents", """SELECT n_nationkey AS doc_id, 'plain' AS source,
+  concat_ws(chr(10), n_nationkey, coalesce(n_name, ''), n_regionkey) AS text FROM nation
+UNION ALL SELECT n_nationkey, 'labelled', concat_ws(chr(10), 'n_nationkey: ' || n_nationkey, 'n_name: ' || coalesce(n_name, ''),
+  'n_regionkey: ' || n_regionkey) FROM nation""")
+def q_csv_row_documents(spark, sf):
+    path = new_scratch_path(spark, "nation-csv")
+    sinks.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), path)
+    read = sources.read_csv_table(spark, path, "n_nationkey bigint, n_name string, n_regionkey bigint")
+    return sources.csv_rows_as_documents(read, "plain", "n_nationkey").unionByName(
+        sources.csv_rows_as_documents(read, "labelled", "n_nationkey", labelled=True))
+
+
+@query("file_ingest", f"""SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_chars,
+  sum(CAST(floor(greatest(n - 101, 0) / 200) AS BIGINT) + 1)::BIGINT AS n_chunks, sum(blank_free)::BIGINT AS recursive_chars
+FROM (SELECT sum(length(text) + 1) AS n, sum(length(regexp_replace(text, '\\s', '', 'g'))) AS blank_free FROM documents GROUP BY doc_id % 16) f""")
+def q_file_ingest(spark, sf):
+    """Documents written as 16 text files, read back as file documents and
+    chunked both ways; without overlap the recursive chunks hold every
+    non-blank character once."""
+    path = new_scratch_path(spark, "ingest-files")
+    docs = table(spark, sf, "documents").select((F.col("doc_id") % 16).alias("file"), "text")
+    docs.repartition(16, "file").write.partitionBy("file").text(path)
+    files = sources.read_text_documents(spark, path + "/file=*", "*.txt")
+    fixed = chunk_ops.fixed_chunks(files, 300, 100).agg(F.count("*").alias("n_chunks"))
+    free = F.length(F.regexp_replace("chunk", r"\s", ""))
+    recursive = chunk_ops.recursive_chunks(files, 300, 0).agg(F.sum(free).alias("recursive_chars"))
+    size = files.agg(F.count("*").alias("n_docs"), F.sum(F.length("text")).alias("n_chars"))
+    return size.withColumn("k", F.lit(1)).join(fixed.withColumn("k", F.lit(1)), "k").join(recursive.withColumn("k", F.lit(1)), "k").drop("k")
+
+
 @query("batch_snapshot", with_views("""SELECT *, (row_no - 1) // 20 + 1 AS batch_no FROM (
   SELECT r.*, row_number() OVER (ORDER BY CAST(r.irn AS BIGINT)) AS row_no FROM reconciled r) s""", "auth", "norm", ctes=[PAIRS_SQL, NEAREST_SQL, COUNT_SQL,
     "reconciled AS (" + RECONCILE_SQL[RECONCILE_SQL.index("SELECT CASE WHEN n.irn"):] + ")"]))

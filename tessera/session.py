@@ -103,10 +103,16 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row-count check; otherwise leave the
-    join to the planner (sort-merge / shuffled hash with AQE skew handling)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+MAX_BROADCAST_BYTES = 256 << 20
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only behind a check of rows and of their size as text;
+    otherwise leave the join to the planner (sort-merge / shuffled hash with
+    AQE skew handling)."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])))
+    seen = df.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
+    return F.broadcast(df) if seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes else df
 
 
 def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,35 +21,53 @@ def write_csv(df: DataFrame, path: str, keys=(), mode: str = "overwrite") -> Non
      .option("encoding", "UTF-8").csv(path))
 
 
-def write_batches(df: DataFrame, path: str, order_col: str, batch_size: int = 20) -> None:
-    """Append each save batch once under ``batch_no=n`` (rows numbered in
-    ``order_col`` order); the cumulative file n of the original job is the
-    union of batches 1..n."""
+def write_batches(df: DataFrame, path: str, order_col: str, batch_size: int = 20, run: str = "1") -> None:
+    """Write the save batches of one run (rows numbered in ``order_col``
+    order) under ``run=<run>``: a repeated run replaces its own rows and no
+    others.  ``batch_no`` is a column, and files follow its order, so reading
+    batches 1..n skips the rest; the cumulative file n of the original job is
+    their union."""
     from ..operators.rows import batch_numbers
-    batch_numbers(df, order_col, batch_size).write.mode("append").partitionBy("batch_no").parquet(path)
+    batch_numbers(df, order_col, batch_size).write.mode("overwrite").parquet(os.path.join(path, f"run={run}"))
 
 
 def stamped_path(folder: str, project: str, stamp: str, count: int, ext: str = "csv") -> str:
     return os.path.join(folder, f"{project}_{stamp}-{count}.{ext}")
 
 
+def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """(number, version path) of every committed pointer, oldest first."""
+    try:
+        lines = spark.read.text(os.path.join(root, "CURRENT-*")).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return []
+    return sorted((int(n), path) for n, path in (r[0].split("\t", 1) for r in lines))
+
+
 def write_vector_table(df: DataFrame, root: str, embedder: str, dim: int) -> str:
-    """Write a new version of the vector table and point ``CURRENT`` at it
-    only after the write committed: a failed run leaves the previous
-    version readable.  Returns the version path."""
+    """Write a new version of the vector table and then a new numbered
+    pointer to it.  Nothing is deleted or overwritten: a run that fails at any
+    point leaves the previous version current, and two runs that take the same
+    number cannot both commit.  Returns the version path."""
     version = os.path.join(root, f"v-{uuid.uuid4().hex[:12]}")
     (df.withColumn("embedder", F.lit(embedder)).withColumn("dim", F.lit(dim))
      .write.mode("error").parquet(version))
     spark = df.sparkSession
-    pointer = os.path.join(root, "CURRENT")
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(pointer)
+    number = max([n for n, _ in _pointers(spark, root)], default=0) + 1
+    spark.createDataFrame([(f"{number}\t{version}",)], "line string").coalesce(1).write.mode("error").text(
+        os.path.join(root, f"CURRENT-{number:08d}"))
     return version
 
 
 def open_vector_table(spark: SparkSession, root: str, embedder: str, dim: int) -> DataFrame:
     """Read the current version and refuse a table built by another embedder
     or dimension (both sides of a search must use the same embedder)."""
-    version = spark.read.text(os.path.join(root, "CURRENT")).first()[0]
+    pointers = _pointers(spark, root)
+    if not pointers:
+        raise ValueError(f"no vector table at {root}")
+    version = pointers[-1][1]
     df = spark.read.parquet(version)
     bad = df.filter((F.col("embedder") != embedder) | (F.col("dim") != dim)).limit(1).count()
     if bad:

@@ -67,6 +67,6 @@ def csv_rows_as_documents(df: DataFrame, source: str, id_col: str, labelled: boo
 
 
 def read_binary_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Binary files with their base64 text (no line breaks)."""
+    """Binary files with their content and its base64 text (no line breaks)."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return df.select("path", "length", base64_plain(F.col("content")).alias("b64"))
+    return df.select("path", "length", "content", base64_plain(F.col("content")).alias("b64"))

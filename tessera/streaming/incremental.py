@@ -15,7 +15,7 @@ from ..plans.reconcile import reconcile
 
 
 def run_incremental_reconcile(spark: SparkSession, probes_dir: str, probes_schema, authority: DataFrame,
-                              out_dir: str, checkpoint_dir: str, files_per_batch: int = 1) -> None:
+                              out_dir: str, checkpoint_dir: str, files_per_batch: int = 256) -> None:
     stream = (spark.readStream.schema(probes_schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(probes_dir))
 
