@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Reply status texts.
+# The status texts.
 STATUS_OK, STATUS_NO_ANSWER, STATUS_INVALID = "OK", "NO_ANSWER", "INVALID_JSON"
 
 
@@ -34,17 +34,25 @@ def null_patch(s) -> Column:
     return F.replace(_c(s), F.lit("null"), F.lit("'none'"))
 
 
-def is_json(s) -> Column:
-    """Strict single JSON value.
+NON_FINITE = r"(?<![^\s:\[,])(?:NaN|-?Infinity)(?![^\s,\]}])"
 
-    ``try_parse_json`` rejects single quotes and bare words but accepts
-    trailing text, so two array probes are added: ``[s]`` must hold exactly
-    one element and ``[s,0]`` exactly two (a stray ']' closes the probe
-    array early and breaks the second count).  Null -> false."""
+
+def is_json(s, allow_nan: bool = False) -> Column:
+    """Single JSON value; repeated keys are allowed.
+
+    Two array probes parse the text: ``[s]`` must hold exactly one element and
+    ``[s,0]`` exactly two (a stray ']' closes the probe array early and breaks
+    the second count).  That parser also takes single-quoted strings and raw
+    control characters, so without escapes and clean double-quoted strings no
+    quote may be left.  ``allow_nan`` also accepts NaN and the infinities (a
+    string that holds such a word stays a string).  Null -> false."""
     s = _c(s)
+    if allow_nan:
+        s = F.regexp_replace(s, NON_FINITE, "0")
     one = F.json_array_length(F.concat(F.lit("["), s, F.lit("]")))
     two = F.json_array_length(F.concat(F.lit("["), s, F.lit(",0]")))
-    return F.coalesce(F.try_parse_json(s).isNotNull() & (one == 1) & (two == 2), F.lit(False))
+    bare = F.regexp_replace(F.regexp_replace(s, r"(?s)\\.", ""), r'"[^"\x00-\x1f]*"', "")
+    return F.coalesce((one == 1) & (two == 2) & ~bare.rlike("[\"']"), F.lit(False))
 
 
 def clean_reply(reply, strict_parity: bool = False) -> Column:
@@ -52,18 +60,19 @@ def clean_reply(reply, strict_parity: bool = False) -> Column:
     return brace_trim(null_patch(r) if strict_parity else r)
 
 
-def reply_status(cleaned) -> Column:
+def reply_status(cleaned, allow_nan: bool = False) -> Column:
     c = _c(cleaned)
-    return (F.when(is_json(c) & (c != "{}"), F.lit(STATUS_OK))
+    return (F.when(is_json(c, allow_nan) & (c != "{}"), F.lit(STATUS_OK))
             .when(c == "{}", F.lit(STATUS_NO_ANSWER))
             .otherwise(F.lit(STATUS_INVALID)))
 
 
 def keys_in_order(cleaned, keys) -> Column:
-    """True when the JSON object's keys are exactly ``keys`` in that order."""
+    """True when the JSON object's keys are exactly ``keys`` in that order (a
+    repeated key counts where it comes first)."""
     c = _c(cleaned)
     want = F.array(*[F.lit(k) for k in keys])
-    return F.coalesce(is_json(c) & (F.json_object_keys(c) == want), F.lit(False))
+    return F.coalesce(is_json(c) & (F.array_distinct(F.json_object_keys(c)) == want), F.lit(False))
 
 
 def reply_fields(cleaned, keys, fill: str = "none") -> Column:

@@ -7,6 +7,8 @@ stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,6 +37,25 @@ Answer the question based only on the following context:
 Answer the question based on the above context: {question}
 """
 CONTEXT_SEPARATOR = "\n\n---\n\n"
+# The retrieval question of a place row, the instruction of the
+# two jobs, and the templates that put context before an instruction.
+QUESTION_TEMPLATE = ("Find a match for Continent like {continent}, Country like {country}, State or Province like {state_province}, "
+                     "County like {county} {continent_text}, {country_text}, {state_province_text}, {county_text} must be included in the match")
+INSTRUCTION_FIELDS = 'Find the nearest match to Continent="{continent}", Country="{country}", State/Province="{state_province}", County="{county}"\n'
+ANSWER_SHAPE = '{"irn_eluts":"value1", "continent":"value2", "country":"value3", "state_province":"value4", "county":"value5"}'
+RECONCILE_INSTRUCTION = (INSTRUCTION_FIELDS + "Return the nearest matching line together with the irn_eluts number as JSON of structure "
+                         + ANSWER_SHAPE + "\nMake no commentDo not return newlines in the JSON")
+RETRIEVE_INSTRUCTION = (INSTRUCTION_FIELDS + "Return the matching line together with the irn_eluts number as JSON of structure "
+                        + ANSWER_SHAPE + "Do not return newlines in the JSON")
+RECONCILE_TEMPLATE = ("Answer the question based on the following context:\n{context}\n"
+                      "Answer the question based on the above context: {question}")
+PLACE_TEMPLATE = """
+    Answer the question based only on the following context:
+    {context}
+    ---
+    Answer the question based on the above context: {question}
+"""
+HUMAN_PREFIX = "Human: "
 
 
 def _c(c) -> Column:
@@ -56,41 +77,35 @@ def labelled(c, label: str) -> Column:
     return F.when(c != "", F.concat(F.lit(label + "="), c)).otherwise(F.lit(""))
 
 
+def slots(template: str, names) -> list[str]:
+    """The template cut at its ``{name}`` slots: odd entries are names."""
+    return re.split(r"\{(" + "|".join(names) + r")\}", template)
+
+
+def filled(template: str, **values) -> Column:
+    """``template`` with every ``{name}`` slot replaced by its Column.  The
+    template is cut once, so braces inside the values are never expanded."""
+    parts = slots(template, values)
+    return F.concat(*[_c(values[p]) if k % 2 else F.lit(p) for k, p in enumerate(parts) if p])
+
+
 def question_text(continent, country, state_province, county) -> Column:
     """Retrieval question for one place row; blank slots are kept as they are."""
-    vals = [_c(x) for x in (continent, country, state_province, county)]
-    labels = [labelled(v, QUESTION_LABELS[f]) for v, f in zip(vals, PLACE_FIELDS)]
-    return F.concat(
-        F.lit("Find a match for Continent like "), vals[0],
-        F.lit(", Country like "), vals[1],
-        F.lit(", State or Province like "), vals[2],
-        F.lit(", County like "), vals[3], F.lit(" "),
-        labels[0], F.lit(", "), labels[1], F.lit(", "), labels[2], F.lit(", "), labels[3],
-        F.lit(" must be included in the match"),
-    )
-
-
-def instruction_text(continent, country, state_province, county) -> Column:
-    """Instruction naming the four fields and the JSON shape wanted back."""
-    vals = [_c(x) for x in (continent, country, state_province, county)]
-    return F.concat(
-        F.lit('Find the nearest match to Continent="'), vals[0],
-        F.lit('", Country="'), vals[1],
-        F.lit('", State/Province="'), vals[2],
-        F.lit('", County="'), vals[3],
-        F.lit('"\nReturn the nearest matching line together with the irn_eluts number as JSON of structure '
-              '{"irn_eluts":"value1", "continent":"value2", "country":"value3", '
-              '"state_province":"value4", "county":"value5"}\nMake no comment'
-              'Do not return newlines in the JSON'),
-    )
-
-
-def fill_template(template: str, context, question) -> Column:
-    """Put ``question`` then ``context`` into ``template`` ({question},
-    {context}).  The question goes in first so braces inside retrieved
-    context are never expanded."""
-    t = F.replace(F.lit(template), F.lit("{question}"), _c(question))
-    return F.replace(t, F.lit("{context}"), _c(context))
+    values = dict(zip(PLACE_FIELDS, (continent, country, state_province, county), strict=True))
+    texts = {f + "_text": labelled(v, QUESTION_LABELS[f]) for f, v in values.items()}
+    return filled(QUESTION_TEMPLATE, **values, **texts)
+
+
+def instruction_text(continent, country, state_province, county, template: str = RECONCILE_INSTRUCTION) -> Column:
+    """Instruction naming the four fields and the JSON shape wanted back
+    (``RECONCILE_INSTRUCTION`` or ``RETRIEVE_INSTRUCTION``)."""
+    return filled(template, **dict(zip(PLACE_FIELDS, (continent, country, state_province, county), strict=True)))
+
+
+def fill_template(template: str, context, question, prefix: str = "") -> Column:
+    """Put ``question`` and ``context`` into ``template`` ({question},
+    {context}), after ``prefix`` (``HUMAN_PREFIX`` for a chat transcript)."""
+    return filled(prefix + template, context=context, question=question)
 
 
 def predicate_text(continent, country, state_province, county) -> Column:

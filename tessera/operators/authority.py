@@ -349,10 +349,7 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int, gram: int
     if pairs is None:
         return probes.select(*PROBE_COLS, F.lit(0).cast("bigint").alias("num_authority_matches"),
                              F.lit("[]").alias("candidates"), F.lit(False).alias("candidates_truncated"))
-    pairs = pairs.withColumn("score", F.round(similarity_score() if score is None else score, 6))
-    w = Window.partitionBy(*PLACE_FIELDS).orderBy(F.col("score").desc(), F.col("a_irn_eluts"))
-    top = pairs.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= cap)
-    lists = top.groupBy(*PLACE_FIELDS).agg(
+    lists = _ranked(pairs, cap, score).groupBy(*PLACE_FIELDS).agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(
             "rk", F.struct(F.col("a_irn_eluts").cast("string").alias("irn_eluts"),
                            *[F.col("a_" + f).alias(f) for f in PLACE_FIELDS])
@@ -367,6 +364,24 @@ def candidate_lists(probes: DataFrame, authority: DataFrame, cap: int, gram: int
             .select(*out_cols))
 
 
+def _ranked(pairs: DataFrame, k: int, score: Column | None) -> DataFrame:
+    """The k best candidates of each distinct probe key, with rank ``rk``; the
+    window group limit also runs before the shuffle."""
+    pairs = pairs.withColumn("score", F.round(similarity_score() if score is None else score, 6))
+    w = Window.partitionBy(*PLACE_FIELDS).orderBy(F.col("score").desc(), F.col("a_irn_eluts"))
+    return pairs.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
+
+
+def top_candidates(probes: DataFrame, authority: DataFrame, k: int, gram: int = 3, rarest_gram: bool = True,
+                   key_broadcast_rows: int = KEY_BROADCAST_ROWS, score: Column | None = None) -> DataFrame:
+    """Place fields, a_irn_eluts, score, rk (1 to k) per distinct probe key."""
+    pairs = _key_pairs(shapes(probes.select(*PROBE_COLS), gram), authority, gram, rarest_gram, key_broadcast_rows)
+    if pairs is None:
+        empty = "a_irn_eluts bigint, score double, rk int"
+        return probes.sparkSession.createDataFrame([], ", ".join(f"{f} string" for f in PLACE_FIELDS) + ", " + empty)
+    return _ranked(pairs, k, score).select(*PLACE_FIELDS, "a_irn_eluts", "score", "rk")
+
+
 def candidate_pages(probes: DataFrame, authority: DataFrame, page_size: int = 60, gram: int = 3,
                     rarest_gram: bool = True, key_broadcast_rows: int = KEY_BROADCAST_ROWS) -> DataFrame:
     """Every candidate of every distinct probe key, in pages: place fields,

@@ -91,6 +91,8 @@ def lsh_buckets(planes: np.ndarray, tables: int, bits: int):
         if not ok.any():
             return pd.Series(out, dtype=object)
         V = np.stack(vecs[ok].to_numpy()).astype(np.float64)
+        if V.shape[1] != P.shape[1]:
+            raise ValueError(f"vectors of {V.shape[1]} values, hyperplanes of {P.shape[1]}")
         acc = np.zeros((V.shape[0], P.shape[0]))
         for i in range(P.shape[1]):
             acc = acc + V[:, i:i + 1] * P[:, i]
@@ -126,7 +128,7 @@ def _block_topk(k: int, metric: str, exclude_self: bool):
         if metric == "cosine_counts":
             Q = np.stack(q["v"].to_numpy()).astype(np.int64)
             C = np.stack(c["v"].to_numpy()).astype(np.int64)
-            dots = Q @ C.T
+            dots = Q.astype(np.float64) @ C.astype(np.float64).T  # whole numbers below 2^53: exact
             nq = (Q * Q).sum(1)
             nc = (C * C).sum(1)
             den = np.sqrt((nq[:, None] * nc[None, :]).astype(np.float64))
@@ -294,11 +296,6 @@ def best_hits(hits: DataFrame) -> DataFrame:
     return hits.filter(F.col("rk") == 1)
 
 
-def with_best_relevance(hits: DataFrame) -> DataFrame:
-    w = Window.partitionBy("query_id")
-    return hits.withColumn("best_relevance", F.max("relevance").over(w))
-
-
 def threshold(hits: DataFrame, min_relevance: float, on_low: str = "drop") -> DataFrame:
     """Keep all hits of queries whose best relevance reaches the threshold
     (``on_low='drop'``), or keep everything with a ``low_confidence`` flag

@@ -42,7 +42,22 @@ XML_RESULT = T.StructType([T.StructField("valid", T.BooleanType()), T.StructFiel
 xml_check = F.pandas_udf(_xml_check, XML_RESULT)
 
 
-def xml_quality(df: DataFrame, id_col: str, xml_col: str) -> DataFrame:
+def xml_quality(df: DataFrame, id_col: str, xml_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per document: well-formed flag and the parser's message (Arrow
-    batches, one parser call per document)."""
-    return df.select(id_col, xml_check(F.col(xml_col)).alias("r")).select(id_col, "r.valid", "r.message")
+    batches, one parser call per document), with the ``carry`` columns."""
+    return df.select(id_col, *carry, xml_check(F.col(xml_col)).alias("r")).select(id_col, *carry, "r.valid", "r.message")
+
+
+def quarantined(df: DataFrame, checked: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows, quarantined rows with the parser's message) of
+    ``df``.  ``checked`` is best a written table: both halves read it."""
+    good = checked.filter("valid").select(id_col)
+    return df.join(good, id_col, "left_semi"), df.join(checked.filter("NOT valid").select(id_col, "message"), id_col)
+
+
+def quality_by_source(checked: DataFrame, source_col: str) -> DataFrame:
+    """Documents, well-formed ones and the kinds of fault (message without its
+    position) per source; map-side counts, so a source with most documents is
+    no hot task."""
+    fault = F.when(~F.col("valid"), F.regexp_replace("message", r": line \d+, column \d+$", ""))
+    return checked.groupBy(source_col, fault.alias("fault")).agg(F.count("*").alias("n_docs"))

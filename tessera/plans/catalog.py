@@ -26,6 +26,7 @@ from ..sinks import files as sinks
 from ..sources import files as sources
 from ..streaming import incremental
 from . import ingest
+from . import jobs
 from . import match_eval as match_eval_plan
 from . import reconcile as rec
 from . import replies as replies_plan
@@ -214,7 +215,7 @@ UNION ALL SELECT n_nationkey, 'labelled', concat_ws(chr(10), 'n_nationkey: ' ||
 def q_csv_row_documents(spark, sf):
     path = new_scratch_path(spark, "nation-csv")
     sinks.write_csv(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), path)
-    read = sources.read_csv_table(spark, path, "n_nationkey bigint, n_name string, n_regionkey bigint")
+    read = sources.read_csv_table(spark, path, "n_nationkey bigint, n_name string, n_regionkey bigint", multiline=False)
     return sources.csv_rows_as_documents(read, "plain", "n_nationkey").unionByName(
         sources.csv_rows_as_documents(read, "labelled", "n_nationkey", labelled=True))
 
@@ -342,10 +343,19 @@ def _label_sql(f, label):
     return f"CASE WHEN {f} <> '' THEN '{label}=' || {f} ELSE '' END"
 
 
-QUESTION_SQL = ("'Find a match for Continent like ' || continent || ', Country like ' || country || "
-                "', State or Province like ' || state_province || ', County like ' || county || ' ' || "
-                + " || ', ' || ".join(_label_sql(f, QUESTION_LABELS[f]) for f in PLACE_FIELDS)
-                + " || ' must be included in the match'")
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def template_sql(template: str, **values: str) -> str:
+    """A text template as SQL, its slots replaced by expressions."""
+    parts = txt.slots(template, values)
+    return "(" + " || ".join(values[p] if k % 2 else _sql_str(p) for k, p in enumerate(parts) if p) + ")"
+
+
+PLACES_SQL = {f: f for f in PLACE_FIELDS}
+QUESTION_SQL = template_sql(txt.QUESTION_TEMPLATE, **PLACES_SQL, **{f + "_text": _label_sql(f, QUESTION_LABELS[f]) for f in PLACE_FIELDS})
+INSTRUCTION_SQL = template_sql(txt.RECONCILE_INSTRUCTION, **PLACES_SQL)
 
 
 @query("norm_blank", with_views("SELECT * FROM norm", "norm"))
@@ -373,10 +383,6 @@ def q_predicate_text(spark, sf):
     return p.select("irn", txt.predicate_text(*PLACE_FIELDS).alias("query_string"))
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
 @query("prompt_fill", with_views(
     f"SELECT irn, replace(replace({_sql_str(PROMPT_TEMPLATE)}, '{{question}}', {QUESTION_SQL}), '{{context}}', "
     f"{PREDICATE_TEXT_SQL.format(p='')}) AS prompt FROM norm", "norm"))
@@ -386,9 +392,6 @@ def q_prompt_fill(spark, sf):
                                              txt.question_text(*PLACE_FIELDS)).alias("prompt"))
 
 
-RETRIEVE_KEYS = ("irn", "error", "irn_eluts", "continent", "country", "state_province", "county", "error_output")
-
-
 @query("default_row", with_views(
     "SELECT coalesce(CAST(irn AS VARCHAR), 'none') AS irn, 'none' AS error, 'none' AS irn_eluts, "
     "coalesce(dar_continent, 'none') AS continent, coalesce(dar_country, 'none') AS country, "
@@ -397,7 +400,7 @@ RETRIEVE_KEYS = ("irn", "error", "irn_eluts", "continent", "country", "state_pro
 def q_default_row(spark, sf):
     t = views.transcribed(spark, sf)
     t = t.select("irn", *[F.col("dar_" + f).alias(f) for f in PLACE_FIELDS])
-    return rows.default_filled(t, RETRIEVE_KEYS)
+    return rows.default_filled(t, jobs.RETRIEVE_COLS)
 
 
 # --------------------------------------------------------------------------
@@ -587,10 +590,9 @@ CENTROID_SQL = """centroid AS (
 def q_knn_single(spark, sf):
     """Top-3 embeddings nearest the corpus centroid (one query vector)."""
     e = table(spark, sf, "embeddings").select("vec_id", "embedding")
-    dim = 64
-    # the centroid is one bounded row (dim doubles); it becomes a literal
+    # the centroid is one bounded row of doubles; it becomes a literal
     cent = e.select(F.posexplode(V.as_double("embedding")).alias("i", "x")).groupBy("i").agg(F.avg("x").alias("m"))
-    vals = [r["m"] for r in cent.orderBy("i").collect()][:dim]
+    vals = [r["m"] for r in cent.orderBy("i").collect()]
     qv = F.array(*[F.lit(float(x)) for x in vals])
     out = knn_ops.knn_single(qv, e, 3, c_id="vec_id", c_vec="embedding", distance=V.sq_l2("embedding", qv))
     return out.withColumn("distance", F.round("distance", 6))
@@ -885,7 +887,7 @@ def q_csv_round_trip(spark, sf):
     path = new_scratch_path(spark, "auth-csv")
     sinks.write_csv(_auth_nulls(spark, sf), path)
     schema = "irn_eluts bigint, continent string, country string, state_province string, county string"
-    return sources.read_csv_table(spark, path, schema)
+    return sources.read_csv_table(spark, path, schema, multiline=False)
 
 
 @query("vector_table", with_views(
@@ -917,13 +919,6 @@ def q_incremental_reconcile(spark, sf):
 # Remaining scalar text: instruction, lengths, answer line
 # --------------------------------------------------------------------------
 
-INSTRUCTION_SQL = ("""'Find the nearest match to Continent="' || continent || '", Country="' || country || """
-                   """'", State/Province="' || state_province || '", County="' || county || '"' || chr(10) || """
-                   """'Return the nearest matching line together with the irn_eluts number as JSON of structure """
-                   """{"irn_eluts":"value1", "continent":"value2", "country":"value3", "state_province":"value4", """
-                   """"county":"value5"}' || chr(10) || 'Make no commentDo not return newlines in the JSON'""")
-
-
 @query("instruction_text", with_views(f"SELECT irn, {INSTRUCTION_SQL} AS instruction FROM norm", "norm"))
 def q_instruction_text(spark, sf):
     p = _probes(spark, sf)

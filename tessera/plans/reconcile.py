@@ -10,14 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.replies import STATUS_NO_ANSWER, STATUS_OK
 from ..functions.text import PLACE_FIELDS, predicate_text
 from ..operators.authority import probe_stats
 from ..operators.rows import batch_numbers
 
-# Result columns in their order, and the status texts.
+# Result columns in their order.
 RESULT_COLS = ("irn_eluts", "continent", "country", "state_province", "county",
                "num_authority_matches", "irn", "error", "query_string", "error_output")
-STATUS_OK, STATUS_NO_ANSWER, STATUS_INVALID = "OK", "NO_ANSWER", "INVALID_JSON"
 
 
 def reconcile(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:

@@ -48,7 +48,16 @@ def hits_for(questions: DataFrame, chunks: DataFrame, k: int = 3, dim: int = 64,
     hits = knn_join(qv, cv, k, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="v", metric=metric, **kw)
     if fits(questions, BROADCAST_QUESTIONS):
         hits = F.broadcast(hits)
-    return chunks.select("chunk_id", "chunk", "source").join(hits, "chunk_id")
+    origin = [c for c in ("doc_id", "start_index") if c in chunks.columns]
+    return chunks.select("chunk_id", "chunk", "source", *origin).join(hits, "chunk_id")
+
+
+def source_records(hits: DataFrame) -> DataFrame:
+    """Per question the ordered list of where its hits come from:
+    array<struct<source, start_index>>, at most k entries."""
+    ranked = F.array_sort(F.collect_list(F.struct("rk", "source", "start_index")))
+    records = F.transform(ranked, lambda x: F.struct(x["source"].alias("source"), x["start_index"].alias("start_index")))
+    return hits.groupBy("query_id").agg(records.alias("sources"))
 
 
 def context_rows(hits: DataFrame) -> DataFrame:

@@ -14,11 +14,11 @@ from ..operators.rows import select_keys
 
 
 def write_csv(df: DataFrame, path: str, keys=(), mode: str = "overwrite") -> None:
-    """Header, comma, UTF-8.  Spark writes '' as a quoted "" and null as an
-    empty field, so both read back as they were.  A folder of part files
-    (one per task)."""
-    (select_keys(df, keys).write.mode(mode).option("header", True).option("escape", '"')
-     .option("encoding", "UTF-8").csv(path))
+    """Header, comma, UTF-8; blanks at the ends of a cell are kept.  Spark writes '' as a quoted "" and null as an
+    empty field, so both read back as they were; cells with newlines read back
+    with ``multiline=True``.  A folder of part files (one per task)."""
+    (select_keys(df, keys).write.mode(mode).option("header", True).option("escape", '"').option("encoding", "UTF-8")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_batches(df: DataFrame, path: str, order_col: str, batch_size: int = 20, run: str = "1") -> None:

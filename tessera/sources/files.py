@@ -10,8 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..functions.text import CSV_NULL_TOKENS, base64_plain
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, null_tokens=CSV_NULL_TOKENS,
-                   multiline: bool = False, keep_empty: bool = False, bad_cells: str | None = None) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, *, multiline: bool, null_tokens=CSV_NULL_TOKENS,
+                   keep_empty: bool = False, bad_cells: str | None = None) -> DataFrame:
     """CSV with a header and an explicit schema (no inference pass).  Columns
     are taken by name, in any order and beside any others; a name that the
     header lacks is an error.  ``bad_cells`` names an array column that lists,
@@ -19,8 +19,9 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType | str, nul
 
     ``escape='"'`` reads doubled quotes inside quoted cells; every string
     cell equal to one of ``null_tokens`` becomes null, as the dataframe
-    reader does (Spark alone only nulls empty cells).  ``multiline`` only
-    for files whose cells hold newlines: it stops files being split.
+    reader does (Spark alone only nulls empty cells).  ``multiline`` has
+    no default: True reads cells that hold newlines but stops files being
+    split, False splits files and must not meet such cells.
     ``keep_empty=True`` reads a quoted "" as '' (only an empty field is
     null), the way ``write_csv`` writes them; by default both are null, as
     in the dataframe library."""

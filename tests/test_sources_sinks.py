@@ -48,7 +48,7 @@ def test_csv_sink_round_trip_keeps_empty_strings(spark):
     df = spark.createDataFrame([(1, "", None, 'q"uote')], "id long, e string, n string, q string")
     path = new_scratch_path(spark, "out")
     sinks.write_csv(df, path, keys=["id", "q", "e", "n"])
-    back = sources.read_csv_table(spark, path, "id long, q string, e string, n string", keep_empty=True)
+    back = sources.read_csv_table(spark, path, "id long, q string, e string, n string", multiline=False, keep_empty=True)
     assert back.columns == ["id", "q", "e", "n"]
     r = back.first()
     assert (r["q"], r["e"], r["n"]) == ('q"uote', "", None)
@@ -79,10 +79,10 @@ def test_spread_deals_out_small_inputs_only(spark, monkeypatch):
 def test_csv_columns_are_taken_by_name(spark):
     path = new_scratch_path(spark, "wide-csv")
     spark.createDataFrame([("1", "junk", "China", "Asia"), ("x", "j", "NULL", "")], "irn string, extra string, country string, continent string").coalesce(1).write.option("header", True).csv(path)
-    got = sources.read_csv_table(spark, path, "irn bigint, continent string, country string", bad_cells="bad").orderBy(F.col("irn").desc()).collect()
+    got = sources.read_csv_table(spark, path, "irn bigint, continent string, country string", multiline=False, bad_cells="bad").orderBy(F.col("irn").desc()).collect()
     assert [tuple(r) for r in got] == [(1, "Asia", "China", []), (None, None, None, ["irn"])]
     with pytest.raises(ValueError):
-        sources.read_csv_table(spark, path, "irn bigint, nowhere string")
+        sources.read_csv_table(spark, path, "irn bigint, nowhere string", multiline=False)
 
 
 def test_file_documents_can_be_chunked(spark):
