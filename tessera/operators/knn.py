@@ -29,8 +29,6 @@ bit-identical to a left fold in SQL; ties go to the smaller corpus id.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -57,6 +55,15 @@ def _small_query_side(queries: DataFrame, q_vec: str, max_rows: int, max_bytes:
     return r["n"] <= max_rows and r["n"] * max(r["d"] or 0, 0) * 8 <= max_bytes
 
 
+BUCKET_ROWS = 64  # corpus rows of an even bucket
+
+
+def lsh_bits(corpus_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Bits per hash table that leave about ``bucket_rows`` corpus rows in an
+    even bucket, so a query meets a number of rows that hardly grows."""
+    return max(1, (max(corpus_rows - 1, 0) // bucket_rows).bit_length())
+
+
 def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
     return np.random.RandomState(seed).standard_normal((bits, dim))
 
@@ -192,17 +199,6 @@ def _stream_topk(qid: np.ndarray, Q: np.ndarray, k: int, metric: str, exclude_se
     return run
 
 
-def _blocks(counts: dict, block_rows: int, min_groups: int) -> dict:
-    """Blocks per side per bucket: ceil(n / block_rows), and enough corpus
-    blocks that one bucket still spreads over ``min_groups`` tasks."""
-    out = {}
-    for b, (nq, nc) in counts.items():
-        qb = max(1, math.ceil(nq / block_rows))
-        cb = max(1, math.ceil(nc / block_rows), min(max(1, nc // 64), math.ceil(min_groups / qb)))
-        out[b] = (qb, cb)
-    return out
-
-
 def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec: str, c_id: str, c_vec: str,
              metric: str = "sq_l2", exclude_self: bool = False, block_rows: int = 2048,
              q_bucket: Column | None = None, c_bucket: Column | None = None, q_probe: Column | None = None,
@@ -228,37 +224,35 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
                       (c_bucket if c_bucket is not None else F.lit(0)).alias("b"))
     if isinstance(c.schema["b"].dataType, T.ArrayType):
         c = c.withColumn("b", F.explode("b"))
-    # per-bucket sizes of both sides in one job: one row per bucket (bounded
-    # by the bucket scheme, not by the data)
+    # per-bucket sizes of both sides, joined: blocks of at most ``block_rows``,
+    # and without buckets enough corpus blocks for ``min_groups`` tasks
+    one_bucket = q_bucket is None and c_bucket is None and q_probe is None
+    groups = (min_groups or 2 * spark.sparkContext.defaultParallelism) if one_bucket else 1
     sizes = (q.select("b", F.lit(1).alias("_q")).unionByName(c.select("b", F.lit(0).alias("_q")))
-             .groupBy("b").agg(F.sum("_q").alias("nq"), F.sum(F.lit(1) - F.col("_q")).alias("nc")).collect())
-    both = {r["b"]: (r["nq"], r["nc"]) for r in sizes if r["nq"] and r["nc"]}
-    if not both:
-        return spark.createDataFrame([], "query_id long, rk int, chunk_id long, distance double, relevance double")
-    min_groups = min_groups or 2 * spark.sparkContext.defaultParallelism
-    blocks = _blocks(both, block_rows, max(1, min_groups // max(1, len(both))))
-    qb = F.create_map(*[x for b, (a, _) in blocks.items() for x in (F.lit(b), F.lit(a))])
-    cb = F.create_map(*[x for b, (_, z) in blocks.items() for x in (F.lit(b), F.lit(z))])
-    q2 = (q.filter(F.col("b").isin(list(blocks)))
-          .withColumn("qs", F.pmod(F.xxhash64("qid"), F.element_at(qb, F.col("b")).cast("long")))
-          .withColumn("cs", F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(cb, F.col("b")).cast("long") - 1))))
-    c2 = (c.filter(F.col("b").isin(list(blocks)))
-          .withColumn("cs", F.pmod(F.xxhash64("cid"), F.element_at(cb, F.col("b")).cast("long")))
-          .withColumn("qs", F.explode(F.sequence(F.lit(0).cast("long"), F.element_at(qb, F.col("b")).cast("long") - 1))))
+             .groupBy("b").agg(F.sum("_q").alias("nq"), F.sum(F.lit(1) - F.col("_q")).alias("nc")).filter("nq > 0 AND nc > 0"))
+    blocks = sizes.select("b", F.ceil(F.col("nq") / block_rows).alias("qb"), "nc")
+    blocks = blocks.select("b", "qb", F.greatest(F.ceil(F.col("nc") / block_rows), F.least(F.greatest(F.floor(F.col("nc") / 64), F.lit(1)),
+                                                 F.ceil(F.lit(groups) / F.col("qb")))).alias("cb"))
+    def dealt(side: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        """A row is in one block of its side and meets all of the other's."""
+        return (side.join(blocks, "b").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)))
+                .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1))).drop("qb", "cb"))
+    q2, c2 = dealt(q, "qid", "qs", "qb", "cs", "cb"), dealt(c, "cid", "cs", "cb", "qs", "qb")
     keys = ["b", "qs", "cs"]
     part = (q2.groupBy(*keys).cogroup(c2.groupBy(*keys))
             .applyInPandas(_block_topk(k, metric, exclude_self), OUT_SCHEMA))
-    # a query probing several buckets can meet the same corpus row twice
-    if q_probe is not None:
-        part = part.dropDuplicates(["qid", "cid"])
-    return _merge_top(part, k)
+    return _merge_top(part, k, repeats=q_probe is not None)
 
 
-def _merge_top(part: DataFrame, k: int) -> DataFrame:
+def _merge_top(part: DataFrame, k: int, repeats: bool = False) -> DataFrame:
     """Merge per-block / per-task winners: a window group limit (partial
-    before the shuffle) keeps the k best (distance, cid) per query."""
+    before the shuffle) keeps the k best (distance, cid) per query.  With
+    ``repeats`` (a query that probes several buckets can meet a corpus row
+    twice) equal pairs share a rank and one stays, in the same partitions."""
     w = Window.partitionBy("qid").orderBy("distance", "cid")
-    top = part.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= k)
+    top = part.withColumn("rk", (F.dense_rank() if repeats else F.row_number()).over(w)).filter(F.col("rk") <= k)
+    if repeats:
+        top = top.dropDuplicates(["qid", "cid"])
     return top.select(F.col("qid").alias("query_id"), "rk", F.col("cid").alias("chunk_id"), "distance",
                       relevance(F.col("distance")).alias("relevance"))
 

@@ -598,29 +598,32 @@ def q_knn_single(spark, sf):
     return out.withColumn("distance", F.round("distance", 6))
 
 
-LSH_DIM, LSH_TABLES, LSH_BITS = 64, 3, 4
+LSH_DIM, LSH_TABLES = 64, 3
+LSH_SQL_BITS = 10  # the SQL writes out planes for up to 64 x 2^10 rows
 
 
 def _lsh_sql() -> list[str]:
-    """The same sign buckets in SQL: the seeded hyperplanes as exact double
-    literals, each dot product a left fold in index order (bit-identical to
-    the Spark ``aggregate``), so the candidate sets agree exactly."""
-    planes = knn_ops.hyperplanes(LSH_DIM, LSH_TABLES * LSH_BITS)
+    """The same sign buckets in SQL: bits from the row count, the seeded
+    hyperplanes as exact double literals, each dot product a left fold in
+    index order (bit-identical to the Spark side), so the candidate sets agree
+    exactly."""
+    planes = knn_ops.hyperplanes(LSH_DIM, LSH_TABLES * LSH_SQL_BITS)
 
-    def dot(p):
+    def sign(p):
         lit = "[" + ", ".join(format(float(x), ".17e") for x in p) + "]::DOUBLE[]"
-        return (f"list_reduce(list_transform(range(1, {LSH_DIM} + 1), lambda i: CAST(embedding[i] AS DOUBLE) * "
-                f"({lit})[i]), lambda x, y: x + y)")
-
-    bucket = [" + ".join(f"(CASE WHEN {dot(planes[t * LSH_BITS + j])} > 0 THEN {1 << j} ELSE 0 END)"
-                         for j in range(LSH_BITS)) for t in range(LSH_TABLES)]
-    ck = ", ".join(f"b{t} + {t << LSH_BITS}" for t in range(LSH_TABLES))
-    qk = ", ".join(f"xor(b{t}, {f}) + {t << LSH_BITS}" for t in range(LSH_TABLES)
-                   for f in [0] + [1 << j for j in range(LSH_BITS)])
+        return (f"CASE WHEN list_reduce(list_transform(range(1, {LSH_DIM} + 1), lambda i: CAST(embedding[i] AS DOUBLE) * "
+                f"({lit})[i]), lambda x, y: x + y) > 0 THEN 1::BIGINT ELSE 0::BIGINT END")
+
+    tables = str(list(range(LSH_TABLES)))
     return [
-        "lsh AS (SELECT vec_id, " + ", ".join(f"{b} AS b{t}" for t, b in enumerate(bucket)) + " FROM embeddings)",
-        f"ck AS (SELECT vec_id, unnest([{ck}]) AS key FROM lsh)",
-        f"qk AS (SELECT vec_id, unnest([{qk}]) AS key FROM lsh)",
+        f"cfg AS (SELECT greatest(1, length(bin((count(embedding) - 1) // {knn_ops.BUCKET_ROWS}))) AS bits FROM embeddings)",
+        f"signs AS MATERIALIZED (SELECT vec_id, [{', '.join(sign(p) for p in planes)}] AS s FROM embeddings WHERE embedding IS NOT NULL)",
+        f"""lsh AS (SELECT vec_id, bits, list_transform({tables}, lambda t: CAST(list_sum(list_transform(range(0, bits),
+  lambda j: s[t * bits + j + 1] * (1::BIGINT << j::INTEGER))) AS BIGINT)) AS b FROM signs, cfg)""",
+        f"ck AS (SELECT vec_id, unnest(list_transform({tables}, lambda t: b[t + 1] + (t::BIGINT << bits::INTEGER))) AS key FROM lsh)",
+        f"""qk AS (SELECT vec_id, unnest(flatten(list_transform({tables}, lambda t: list_transform(
+  list_concat([0::BIGINT], list_transform(range(0, bits), lambda j: 1::BIGINT << j::INTEGER)),
+  lambda f: xor(b[t + 1], f) + (t::BIGINT << bits::INTEGER))))) AS key FROM lsh)""",
         """cand AS (SELECT DISTINCT q.vec_id AS query_id, c.vec_id AS chunk_id
   FROM qk q JOIN ck c ON q.key = c.key AND q.vec_id <> c.vec_id)""",
         f"""knn AS (
@@ -635,12 +638,12 @@ def _lsh_sql() -> list[str]:
 
 @query("knn_bucketed", with_views(KNN_OUT_SQL, ctes=_lsh_sql()))
 def q_knn_bucketed(spark, sf):
-    """Approximate top-3: 3 hash tables of 4 hyperplane bits, each probed at
-    its bucket and the 4 buckets one bit away, exact re-rank inside.  The
-    oracle rebuilds the same buckets, so it checks the exact top-3 within
+    """Approximate top-3: 3 hash tables whose bits follow the row count, each
+    probed at its bucket and the buckets one bit away, exact re-rank inside.
+    The oracle rebuilds the same buckets, so it checks the exact top-3 within
     the probed buckets (recall against brute force is a pytest)."""
-    e = knn_ops.with_lsh_keys(table(spark, sf, "embeddings").select("vec_id", "embedding"), "embedding",
-                              LSH_DIM, tables=LSH_TABLES, bits=LSH_BITS)
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding").filter("embedding IS NOT NULL")
+    e = knn_ops.with_lsh_keys(e, "embedding", LSH_DIM, tables=LSH_TABLES, bits=knn_ops.lsh_bits(e.count()))
     return _round_hits(knn_ops.knn_join(
         e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True,
         c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys")))

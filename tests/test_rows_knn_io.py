@@ -164,3 +164,22 @@ def test_knn_ties_do_not_depend_on_partitions_or_plan(spark):
             for limit in (0, 65_536):
                 hits = knn_join(d.filter("id = 7"), d.repartition(n), 3, q_id="id", q_vec="v", c_id="id", c_vec="v", metric=metric, broadcast_queries=limit)
                 assert [r["chunk_id"] for r in hits.orderBy("rk").collect()] == [1, 2, 3]
+
+
+def test_lsh_bits_follow_the_corpus():
+    from tessera.operators import knn as K
+    assert [K.lsh_bits(n) for n in (0, 1, 64, 65, 129, 64_000, 64_000_000)] == [1, 1, 1, 1, 2, 10, 20]
+
+
+def test_a_hot_bucket_is_cut_and_loses_nothing(spark):
+    """Copies of one vector share every bucket: cut into blocks, the k nearest
+    are still the smallest ids, and a pair met in several tables counts once."""
+    from tessera.operators import knn as K
+    df = spark.range(300).select("id", F.array(F.lit(1.0), F.lit(-2.0), F.lit(0.5)).alias("v"))
+    x = K.with_lsh_keys(df, "v", 3, 3, 2)
+    hits = K.knn_join(x, x, 3, q_id="id", q_vec="v", c_id="id", c_vec="v", exclude_self=True, block_rows=64, c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys"))
+    got = {}
+    for r in hits.collect():
+        got.setdefault(r.query_id, {})[r.rk] = r.chunk_id
+    assert len(got) == 300
+    assert all(list(dict(sorted(g.items())).values()) == [i for i in range(4) if i != q][:3] for q, g in got.items())
