@@ -27,13 +27,19 @@ SEPARATORS = ("\n\n", "\n", " ", "")
 
 def fixed_chunks(docs: DataFrame, size: int = 300, overlap: int = 100, text_col: str = "text",
                  id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+    """A text is cut into stretches of about sqrt(windows) windows first and
+    each stretch into its windows: a window is found by counting characters,
+    so cutting every one from the whole text would be quadratic in its length."""
     step = size - overlap
-    n = F.length(text_col)
-    starts = F.sequence(F.lit(0), F.greatest(n - overlap - 1, F.lit(0)), F.lit(step))
-    x = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                    F.col(text_col).alias("_t"), F.posexplode(starts).alias("chunk_no", "start_index"))
-    return x.select("doc_id", "chunk_no", "start_index", "source",
-                    F.expr(f"substring(_t, start_index + 1, {size})").alias("chunk"),
+    n = F.greatest(F.ceil((F.coalesce(F.length(text_col), F.lit(0)) - overlap) / step), F.lit(1)).cast("int")
+    x = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("_t"),
+                    n.alias("_n"), F.ceil(F.sqrt(n)).cast("int").alias("_g"))
+    stretches = F.expr(f"transform(sequence(0, (_n - 1) div _g), i -> substring(_t, CAST(i * _g * {step} + 1 AS INT), (_g - 1) * {step} + {size}))")
+    x = x.select("doc_id", "source", "_n", "_g", F.posexplode(stretches).alias("_s", "_part"))
+    x = x.select("doc_id", "source", "_part", (F.col("_s") * F.col("_g")).alias("_first"),
+                 F.explode(F.expr("sequence(0, least(_g, _n - _s * _g) - 1)")).alias("_k"))
+    x = x.select("doc_id", (F.col("_first") + F.col("_k")).alias("chunk_no"), "source", F.expr(f"substring(_part, _k * {step} + 1, {size})").alias("chunk"))
+    return x.select("doc_id", "chunk_no", (F.col("chunk_no") * step).alias("start_index"), "source", "chunk",
                     chunk_key(F.col("doc_id"), F.col("chunk_no")).alias("chunk_id"))
 
 

@@ -44,6 +44,7 @@ OUT_SCHEMA = "qid long, cid long, distance double"
 # the blocked equi-key join.
 BROADCAST_QUERIES = 65_536
 BROADCAST_QUERY_BYTES = 64 << 20
+TASKS_PER_CORE = 4
 
 
 def _small_query_side(queries: DataFrame, q_vec: str, max_rows: int, max_bytes: int) -> bool:
@@ -68,25 +69,10 @@ def hyperplanes(dim: int, bits: int, seed: int = 7) -> np.ndarray:
     return np.random.RandomState(seed).standard_normal((bits, dim))
 
 
-def lsh_bucket(vec: Column, planes: np.ndarray) -> Column:
-    """Sign pattern of the vector against fixed hyperplanes, as an int
-    (Column expression; ``with_lsh_keys`` uses the batched form below)."""
-    v = F.transform(vec, lambda x: x.cast("double"))
-    terms = []
-    for j, p in enumerate(planes):
-        pl = F.array(*[F.lit(float(x)) for x in p])
-        d = F.aggregate(F.zip_with(v, pl, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-        terms.append(F.when(d > 0, F.lit(1 << j)).otherwise(F.lit(0)))
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
 def lsh_buckets(planes: np.ndarray, tables: int, bits: int):
     """Arrow-batched sign buckets of every hash table: one numpy pass per
     batch.  The dot products are a left fold in index order (vectorised over
-    rows and planes), the same sums as ``lsh_bucket`` and the SQL check, so
+    rows and planes), the same sums as the SQL check, so
     every sign bit is identical to theirs."""
     P = np.asarray(planes, dtype=np.float64)
     weights = (1 << np.arange(bits)).astype(np.int32)
@@ -269,10 +255,11 @@ def _knn_stream(queries: DataFrame, corpus: DataFrame, k: int, q_id: str, q_vec:
     qid = np.array([r["qid"] for r in rows], dtype=np.int64)
     dtype = np.int64 if metric == "cosine_counts" else np.float64
     Q = np.array([list(r["v"]) for r in rows], dtype=dtype)
-    # the corpus keeps its partitions (callers spread single-split inputs
-    # before their CPU-heavy steps; a second round-robin here would only
-    # shuffle the vectors again)
-    c = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).alias("v"))
+    # every task emits k rows per query, so neighbouring corpus splits share a
+    # task: the merge reads queries x k x TASKS_PER_CORE x cores rows whatever
+    # the corpus size.  Nothing is shuffled, and fewer splits stay as they are.
+    tasks = TASKS_PER_CORE * corpus.sparkSession.sparkContext.defaultParallelism
+    c = corpus.select(F.col(c_id).cast("long").alias("cid"), F.col(c_vec).alias("v")).coalesce(tasks)
     part = c.mapInPandas(_stream_topk(qid, Q, k, metric, exclude_self, block_rows), OUT_SCHEMA)
     return _merge_top(part, k)
 

@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 from pyspark.sql.window import Window
 
+from .predicates import quote_ident
 from ..session import checkpoint as _checkpoint
 
 _LOW33 = (1 << 33) - 1
@@ -45,10 +47,14 @@ def row_numbers(df: DataFrame, order_cols, name: str = "row_no") -> DataFrame:
     from the same partitions, and neither sampled range bounds nor runtime
     coalescing give the same ones twice.  The offset table has one row per
     partition, so broadcasting it is bounded by the partition count, not by
-    the data.  Rows tied on ``order_cols`` get distinct numbers in no defined
-    order."""
+    the data.  Rows tied on ``order_cols`` follow the hash of their other
+    columns, which also splits a value that many rows share over several
+    partitions; only rows equal in every column are in no defined order."""
     order_cols = list(order_cols)
-    x = _checkpoint(df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols)
+    hashable = [F.col(quote_ident(f.name)) for f in df.schema if "map<" not in f.dataType.simpleString()
+                and not isinstance(f.dataType, VariantType)]
+    order = [*order_cols, F.xxhash64(*hashable)] if hashable else order_cols
+    x = _checkpoint(df.repartitionByRange(*order).sortWithinPartitions(*order)
                     .withColumn("_mid", F.monotonically_increasing_id()))
     x = x.withColumn("_pid", F.shiftright("_mid", 33)).withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOW33)))
     counts = x.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

@@ -74,19 +74,10 @@ def new_scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a lazy DataFrame.  The resolved relation (file
-    listing and footer schema) is remembered per session and path, so
-    queries that read the same table do not list it again; no data is
-    cached."""
-    path = f"{sf_dir}/{name}.parquet"
-    hit = _TABLES.get(path)
-    if hit is None or hit[0] is not spark:
-        hit = _TABLES[path] = (spark, spark.read.parquet(path))
-    return hit[1]
+    """A driver table as a lazy DataFrame, listed anew on every call: a table
+    that was rewritten in the same session is read as it is now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

@@ -45,6 +45,17 @@ def test_fixed_chunks_cover_text(spark):
     assert "".join(r["chunk"][:20] for r in rows[:-1]) + rows[-1]["chunk"] == "abcdefghij" * 7
 
 
+def test_fixed_chunks_of_every_length_and_of_a_long_text(spark):
+    texts = [None, *("é" * n for n in range(0, 140)), "".join(chr(97 + i * i % 23) for i in range(300_000))]
+    docs = spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "doc_id long, source string, text string")
+    got = {(r.doc_id, r.chunk_no): (r.start_index, r.chunk) for r in C.fixed_chunks(docs, 30, 10).collect()}
+    want = {}
+    for i, t in enumerate(texts):
+        for no, at in enumerate(range(0, max(len(t or "") - 10, 1), 20)):
+            want[i, no] = (at, None if t is None else t[at:at + 30])
+    assert got == want
+
+
 def test_xml_check(spark):
     df = spark.createDataFrame([(1, "<a><b/></a>"), (2, "<a><b></a>")], "id long, x string")
     out = {r["id"]: r for r in X.xml_quality(df, "id", "x").collect()}
