@@ -2,11 +2,11 @@
 vectors, with rank, distance and relevance.
 
 Plan shape (no cross join, no pair rows).  Both sides are cut into blocks;
-each query block meets each corpus block of the same bucket through an
-equi-key ``(bucket, q_block, c_block)`` (queries are replicated over the
-corpus blocks of their bucket and vice versa), and a ``cogroup`` +
-``applyInPandas`` computes the block's distance matrix with numpy and emits
-only the k best corpus rows per query.  A window group limit merges the
+each query block meets each corpus block of the same bucket in a cell
+``(bucket, q_block, c_block)`` (queries are replicated over the corpus blocks
+of their bucket and vice versa).  Cells are dealt into packs by hash, and a
+``cogroup`` + ``applyInArrow`` by pack computes each cell's distance matrix
+with numpy and emits only the k best corpus rows per query.  A window group limit merges the
 per-block winners.  Block sizes are bounded (``block_rows`` per side), so
 no task holds more than block_rows^2 distances whatever the data size, and
 a hot bucket is simply cut into more blocks.
@@ -31,12 +31,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.vectors import relevance
+from ..session import checkpoint
 
 OUT_SCHEMA = "qid long, cid long, distance double"
 # Query sets up to this many rows, and up to this many bytes of float64
@@ -45,6 +48,7 @@ OUT_SCHEMA = "qid long, cid long, distance double"
 BROADCAST_QUERIES = 65_536
 BROADCAST_QUERY_BYTES = 64 << 20
 TASKS_PER_CORE = 4
+PACK_ROWS = 16_384  # rows of both sides that one Python group compares
 
 
 def _small_query_side(queries: DataFrame, q_vec: str, max_rows: int, max_bytes: int) -> bool:
@@ -111,46 +115,75 @@ def with_lsh_keys(df: DataFrame, vec_col: str, dim: int, tables: int = 3, bits:
     return x.withColumn("_ckeys", F.array(*ck)).withColumn("_qkeys", F.array(*qk)).drop("_lsh")
 
 
-def _block_topk(k: int, metric: str, exclude_self: bool):
-    def fn(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if len(q) == 0 or len(c) == 0:
-            return pd.DataFrame({"qid": pd.Series([], "int64"), "cid": pd.Series([], "int64"),
-                                 "distance": pd.Series([], "float64")})
-        qid = q["qid"].to_numpy(np.int64)
-        cid = c["cid"].to_numpy(np.int64)
-        if metric == "cosine_counts":
-            Q = np.stack(q["v"].to_numpy()).astype(np.int64)
-            C = np.stack(c["v"].to_numpy()).astype(np.int64)
-            dots = Q.astype(np.float64) @ C.astype(np.float64).T  # whole numbers below 2^53: exact
-            nq = (Q * Q).sum(1)
-            nc = (C * C).sum(1)
-            den = np.sqrt((nq[:, None] * nc[None, :]).astype(np.float64))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                d = np.where(den > 0, 2.0 - 2.0 * dots / den, 2.0)
-            approx = d
-        else:
-            Q = np.stack(q["v"].to_numpy()).astype(np.float64)
-            C = np.stack(c["v"].to_numpy()).astype(np.float64)
-            approx = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
-        if exclude_self:
-            approx = np.where(qid[:, None] == cid[None, :], np.inf, approx)
-        # every column that may belong to the k nearest: within a rounding
-        # bound of the k-th value, so ties are cut by the exact order only
-        kth = np.partition(approx, min(k, len(cid)) - 1, axis=1)[:, min(k, len(cid)) - 1]
-        slack = 0.0 if metric == "cosine_counts" else 1e-9 * (1.0 + (Q * Q).sum(1) + (C * C).sum(1).max())
-        row, col = np.nonzero((approx <= (kth + slack)[:, None]) & np.isfinite(approx))
-        if metric == "cosine_counts":
-            exact = approx[row, col]
-        else:
-            exact = np.zeros(len(row))
-            for j in range(Q.shape[1]):  # left fold in index order
-                t = Q[row, j] - C[col, j]
-                exact = exact + t * t
-        order = np.lexsort((cid[col], exact, row))
-        row, col, exact = row[order], col[order], exact[order]
-        first = np.searchsorted(row, row, "left")
-        keep = np.arange(len(row)) - first < k
-        return pd.DataFrame({"qid": qid[row[keep]], "cid": cid[col[keep]], "distance": exact[keep]})
+def _matrix(vectors, metric: str) -> np.ndarray:
+    return np.stack(vectors).astype(np.int64 if metric == "cosine_counts" else np.float64)
+
+
+def _nearest(qid: np.ndarray, Q: np.ndarray, cid: np.ndarray, C: np.ndarray, k: int, metric: str, exclude_self: bool):
+    """(qid, cid, distance) of the k nearest rows of one block per query."""
+    if metric == "cosine_counts":
+        dots = Q.astype(np.float64) @ C.astype(np.float64).T  # whole numbers below 2^53: exact
+        nq = (Q * Q).sum(1)
+        nc = (C * C).sum(1)
+        den = np.sqrt((nq[:, None] * nc[None, :]).astype(np.float64))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            approx = np.where(den > 0, 2.0 - 2.0 * dots / den, 2.0)
+    else:
+        approx = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
+    if exclude_self:
+        approx = np.where(qid[:, None] == cid[None, :], np.inf, approx)
+    # every column that may belong to the k nearest: within a rounding
+    # bound of the k-th value, so ties are cut by the exact order only
+    kth = np.partition(approx, min(k, len(cid)) - 1, axis=1)[:, min(k, len(cid)) - 1]
+    slack = 0.0 if metric == "cosine_counts" else 1e-9 * (1.0 + (Q * Q).sum(1) + (C * C).sum(1).max())
+    row, col = np.nonzero((approx <= (kth + slack)[:, None]) & np.isfinite(approx))
+    if metric == "cosine_counts":
+        exact = approx[row, col]
+    else:
+        exact = np.zeros(len(row))
+        for j in range(Q.shape[1]):  # left fold in index order
+            t = Q[row, j] - C[col, j]
+            exact = exact + t * t
+    order = np.lexsort((cid[col], exact, row))
+    row, col, exact = row[order], col[order], exact[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row, "left") < k
+    return qid[row[keep]], cid[col[keep]], exact[keep]
+
+
+def _frame(found) -> pd.DataFrame:
+    if not found:
+        return pd.DataFrame({"qid": pd.Series([], "int64"), "cid": pd.Series([], "int64"), "distance": pd.Series([], "float64")})
+    return pd.DataFrame({n: np.concatenate(x) for n, x in zip(("qid", "cid", "distance"), zip(*found))})
+
+
+def _vectors(column: pa.ChunkedArray, metric: str) -> np.ndarray:
+    v = column.combine_chunks()
+    sizes = pc.unique(pc.list_value_length(v))
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of different lengths: {sizes.to_pylist()}")
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1).astype(np.int64 if metric == "cosine_counts" else np.float64)
+
+
+def _pack_topk(k: int, metric: str, exclude_self: bool):
+    """The cells (bucket, query block, corpus block) of one pack, one by one."""
+    def fn(q: pa.Table, c: pa.Table) -> pa.Table:
+        found = []
+        if q.num_rows and c.num_rows:
+            # number the cells of both sides alike, then walk both in that order
+            n, cell = q.num_rows, np.zeros(q.num_rows + c.num_rows, np.int64)
+            for name in ("b", "qs", "cs"):
+                values = pa.concat_arrays([x.cast(q.column(name).type) for t in (q, c) for x in t.column(name).chunks]).dictionary_encode()
+                cell = np.unique(cell * len(values.dictionary) + values.indices.to_numpy(), return_inverse=True)[1]
+            qid, cid, Q, C = q.column("qid").to_numpy(), c.column("cid").to_numpy(), _vectors(q.column("v"), metric), _vectors(c.column("v"), metric)
+            if Q.shape[1] != C.shape[1]:
+                raise ValueError(f"query vectors of {Q.shape[1]} values, corpus vectors of {C.shape[1]}")
+            qo, co = np.argsort(cell[:n], kind="stable"), np.argsort(cell[n:], kind="stable")
+            at = np.arange(cell.max() + 2)
+            qa, ca = np.searchsorted(cell[:n][qo], at), np.searchsorted(cell[n:][co], at)
+            for i in np.flatnonzero((np.diff(qa) > 0) & (np.diff(ca) > 0)):
+                x, y = qo[qa[i]:qa[i + 1]], co[ca[i]:ca[i + 1]]
+                found.append(_nearest(qid[x], Q[x], cid[y], C[y], k, metric, exclude_self))
+        return pa.Table.from_pandas(_frame(found), preserve_index=False)
     return fn
 
 
@@ -163,9 +196,7 @@ def _top_per_query(df: pd.DataFrame, k: int) -> pd.DataFrame:
 def _stream_topk(qid: np.ndarray, Q: np.ndarray, k: int, metric: str, exclude_self: bool, block_rows: int):
     """Per-partition running top-k of every broadcast query over the corpus
     rows of the partition, in query x corpus blocks of ``block_rows``."""
-    block = _block_topk(k, metric, exclude_self)
-    q_blocks = [pd.DataFrame({"qid": qid[i:i + block_rows], "v": list(Q[i:i + block_rows])})
-                for i in range(0, len(qid), block_rows)]
+    q_blocks = [(qid[i:i + block_rows], Q[i:i + block_rows]) for i in range(0, len(qid), block_rows)]
     keep = 4 * k * len(qid) + 65_536
 
     def run(batches):
@@ -173,8 +204,9 @@ def _stream_topk(qid: np.ndarray, Q: np.ndarray, k: int, metric: str, exclude_se
         for pdf in batches:
             for s in range(0, len(pdf), block_rows):
                 c = pdf.iloc[s:s + block_rows]
-                for qb in q_blocks:
-                    r = block(qb, c)
+                cid, C = c["cid"].to_numpy(np.int64), _matrix(c["v"].to_numpy(), metric)
+                for some, vectors in q_blocks:
+                    r = _frame([_nearest(some, vectors, cid, C, k, metric, exclude_self)])
                     acc.append(r)
                     n += len(r)
             if n > keep:
@@ -213,20 +245,25 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     # per-bucket sizes of both sides, joined: blocks of at most ``block_rows``,
     # and without buckets enough corpus blocks for ``min_groups`` tasks
     one_bucket = q_bucket is None and c_bucket is None and q_probe is None
-    groups = (min_groups or 2 * spark.sparkContext.defaultParallelism) if one_bucket else 1
+    groups = min_groups or 2 * spark.sparkContext.defaultParallelism
     sizes = (q.select("b", F.lit(1).alias("_q")).unionByName(c.select("b", F.lit(0).alias("_q")))
              .groupBy("b").agg(F.sum("_q").alias("nq"), F.sum(F.lit(1) - F.col("_q")).alias("nc")).filter("nq > 0 AND nc > 0"))
-    blocks = sizes.select("b", F.ceil(F.col("nq") / block_rows).alias("qb"), "nc")
-    blocks = blocks.select("b", "qb", F.greatest(F.ceil(F.col("nc") / block_rows), F.least(F.greatest(F.floor(F.col("nc") / 64), F.lit(1)),
-                                                 F.ceil(F.lit(groups) / F.col("qb")))).alias("cb"))
+    sizes = checkpoint(sizes)  # read twice below, and the keys of both sides are costly
+    blocks = sizes.select("b", F.ceil(F.col("nq") / block_rows).alias("qb"), "nq", "nc")
+    blocks = blocks.select("b", "nq", "nc", "qb", F.greatest(F.ceil(F.col("nc") / block_rows), F.least(F.greatest(F.floor(F.col("nc") / 64), F.lit(1)),
+                                                 F.ceil(F.lit(groups if one_bucket else 1) / F.col("qb")))).alias("cb"))
     def dealt(side: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
         """A row is in one block of its side and meets all of the other's."""
-        return (side.join(blocks, "b").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)))
+        return (side.join(blocks.select("b", "qb", "cb"), "b").withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)))
                 .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other_n) - 1))).drop("qb", "cb"))
     q2, c2 = dealt(q, "qid", "qs", "qb", "cs", "cb"), dealt(c, "cid", "cs", "cb", "qs", "qb")
-    keys = ["b", "qs", "cs"]
-    part = (q2.groupBy(*keys).cogroup(c2.groupBy(*keys))
-            .applyInPandas(_block_topk(k, metric, exclude_self), OUT_SCHEMA))
+    # a cell holds at most two blocks; small cells share a pack of some
+    # PACK_ROWS rows, as every group of a cogroup costs a fixed time
+    rows, cells = blocks.agg(F.sum(F.col("cb") * F.col("nq") + F.col("qb") * F.col("nc")), F.sum(F.col("qb") * F.col("cb"))).first()
+    packs = max(1, min(cells or 0, max(-(-(rows or 0) // PACK_ROWS), groups)))
+    pack = F.pmod(F.xxhash64("b", "qs", "cs"), F.lit(packs)).alias("pack")
+    part = (q2.groupBy(pack).cogroup(c2.groupBy(pack))
+            .applyInArrow(_pack_topk(k, metric, exclude_self), OUT_SCHEMA))
     return _merge_top(part, k, repeats=q_probe is not None)
 
 
