@@ -557,6 +557,25 @@ def q_knn_top3(spark, sf):
     return _round_hits(_knn_emb(spark, sf))
 
 
+KNN_TIES_SQL = f"""knn AS (
+  SELECT * FROM (
+    SELECT query_id, chunk_id, distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rk
+    FROM (SELECT q.vec_id AS query_id, c.vec_id AS chunk_id, {_sq_sql('q.embedding', 'b.embedding')} AS distance
+          FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id JOIN embeddings b ON b.vec_id = c.vec_id % 20) s) r
+  WHERE rk <= 3)"""
+
+
+@query("knn_ties", with_views(KNN_OUT_SQL, ctes=[KNN_TIES_SQL]))
+def q_knn_ties(spark, sf):
+    """Exact top-3 over rows that carry the vector of row ``vec_id % 20``, so
+    every hit is tied with many others; by the blocked plan."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    base = e.filter("vec_id < 20").select(F.col("vec_id").alias("b"), F.col("embedding").alias("v"))
+    tied = e.join(F.broadcast(base), F.col("vec_id") % 20 == F.col("b")).select("vec_id", "v")
+    return _round_hits(knn_ops.knn_join(e, tied, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="v",
+                                        exclude_self=True, broadcast_queries=0))
+
+
 @query("knn_threshold", with_views(
     KNN_OUT_SQL + " WHERE query_id IN (SELECT query_id FROM knn WHERE rk = 1 AND 1 - distance / sqrt(2) >= 0.1)",
     ctes=[KNN_SQL]))
