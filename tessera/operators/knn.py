@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.vectors import relevance
-from ..session import checkpoint
+from ..session import new_scratch_path
 
 OUT_SCHEMA = "qid long, cid long, distance double"
 # Query sets up to this many rows, and up to this many bytes of float64
@@ -248,7 +248,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     groups = min_groups or 2 * spark.sparkContext.defaultParallelism
     sizes = (q.select("b", F.lit(1).alias("_q")).unionByName(c.select("b", F.lit(0).alias("_q")))
              .groupBy("b").agg(F.sum("_q").alias("nq"), F.sum(F.lit(1) - F.col("_q")).alias("nc")).filter("nq > 0 AND nc > 0"))
-    sizes = checkpoint(sizes)  # read twice below, and the keys of both sides are costly
+    # written once: read twice below, and the keys of both sides are costly
+    path = new_scratch_path(spark, "bucket-sizes")
+    sizes.write.parquet(path)
+    sizes = spark.read.schema(sizes.schema).parquet(path)
     blocks = sizes.select("b", F.ceil(F.col("nq") / block_rows).alias("qb"), "nq", "nc")
     blocks = blocks.select("b", "nq", "nc", "qb", F.greatest(F.ceil(F.col("nc") / block_rows), F.least(F.greatest(F.floor(F.col("nc") / 64), F.lit(1)),
                                                  F.ceil(F.lit(groups if one_bucket else 1) / F.col("qb")))).alias("cb"))
