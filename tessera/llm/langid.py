@@ -29,7 +29,7 @@ from tessera.llm.common import pick, positional, released
 
 GRAMS = 3
 # Bounds of the fit, per language: sampled texts, landmarks among them, and
-# the longest text that is sampled (prediction has no such bound).
+# the length up to which texts are sampled first (prediction has no such bound).
 SAMPLE, LANDMARKS, SAMPLE_CHARS = 200, 24, 20_000
 MAX_LANGS = 1000  # more label values than this are an error, not languages
 RIDGE = 1e-2
@@ -87,20 +87,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """At most SAMPLE distinct texts per language, chosen by the hash of the
-    text.  The language counts only narrow what is ranked; ranks keep at most
-    SAMPLE rows per language and task before anything is shuffled."""
+    """min(SAMPLE, all) distinct texts of every language: the smallest hashes
+    of the texts up to SAMPLE_CHARS, then those of longer ones.  Copies are one
+    text whatever their number; ranks keep at most SAMPLE hashes per language
+    and task before they are shuffled, and texts are read for the chosen ones."""
     d = pick(docs, "doc_id", "text", "lang")
     d = d.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    counts = d.groupBy("lang").agg(F.count("*").alias("rows")).limit(MAX_LANGS + 1).collect()
-    if len(counts) > MAX_LANGS:
+    if d.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} values of lang")
-    counts = docs.sparkSession.createDataFrame(counts, "lang string, rows long")
-    hashed = d.filter(F.length("text").between(1, SAMPLE_CHARS)).withColumn("h", F.xxhash64("text"))
-    near = hashed.join(F.broadcast(counts), "lang").filter(F.pmod("h", F.lit(1 << 31)) * F.col("rows") <= F.lit(float(8 * SAMPLE * (1 << 31))))
-    one = near.dropDuplicates(["lang", "h"])
-    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("rank") <= SAMPLE)
-    return [(r.lang, r.text) for r in ranked.select("lang", "rank", "text").orderBy("lang", "rank").collect()]
+    hashed = d.filter("text <> ''").withColumn("h", F.xxhash64("text"))
+    one = hashed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"), F.min(F.length("text") > SAMPLE_CHARS).alias("long"))
+    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))).filter(F.col("rank") <= SAMPLE)
+    chosen = hashed.join(F.broadcast(ranked.drop("long")), ["lang", "h", "doc_id"]).dropDuplicates(["lang", "h"])
+    return [(r.lang, r.text) for r in chosen.select("lang", "rank", "text").orderBy("lang", "rank").collect()]
 
 
 def fit(labelled: list[tuple[str, str]]) -> Model:

@@ -69,3 +69,16 @@ def test_an_all_null_table(spark):
     assert ann.nearest(v, F.col("vec_id") % 20 == 0).count() == 0
     c = spark.range(2).selectExpr("CAST(NULL AS LONG) AS conv_id", "CAST(NULL AS INT) AS turn", "CAST(NULL AS STRING) AS role", "CAST(NULL AS STRING) AS text", "1 AS turns", "2 AS ROLE")
     assert [(r.conv_id, r.n_turns, r.loss_chars, r.valid) for r in chat.digests(c).collect()] == [(None, 2, 0, False)]
+
+
+def test_every_language_is_learned_from_all_its_distinct_texts(spark):
+    copies = spark.range(20_000).selectExpr("id AS doc_id", "'the same words again' AS text", "'aa' AS lang")
+    others = spark.range(20_000, 20_010).selectExpr("id AS doc_id", "concat('other words ', id) AS text", "'aa' AS lang")
+    long = spark.range(30_000, 30_008).selectExpr("id AS doc_id", "repeat(concat('very long ', id, ' '), 2000) AS text", "'bb' AS lang")
+    many = spark.range(40_000, 41_000).selectExpr("id AS doc_id", "concat('text number ', id) AS text", "'cc' AS lang")
+    d = copies.unionByName(others).unionByName(long).unionByName(many)
+    got = langid.sample(d)
+    want = {(r.lang, r.text) for r in d.filter(~langid.held_out(F.col("doc_id"))).select("lang", "text").distinct().collect()}
+    by = Counter(x for x, _ in got)
+    assert set(got) <= want and len(set(got)) == len(got)
+    assert {x: by[x] for x in ("aa", "bb")} == {x: sum(y == x for y, _ in want) for x in ("aa", "bb")} and by["cc"] == langid.SAMPLE
