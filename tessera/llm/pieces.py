@@ -29,6 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +101,7 @@ def _raw_chunks(text: str) -> list[str]:
 def _cut_blocks(path: str, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.compute as pc
+        part, made = TaskContext.get().partitionId(), 0
         for batch in batches:
             for b in blocks(batch, 1, BLOCK_BYTES):
                 texts = pc.replace_substring(b.column(1).cast(pa.large_string()).fill_null(""), MARKER, " ")
@@ -118,9 +120,11 @@ def _cut_blocks(path: str, buckets: int):
                     packed.append(_pack(np.diff(at, prepend=0).astype("<u4"), np.asarray(pc.binary_length(some)).astype("<u4"), _blob(some)) if len(at) else None)
                 counts, codes = _pack(w.counts.astype("<u4")), _pack(rank[w.codes])
                 ids = b.column(0)
-                # a block is known by its content, so a repeated task gives the same block
-                name = int.from_bytes(hashlib.blake2b(codes + counts + repr(ids.to_pylist()).encode() + hashlib.sha256(_blob(distinct)).digest(),
+                # a block is known by its place and content: equal blocks stay apart,
+                # and a repeated task gives the same block
+                name = int.from_bytes(hashlib.blake2b(codes + counts + repr((part, made, ids.to_pylist())).encode() + hashlib.sha256(_blob(distinct)).digest(),
                                                       digest_size=8).digest(), "little", signed=True)
+                made += 1
                 yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([counts], pa.binary()),
                                                   pa.array([codes], pa.binary()), pa.array([packed], pa.list_(pa.binary()))],
                                                  ["block", "doc_ids", "counts", "codes", "words"])

@@ -82,3 +82,10 @@ def test_every_language_is_learned_from_all_its_distinct_texts(spark):
     by = Counter(x for x, _ in got)
     assert set(got) <= want and len(set(got)) == len(got)
     assert {x: by[x] for x in ("aa", "bb")} == {x: sum(y == x for y, _ in want) for x in ("aa", "bb")} and by["cc"] == langid.SAMPLE
+
+
+def test_equal_blocks_are_encoded_apart(spark):
+    rows = spark.range(0, 3, 1, 3).selectExpr("1L AS doc_id", "'a b' AS text")  # one row a partition
+    got = [tuple(r) for r in pieces.encode_ids(rows, public_tokenizers.path("piece_bpe_32k.model")).collect()]
+    sp = pieces._model(public_tokenizers.path("piece_bpe_32k.model"))
+    assert got == [(1, sp.encode("a b"), "a b")] * 3
