@@ -9,10 +9,11 @@ log-likelihood ratio of the two chains and adds those above the threshold as
 ``random`` spans; spans of the fixed patterns always stay.
 
 Defined results: a null or empty text has no spans; spans are code points, end
-exclusive, by start, then kind as listed in ``KINDS``; a ``random`` span never
-overlaps a base span; repeated rows and null ids are scanned like any other
-row; other columns are ignored by ``scan`` and carried by ``redact``; an empty
-table gives no rows.
+exclusive, by start, then kind as listed in ``KINDS``; a ``random`` span is a
+whole token that base spans do not cover wholly, so it can overlap those that
+cover a part; repeated rows and null ids are scanned like any other row; other
+columns are ignored by ``scan`` and carried by ``redact``; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -112,12 +113,21 @@ def train(docs: DataFrame) -> Chains:
     return Chains(ratio)
 
 
+def _covered(start: int, end: int, base: list[tuple[int, int, str, int, int]]) -> bool:
+    """Do the base spans, by start, leave no character of [start, end)?"""
+    for s, _, _, e, _ in base:
+        if s > start:
+            break
+        start = max(start, e)
+    return start >= end
+
+
 def find(text: str, chains: Chains) -> list[tuple[str, int, int]]:
     """All spans of one text."""
     base = base_spans(text)
     spans = [(s, k, kind, e) for s, k, kind, e, _ in base]
     for m in TOKEN.finditer(text):
-        if chains.is_random(m[0]) and not any(s < m.end() and m.start() < e for s, _, _, e, _ in base):
+        if chains.is_random(m[0]) and not _covered(m.start(), m.end(), base):
             spans.append((m.start(), 3, "random", m.end()))
     return [(kind, s, e) for s, _, kind, e in sorted(spans)]
 

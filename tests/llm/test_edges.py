@@ -1,6 +1,7 @@
 """Every pipeline stage and operator on odd tables: nulls in any column, empty
 and very long texts, repeated rows, empty tables, clashing extra columns."""
 
+import random
 from collections import Counter
 
 import public_tokenizers
@@ -89,3 +90,16 @@ def test_equal_blocks_are_encoded_apart(spark):
     got = [tuple(r) for r in pieces.encode_ids(rows, public_tokenizers.path("piece_bpe_32k.model")).collect()]
     sp = pieces._model(public_tokenizers.path("piece_bpe_32k.model"))
     assert got == [(1, sp.encode("a b"), "a b")] * 3
+
+
+def test_a_token_partly_in_a_base_span_is_still_judged(spark):
+    rng = random.Random(4)
+    *secret, rest = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(32)) for _ in range(61)]
+    texts = [f"see xoxe-1234567890123456-{rest} here", "see 0123456789abcdef0123456789abcdef here"]
+    words = spark.read.parquet(f"{SF}/documents.parquet").select("text")
+    chains = secret_scan.train(words.union(spark.createDataFrame([(f"token = {s}",) for s in secret], "text string")))
+    assert chains.is_random(texts[0].split()[1])
+    assert secret_scan.find(texts[0], chains) == [("random", 4, 26 + len(rest)), ("hex", 9, 25)]
+    assert [k for k, _, _ in secret_scan.find(texts[1], chains)] == ["hex"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in secret_scan.redact(d, chains).orderBy("doc_id").collect()] == ["see [SECRET] here"] * 2
