@@ -150,6 +150,12 @@ def q_retrieve_eval(spark, sf):
     return match_eval.retrieve_eval(views.authority(spark, sf), TOP_K, EMBED_DIM)
 
 
+@query("retrieve_eval_all")
+def q_retrieve_eval_all(spark, sf):
+    """Every authority row in every variant (a pytest compares brute force)."""
+    return match_eval.retrieve_eval_all(views.authority(spark, sf), TOP_K, EMBED_DIM)
+
+
 # ---- splitters: facts per document -------------------------------------------
 
 def _chunk_facts(docs, chunks, too_long):

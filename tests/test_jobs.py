@@ -125,3 +125,23 @@ def test_oversized_vectors_are_refused(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "id long, v array<double>")
     with pytest.raises(Exception, match="hyperplanes"):
         knn.with_lsh_keys(df, "v", 2).select(F.size("_ckeys")).collect()
+
+
+def test_retrieval_evaluation_asks_every_row_in_every_variant(spark, golden_authority):
+    import hashlib
+    from collections import Counter
+
+    def bag(text):
+        return Counter(int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 64 for t in text.lower().split())
+
+    def distance(a, b):
+        n = sum(x * x for x in a.values()) * sum(x * x for x in b.values())
+        return 2 - 2 * sum(a[i] * b[i] for i in a) / n ** 0.5 if n else 2.0
+    chunks = {r.doc_id: bag(r.chunk) for r in jobs.row_chunks(golden_authority).collect()}
+    cases = match_eval.degraded_probes(golden_authority).select("variant", "expected", T.question_text(*T.PLACE_FIELDS).alias("text")).collect()
+    want = {v: [0, 0, 0] for v in range(4)}
+    for c in cases:
+        near = sorted(chunks, key=lambda i: (distance(bag(c.text), chunks[i]), i))[:3]
+        want[c.variant] = [a + b for a, b in zip(want[c.variant], (1, near[0] == c.expected, c.expected in near))]
+    got = {r.variant: [r.n_probes, r.n_hit1, r.n_hitk] for r in match_eval.retrieve_eval_all(golden_authority, 3).collect()}
+    assert got == want and sum(n for n, _, _ in got.values()) == 4 * len(AUTHORITY_ROWS)
