@@ -668,6 +668,18 @@ def q_knn_bucketed(spark, sf):
         c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys")))
 
 
+@query("knn_bucketed_recall")
+def q_knn_bucketed_recall(spark, sf):
+    """Approximate top-3 with the bits of ``knn_bucketed`` and as many hash
+    tables as reach a measured recall of 0.9 (a pytest compares brute force)."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding").filter("embedding IS NOT NULL")
+    bits, kw = knn_ops.lsh_bits(e.count()), {}
+    if tables := knn_ops.lsh_tables(e, "vec_id", "embedding", LSH_DIM, bits):
+        e = knn_ops.with_lsh_keys(e, "embedding", LSH_DIM, tables=tables, bits=bits)
+        kw = dict(c_bucket=F.col("_ckeys"), q_probe=F.col("_qkeys"))
+    return _round_hits(knn_ops.knn_join(e, e, 3, q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True, **kw))
+
+
 # --------------------------------------------------------------------------
 # Documents: chunking, counts, hashed embedding, retrieval
 # --------------------------------------------------------------------------

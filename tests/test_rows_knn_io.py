@@ -197,3 +197,11 @@ def test_a_hot_bucket_is_cut_and_loses_nothing(spark):
         got.setdefault(r.query_id, {})[r.rk] = r.chunk_id
     assert len(got) == 300
     assert all(list(dict(sorted(g.items())).values()) == [i for i in range(4) if i != q][:3] for q, g in got.items())
+
+
+def test_registered_bucketed_search_reaches_its_recall(spark):
+    import __spark_entry__ as entry
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        exact = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_top3"](spark, sf).collect()}
+        got = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_bucketed_recall"](spark, sf).collect()}
+        assert len(got & exact) >= 0.9 * len(exact)
