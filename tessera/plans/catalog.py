@@ -227,9 +227,26 @@ def q_file_ingest(spark, sf):
     """Documents written as 16 text files, read back as file documents and
     chunked both ways; without overlap the recursive chunks hold every
     non-blank character once."""
-    path = new_scratch_path(spark, "ingest-files")
     docs = table(spark, sf, "documents").select((F.col("doc_id") % 16).alias("file"), "text")
-    docs.repartition(16, "file").write.partitionBy("file").text(path)
+    return _file_facts(spark, docs.repartition(16, "file"))
+
+
+FILE_DOCS = 256  # ids per file
+
+
+@query("file_ingest_ranges", f"""SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_chars,
+  sum(CAST(floor(greatest(n - 101, 0) / 200) AS BIGINT) + 1)::BIGINT AS n_chunks, sum(blank_free)::BIGINT AS recursive_chars
+FROM (SELECT sum(length(text) + 1) AS n, sum(length(regexp_replace(text, '\\s', '', 'g'))) AS blank_free FROM documents GROUP BY doc_id // {FILE_DOCS}) f""")
+def q_file_ingest_ranges(spark, sf):
+    """``file_ingest`` with a file per range of ids: the number of files grows
+    with the table, and no file or row holds more than FILE_DOCS ids."""
+    docs = table(spark, sf, "documents").select(F.expr(f"doc_id div {FILE_DOCS}").alias("file"), "text")
+    return _file_facts(spark, docs.repartition("file"))
+
+
+def _file_facts(spark, docs):
+    path = new_scratch_path(spark, "ingest-files")
+    docs.write.partitionBy("file").text(path)
     files = sources.read_text_documents(spark, path + "/file=*", "*.txt")
     fixed = chunk_ops.fixed_chunks(files, 300, 100).agg(F.count("*").alias("n_chunks"))
     free = F.length(F.regexp_replace("chunk", r"\s", ""))

@@ -95,3 +95,10 @@ def test_file_documents_can_be_chunked(spark):
         text = docs.first()["text"]
         assert len(rows) > 5 and len({r["chunk_id"] for r in rows}) == len(rows)
         assert all(text[r["start_index"]:r["start_index"] + len(r["chunk"])] == r["chunk"] for r in rows)
+
+
+def test_files_grow_with_the_documents(spark, tmp_path):
+    import __spark_entry__ as entry
+    spark.range(2_000).selectExpr("id AS doc_id", "concat('text ', id) AS text").write.parquet(str(tmp_path / "documents.parquet"))
+    r = entry.queries()["file_ingest_ranges"](spark, str(tmp_path)).first()
+    assert r.n_docs == 8 and r.n_chars == sum(len(f"text {i}") + 1 for i in range(2_000)) and r.recursive_chars == r.n_chars - 2 * 2_000
