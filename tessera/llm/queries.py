@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, chat, exact_dedup, langid, packing, pieces, secret_scan, simhash, suffix_dedup, url_rules
+from tessera.llm import (ann, chat, exact_dedup, hard_negatives, langid, lexical, line_dedup, packing, pieces, secret_scan, simhash, suffix_dedup,
+                         url_rules)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +57,22 @@ def op10(spark, d):
     return exact_dedup.duplicates(read(spark, d, "documents"))
 
 
+def op11(spark, d):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12(spark, d):
+    return lexical.rank(read(spark, d, "benchmark"), read(spark, d, "documents"))
+
+
+def op13(spark, d):
+    return line_dedup.digests(read(spark, d, "documents"))
+
+
 QUERIES = {"op1_sentence_pieces": op1, "op2_concatenate_cut": op2, "op3_secret_scan": op3, "op4_chat_format": op4, "op5_suffix_dedup": op5, "op6_stable_projection": op6,
            "op7_simhash_cover": op7, "op8_url_rules": op8,
-           "op9_language_id": op9, "op10_exact_dedup": op10}
-ORACLE = {"op4_chat_format": chat.SQL, "op8_url_rules": url_rules.SQL, "op10_exact_dedup": exact_dedup.SQL}
+           "op9_language_id": op9, "op10_exact_dedup": op10,
+           "op11_hard_negatives": op11, "op12_lexical_search": op12, "op13_line_dedup": op13}
+ORACLE = {"op4_chat_format": chat.SQL, "op8_url_rules": url_rules.SQL, "op10_exact_dedup": exact_dedup.SQL,
+          "op11_hard_negatives": hard_negatives.SQL, "op12_lexical_search": lexical.SQL, "op13_line_dedup": line_dedup.SQL}
