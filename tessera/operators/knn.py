@@ -51,6 +51,17 @@ TASKS_PER_CORE = 4
 PACK_ROWS = 16_384  # rows of both sides that one Python group compares
 
 
+def usable(df: DataFrame, vec: str) -> DataFrame:
+    """The rows whose vector is there and has only finite components.  One
+    NaN in a block would make every comparison with the block's bound false."""
+    kind = df.schema[vec].dataType
+    there = F.col(vec).isNotNull()
+    if isinstance(kind.elementType, (T.FloatType, T.DoubleType)):
+        x = F.transform(vec, lambda c: c.cast("double"))
+        return df.filter(there & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))))
+    return df.filter(there & F.forall(vec, lambda c: c.isNotNull()) if kind.containsNull else there)
+
+
 def _small_query_side(queries: DataFrame, q_vec: str, max_rows: int, max_bytes: int) -> bool:
     """Row count and widest vector of at most ``max_rows + 1`` rows (the
     limit stops the scan early): the query side fits when both its rows and
@@ -81,7 +92,7 @@ def lsh_tables(df: DataFrame, id_col: str, vec_col: str, dim: int, bits: int, k:
     away) meet at least ``floor`` of the exact ``k`` nearest rows, measured on
     ASKED rows by an exact search, with two hundredths to spare for the
     sample.  0 when MAX_TABLES do not: then only the exact search does."""
-    d = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).filter("v IS NOT NULL")
+    d = usable(df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")), "v")
     asked = d.orderBy(F.xxhash64("id"), "id").limit(ASKED)
     exact = knn_join(asked, d, k, q_id="id", q_vec="v", c_id="id", c_vec="v", exclude_self=True)
     pairs = [(r.query_id, r.chunk_id) for r in exact.select("query_id", "chunk_id").collect()]  # at most ASKED * k
@@ -177,7 +188,7 @@ def _nearest(qid: np.ndarray, Q: np.ndarray, cid: np.ndarray, C: np.ndarray, k:
 
 def _frame(found) -> pd.DataFrame:
     if not found:
-        return pd.DataFrame({"qid": pd.Series([], "int64"), "cid": pd.Series([], "int64"), "distance": pd.Series([], "float64")})
+        return pd.DataFrame({"qid": np.zeros(0, np.int64), "cid": np.zeros(0, np.int64), "distance": np.zeros(0)})
     return pd.DataFrame({n: np.concatenate(x) for n, x in zip(("qid", "cid", "distance"), zip(*found))})
 
 
@@ -253,9 +264,10 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, *, q_id: str, q_vec:
     ``q_bucket``/``c_bucket`` restrict candidates to equal buckets (an
     array ``c_bucket`` puts a corpus row in several buckets, e.g. one per
     hash table); ``q_probe`` (an array column) lets one query look in
-    several buckets.  Rows without a vector take no part."""
+    several buckets.  Rows without a vector, or with a null, NaN or infinite
+    component, take no part on either side."""
     spark = queries.sparkSession
-    queries, corpus = queries.filter(F.col(q_vec).isNotNull()), corpus.filter(F.col(c_vec).isNotNull())
+    queries, corpus = usable(queries, q_vec), usable(corpus, c_vec)
     if (q_bucket is None and c_bucket is None and q_probe is None
             and _small_query_side(queries, q_vec, broadcast_queries, BROADCAST_QUERY_BYTES)):
         return _knn_stream(queries, corpus, k, q_id, q_vec, c_id, c_vec, metric, exclude_self, block_rows)

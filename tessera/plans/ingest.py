@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.vectors import with_hashed_counts
+from ..operators import ivf
 from ..operators.chunking import fixed_chunks, recursive_chunks
 from ..session import spread
 from ..sinks.files import open_vector_table, write_vector_table
@@ -25,3 +26,9 @@ def build_vector_table(docs: DataFrame, root: str, size: int = 300, overlap: int
 def open_vectors(spark: SparkSession, root: str, dim: int = 64, embedder: str = EMBEDDER) -> DataFrame:
     """The current version; refused unless it was built by ``embedder``/``dim``."""
     return open_vector_table(spark, root, f"{embedder}-{dim}", dim)
+
+
+def index_vectors(vectors: DataFrame, root: str, c_id: str = "chunk_id", c_vec: str = "embedding") -> ivf.Index:
+    """Write the inverted-file index of a vector table (a version, or any
+    table of ids and vectors) under ``root``, a new folder, and open it."""
+    return ivf.build(vectors, root, c_id=c_id, c_vec=c_vec)

@@ -116,15 +116,23 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
 SPREAD_BYTES = 16 << 20  # planned bytes per core below which an input is dealt out
 
 
+def scan_bytes(df: DataFrame) -> int:
+    """Planned size of the largest relation that ``df`` reads.  The estimate of
+    a whole plan multiplies the sizes of joined tables; the partitions of a
+    chain of broadcast joins are those of its largest scan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return max((int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())), default=0)
+
+
 def spread(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin repartition before CPU-heavy narrow work, but only for an
-    input whose planned size is small (below SPREAD_BYTES per core): one file
-    of that size is a single scan split.  Larger inputs have enough splits and
-    are never shuffled here, however many files they are stored in.  The size
-    is the optimizer's estimate, so the check runs no job and lists nothing."""
+    """Round-robin repartition before CPU-heavy narrow work, but only where
+    the largest relation read is small (below SPREAD_BYTES per core): one file
+    of that size is a single scan split, and so is a view of joins over it.
+    Larger inputs have enough splits and are never shuffled here, however many
+    files they are stored in.  The sizes are those of the catalog, so the check
+    runs no job and lists nothing."""
     target = target or df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(target) if size < target * SPREAD_BYTES else df
+    return df.repartition(target) if scan_bytes(df) < target * SPREAD_BYTES else df
 
 
 def ship_package(spark: SparkSession) -> None:
