@@ -4,7 +4,8 @@ candidate lists.
 
 Probe rows carry ``irn`` and the four place fields with blanks already
 unified to ''.  Continent, country and state/province match by equality,
-county by literal containment (``contains``).
+county by literal containment (``contains``) or, with ``county='regex'``, as a
+regular expression searched in the authority's county (``patterns``).
 
 Plan shape.  One OR-ed join condition would plan as a nested loop, so the
 probes are split by their blank mask (which of the four fields are
@@ -42,7 +43,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import PLACE_FIELDS
-from ..session import spread
+from ..session import checked_broadcast, new_scratch_path, spread
+from . import patterns
 
 # Distinct probe keys up to this count are broadcast into the expanded /
 # gram-exploded authority; more keys shuffle instead.
@@ -101,6 +103,14 @@ class Shapes(NamedTuple):
     n_long: int
     n_long_grams: int
 
+    @property
+    def has_county(self) -> bool:
+        return self.has_long or any(length for _, length in self.keyed)
+
+    def without_county(self) -> Shapes:
+        """The shapes that have no county clause (the key counts stay upper bounds)."""
+        return self._replace(keys=self.keys.filter(F.col("_L") == 0), keyed=[k for k in self.keyed if not k[1]], has_long=False)
+
 
 def shapes(probes: DataFrame, gram: int = 3) -> Shapes:
     """Distinct (mask, capped county length) shapes with their key counts:
@@ -191,11 +201,55 @@ def _long_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit
     return ag.join(pk, reduce(lambda x, y: x & y, cond)).drop("gram", "a_gram")
 
 
-def _key_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int) -> DataFrame | None:
+def _regex_pairs(sh: Shapes, authority: DataFrame, limit: int) -> DataFrame:
+    """Pairs for probes whose county is a regular expression: every distinct
+    pattern becomes a cover of grams (``patterns.cover``, by the authority's
+    own gram counts), keys meet authority rows on these grams, and ``rlike``
+    verifies.  A row that holds several grams of a cover is paired at the
+    first.  A pattern that requires nothing meets the rows that agree on the
+    key's equality fields instead, so every join has a key."""
+    keys = sh.keys.filter(F.col("county") != "").drop("_L")
+    read = patterns.read_patterns(keys.select(F.col("county").alias("pattern")).distinct())
+    path = new_scratch_path(authority.sparkSession, "patterns")
+    read.write.parquet(path)  # read three times below
+    read = authority.sparkSession.read.schema(read.schema).parquet(path)
+    wanted = read.select(F.explode("grams").alias("gram")).distinct()
+    a = _auth(authority)
+    lengths = [r[0] for r in wanted.select(F.length("gram")).distinct().collect()]  # at most patterns.GRAM values
+    own = F.flatten(F.array(*[grams(F.col("a_county"), n) for n in lengths])) if lengths else F.array().cast("array<string>")
+    ag = a.withColumn("a_gram", F.explode(own))
+    n_keys = sh.n_keyed + sh.n_long
+    freq = (ag.select(F.col("a_gram").alias("gram")).join(checked_broadcast(wanted, limit), "gram", "left_semi")
+            .groupBy("gram").agg(F.count(F.lit(1)).alias("n")))
+    held = (read.select("pattern", F.explode("grams").alias("gram")).join(freq, "gram")
+            .groupBy("pattern").agg(F.collect_list(F.struct("gram", "n")).alias("held")))  # at most a pattern's own grams
+    covers = (read.join(held, "pattern", "left").select(F.col("pattern").alias("county"), "java", patterns.chosen()("tree", "held").alias("cover")))
+    pk = keys.join(covers, "county")
+    eq = [(F.col(f) == "") | (F.col("a_" + f) == F.col(f)) for f in EQ_FIELDS]
+    cols = list(PLACE_FIELDS) + ["a_" + c for c in AUTH_COLS]
+    by_gram = pk.select("*", F.posexplode("cover").alias("nth", "gram"))
+    first = ~F.exists(F.slice("cover", F.lit(1), F.col("nth")), lambda g: F.contains(F.col("a_county"), g))
+    found = (ag.join(_bcast(by_gram, n_keys, limit), F.col("gram") == F.col("a_gram"))
+             .filter(reduce(lambda x, y: x & y, [*eq, first, F.expr("rlike(a_county, java)")])).select(*cols))
+    free = pk.filter(F.size("cover") == 0).withColumn("_e", F.col("_m") - BITS["county"])
+    masks = [r[0] for r in free.select("_e").distinct().collect()]  # at most 8
+    if not masks:
+        return found
+    shape = [F.struct(F.lit(m).alias("_e"), *[(F.col("a_" + f) if m & BITS[f] else F.lit("")).alias(f) for f in EQ_FIELDS]) for m in masks]
+    keyed = a.withColumn("_k", F.explode(F.array(*shape))).select(*a.columns, "_k.*")
+    rest = keyed.join(_bcast(free, n_keys, limit), ["_e", *EQ_FIELDS]).filter(F.expr("rlike(a_county, java)")).select(*cols)
+    return found.unionByName(rest)
+
+
+def _key_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int, county: str = "literal") -> DataFrame | None:
     """(distinct probe key, matching authority row) pairs: the probe's place
     fields plus ``a_*`` columns.  A key shared by many probes appears once."""
     cols = list(PLACE_FIELDS) + ["a_" + c for c in AUTH_COLS]
     parts = []
+    if county == "regex":
+        if sh.has_county:
+            parts.append(_regex_pairs(sh, authority, limit))
+        sh = sh.without_county()
     if sh.keyed:
         kk = sh.keys.filter(F.col("_L") < gram)
         parts.append(_keyed_authority(authority, sh.keyed)
@@ -206,14 +260,14 @@ def _key_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit:
 
 
 def authority_candidates(probes: DataFrame, authority: DataFrame, gram: int = 3, rarest_gram: bool = True,
-                         key_broadcast_rows: int = KEY_BROADCAST_ROWS, **_) -> DataFrame:
+                         key_broadcast_rows: int = KEY_BROADCAST_ROWS, county: str = "literal", **_) -> DataFrame:
     """Every (probe, matching authority row) pair.
 
     Output: the probe columns plus ``a_irn_eluts, a_continent, a_country,
     a_state_province, a_county``.  Probes with no match or with every field
     blank give no pair (``match_counts`` is the left-outer view)."""
     probes = probes.select(*PROBE_COLS)
-    pairs = _key_pairs(shapes(probes, gram), authority, gram, rarest_gram, key_broadcast_rows)
+    pairs = _key_pairs(shapes(probes, gram), authority, gram, rarest_gram, key_broadcast_rows, county)
     if pairs is None:
         # no probe has a present field: an empty result with the pair schema
         a = authority.schema
@@ -227,8 +281,8 @@ def _best_struct(score: Column) -> Column:
     return F.max_by(cand, F.struct(score, -F.col("a_irn_eluts")))
 
 
-def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool,
-               limit: int, score: Column | None = None) -> tuple[DataFrame | None, int]:
+def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool, limit: int, score: Column | None = None,
+               county: str = "literal") -> tuple[DataFrame | None, int]:
     """Per distinct probe key: candidate count ``n`` and the best candidate
     ``best`` (max ``score``, ties to the smallest irn_eluts); and the number
     of distinct probe keys, which bounds the rows of that table.
@@ -244,6 +298,11 @@ def _key_stats(sh: Shapes, authority: DataFrame, gram: int, rarest_gram: bool,
     long-county shapes aggregate their pairs, map-side first."""
     score = similarity_score() if score is None else score
     parts = []
+    if county == "regex":
+        if sh.has_county:
+            parts.append(_regex_pairs(sh, authority, limit).groupBy(*PLACE_FIELDS)
+                         .agg(F.count(F.lit(1)).alias("n"), _best_struct(score).alias("best")))
+        sh = sh.without_county()
     if sh.keyed:
         # keep only authority keys some probe carries before aggregating:
         # the expanded authority is mostly keys nobody asks for
@@ -266,11 +325,12 @@ def _joined(probes: DataFrame, authority: DataFrame, how: str, kw: dict, cols=("
     distinct keys the stats are broadcast, so the probe side keeps its
     partitions; beyond it the join shuffles with AQE skew splitting.
     ``carry`` (in ``kw``) names extra probe columns kept through the join;
-    ``score`` (in ``kw``) replaces the nearest-match rule."""
+    ``score`` (in ``kw``) replaces the nearest-match rule and
+    ``county='regex'`` reads the probes' counties as patterns."""
     probes = probes.select(*PROBE_COLS, *kw.get("carry", ()))
     gram = kw.get("gram", 3)
     stats, n_keys = _key_stats(shapes(probes, gram), authority, gram, kw.get("rarest_gram", True),
-                               kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS), kw.get("score"))
+                               kw.get("key_broadcast_rows", KEY_BROADCAST_ROWS), kw.get("score"), kw.get("county", "literal"))
     if stats is None:
         return probes, None
     side = _bcast(stats.select(*PLACE_FIELDS, *cols), n_keys, kw.get("stats_broadcast_rows", STATS_BROADCAST_ROWS))
