@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.replies import STATUS_NO_ANSWER, STATUS_OK
 from ..functions.text import PLACE_FIELDS, predicate_text
+from ..operators import prepared
 from ..operators.authority import probe_stats
 from ..operators.rows import batch_numbers
 
@@ -22,7 +23,16 @@ RESULT_COLS = ("irn_eluts", "continent", "country", "state_province", "county",
 
 def reconcile(probes: DataFrame, authority: DataFrame, **kw) -> DataFrame:
     """``probes``: irn + four place fields with '' blanks."""
-    j = probe_stats(probes, authority, **kw)
+    return status_rows(probe_stats(probes, authority, **kw))
+
+
+def reconcile_prepared(probes: DataFrame, authority: prepared.Prepared, **kw) -> DataFrame:
+    """The same rows from a prepared authority, at the cost of the probes."""
+    return status_rows(prepared.probe_stats(probes, authority, **kw))
+
+
+def status_rows(j: DataFrame) -> DataFrame:
+    """Result rows of probes with their match count and ``best`` candidate."""
     ok = F.col("best").isNotNull()
     return j.select(
         F.when(ok, F.col("best.irn_eluts").cast("string")).otherwise(F.lit("none")).alias("irn_eluts"),

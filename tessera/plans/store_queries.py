@@ -1,15 +1,19 @@
-"""Registered queries of the vector store: inverted-file search and vectors
-that take no part."""
+"""Registered queries of what is kept between runs: the inverted-file index,
+the prepared authority, resumable saves, and vectors that take no part."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
-from ..operators import ivf
+from ..operators import ivf, prepared
 from ..operators import knn as knn_ops
 from ..session import new_scratch_path, table
-from .catalog import KNN_SQL, _round_hits, query
+from ..sinks import ledger
+from ..streaming import incremental
+from . import reconcile as rec
+from . import views
+from .catalog import KNN_SQL, RECONCILE_SQL, _round_hits, query
 from .ingest import index_vectors
 from .views import with_views
 
@@ -72,3 +76,40 @@ def q_knn_nonfinite(spark, sf):
     ids = dict(q_id="vec_id", q_vec="embedding", c_id="vec_id", c_vec="embedding", exclude_self=True)
     plans = [knn_ops.knn_join(e, e, TOP_K, broadcast_queries=n, **ids).withColumn("plan", F.lit(name)) for name, n in (("streamed", knn_ops.BROADCAST_QUERIES), ("blocked", 0))]
     return _round_hits(plans[0].unionByName(plans[1]))
+
+
+def _prepared_root(spark, sf):
+    root = new_scratch_path(spark, "prepared")
+    prepared.prepare(views.authority(spark, sf), root)
+    return root
+
+
+@query("prepared_reconcile", RECONCILE_SQL)
+def q_prepared_reconcile(spark, sf):
+    """``reconcile`` by a prepared authority, written here and then opened."""
+    return rec.reconcile_prepared(views.normalized(spark, sf), prepared.open_prepared(spark, _prepared_root(spark, sf)))
+
+
+@query("prepared_stream", RECONCILE_SQL)
+def q_prepared_stream(spark, sf):
+    """Probe rows arrive as files; every micro-batch (two files) is reconciled
+    with the prepared authority and saved once."""
+    arrived, out = new_scratch_path(spark, "probes"), new_scratch_path(spark, "reconciled")
+    views.normalized(spark, sf).repartition(6).write.parquet(arrived)
+    incremental.run_incremental_reconcile(spark, arrived, spark.read.parquet(arrived).schema, _prepared_root(spark, sf), out,
+                                          new_scratch_path(spark, "stream-ckpt"), files_per_batch=2)
+    return spark.read.parquet(out).select(*rec.RESULT_COLS)
+
+
+@query("resumed_reconcile", RECONCILE_SQL)
+def q_resumed_reconcile(spark, sf):
+    """Reconcile in chunks with a ledger: a run that saw two thirds of the
+    probes, then one over all of them, which does only the rest."""
+    probes, root, authority = views.normalized(spark, sf), new_scratch_path(spark, "resumed"), views.authority(spark, sf)
+
+    def work(rows):
+        return rec.reconcile(rows, authority)
+
+    for rows in (probes.filter("irn % 3 <> 0"), probes):
+        ledger.save_resumable(rows, "irn", work, root, chunk_rows=max(1, rows.count() // 3))
+    return ledger.read_saved(spark, root).select(*rec.RESULT_COLS)

@@ -6,11 +6,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import select_keys
+from .pointers import commit, pointers
 
 
 def write_csv(df: DataFrame, path: str, keys=(), mode: str = "overwrite") -> None:
@@ -35,17 +35,6 @@ def stamped_path(folder: str, project: str, stamp: str, count: int, ext: str = "
     return os.path.join(folder, f"{project}_{stamp}-{count}.{ext}")
 
 
-def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
-    """(number, version path) of every committed pointer, oldest first."""
-    try:
-        lines = spark.read.text(os.path.join(root, "CURRENT-*")).collect()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return []
-    return sorted((int(n), path) for n, path in (r[0].split("\t", 1) for r in lines))
-
-
 def write_vector_table(df: DataFrame, root: str, embedder: str, dim: int) -> str:
     """Write a new version of the vector table and then a new numbered
     pointer to it.  Nothing is deleted or overwritten: a run that fails at any
@@ -54,20 +43,17 @@ def write_vector_table(df: DataFrame, root: str, embedder: str, dim: int) -> str
     version = os.path.join(root, f"v-{uuid.uuid4().hex[:12]}")
     (df.withColumn("embedder", F.lit(embedder)).withColumn("dim", F.lit(dim))
      .write.mode("error").parquet(version))
-    spark = df.sparkSession
-    number = max([n for n, _ in _pointers(spark, root)], default=0) + 1
-    spark.createDataFrame([(f"{number}\t{version}",)], "line string").coalesce(1).write.mode("error").text(
-        os.path.join(root, f"CURRENT-{number:08d}"))
+    commit(df.sparkSession, root, "CURRENT", version)
     return version
 
 
 def open_vector_table(spark: SparkSession, root: str, embedder: str, dim: int) -> DataFrame:
     """Read the current version and refuse a table built by another embedder
     or dimension (both sides of a search must use the same embedder)."""
-    pointers = _pointers(spark, root)
-    if not pointers:
+    found = pointers(spark, root, "CURRENT")
+    if not found:
         raise ValueError(f"no vector table at {root}")
-    version = pointers[-1][1]
+    version = found[-1][1]
     df = spark.read.parquet(version)
     bad = df.filter((F.col("embedder") != embedder) | (F.col("dim") != dim)).limit(1).count()
     if bad:

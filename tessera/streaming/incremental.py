@@ -11,17 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.reconcile import reconcile
+from ..operators.prepared import open_prepared
+from ..plans.reconcile import reconcile, reconcile_prepared
 
 
-def run_incremental_reconcile(spark: SparkSession, probes_dir: str, probes_schema, authority: DataFrame,
+def run_incremental_reconcile(spark: SparkSession, probes_dir: str, probes_schema, authority: DataFrame | str,
                               out_dir: str, checkpoint_dir: str, files_per_batch: int = 256) -> None:
+    """``authority`` is a table, or the folder of a prepared authority: then a
+    batch costs its own probes, and a version prepared while the stream runs
+    takes effect with the next batch."""
     stream = (spark.readStream.schema(probes_schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(probes_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # one folder per batch, overwritten on replay: idempotent
-        reconcile(batch, authority).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        rows = reconcile_prepared(batch, open_prepared(spark, authority)) if isinstance(authority, str) else reconcile(batch, authority)
+        rows.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
