@@ -6,14 +6,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
+from ..functions import weights
 from ..operators import ivf, prepared
 from ..operators import knn as knn_ops
 from ..session import new_scratch_path, table
-from ..sinks import ledger
+from ..sinks import ledger, vector_store
 from ..streaming import incremental
+from . import ingest, views
 from . import reconcile as rec
-from . import views
-from .catalog import KNN_SQL, RECONCILE_SQL, _round_hits, query
+from .catalog import CHUNK_OVERLAP, CHUNK_SIZE, CHUNKS_SQL, EMBED_DIM, KNN_SQL, RECONCILE_SQL, _bucket_rows_sql, _questions, _round_hits, query
 from .ingest import index_vectors
 from .views import with_views
 
@@ -113,3 +114,49 @@ def q_resumed_reconcile(spark, sf):
     for rows in (probes.filter("irn % 3 <> 0"), probes):
         ledger.save_resumable(rows, "irn", work, root, chunk_rows=max(1, rows.count() // 3))
     return ledger.read_saved(spark, root).select(*rec.RESULT_COLS)
+
+
+@query("vector_update", with_views(
+    "SELECT c.*, e.embedded, e.kept, e.dropped FROM (SELECT source, count(*) FILTER (WHERE chunk_no = 0) AS n_docs, count(*) AS n_chunks, sum(length(chunk))::BIGINT AS n_chars "
+    "FROM chunks GROUP BY 1) c, (SELECT count(*) FILTER (WHERE doc_id % 100 IN (7, 9)) AS embedded, count(*) FILTER (WHERE doc_id % 100 NOT IN (7, 9)) AS kept, "
+    "count(*) FILTER (WHERE doc_id % 100 IN (7, 8)) AS dropped FROM documents) e", ctes=[CHUNKS_SQL]))
+def q_vector_update(spark, sf):
+    """An updatable vector table of an earlier state of the documents (some
+    with another text, some that are gone since, some not yet there), brought
+    to the present one and compacted: only the changed documents are embedded,
+    and the rows are those of a build from scratch."""
+    docs, k, root = table(spark, sf, "documents").select("doc_id", "source", "text"), F.col("doc_id") % 100, new_scratch_path(spark, "vector-store")
+    gone = docs.filter(k == 8).withColumn("doc_id", -1 - F.col("doc_id"))
+    earlier = docs.filter(k != 9).withColumn("text", F.when(k == 7, F.upper("text")).otherwise(F.col("text"))).unionByName(gone)
+    ingest.update_vector_table(earlier, root, CHUNK_SIZE, CHUNK_OVERLAP, EMBED_DIM)
+    facts = ingest.update_vector_table(docs, root, CHUNK_SIZE, CHUNK_OVERLAP, EMBED_DIM)
+    vector_store.compact(spark, root, f"{ingest.EMBEDDER}-{EMBED_DIM}")
+    rows = ingest.read_vectors(spark, root, EMBED_DIM)
+    per_source = rows.groupBy("source").agg(F.count(F.when(F.col("chunk_no") == 0, 1)).alias("n_docs"), F.count("*").alias("n_chunks"), F.sum(F.length("chunk")).alias("n_chars"))
+    return per_source.select("*", *[F.lit(facts[c]).cast("long").alias(c) for c in ("embedded", "kept", "dropped")])
+
+
+IDF_SQL = f"""idf AS (SELECT b, ln((1 + n)::DOUBLE / (1 + count(doc_id))::DOUBLE) + 1 AS w
+  FROM range(0, {EMBED_DIM}) r(b) LEFT JOIN dvec USING (b), (SELECT count(*) AS n FROM documents) GROUP BY b, n)"""
+
+
+@query("tfidf_embed", with_views(
+    "SELECT doc_id, v.b AS bucket, round(cnt * w / sqrt(n2), 6) AS weight FROM dvec v JOIN idf USING (b) "
+    "JOIN (SELECT doc_id, sum((cnt * w) * (cnt * w)) AS n2 FROM dvec JOIN idf USING (b) GROUP BY 1) USING (doc_id)",
+    ctes=[_bucket_rows_sql("dvec", "doc_id", "text", "documents"), IDF_SQL]))
+def q_tfidf_embed(spark, sf):
+    """Hashed token counts weighted by inverse document frequency."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    v = weights.fit(docs, dim=EMBED_DIM).embed(docs, "text", "v", EMBED_DIM)
+    return v.select("doc_id", F.posexplode_outer("v").alias("bucket", "weight")).filter("weight > 0").select("doc_id", F.col("bucket").cast("long").alias("bucket"), F.round("weight", 6).alias("weight"))
+
+
+@query("tfidf_retrieve")
+def q_tfidf_retrieve(spark, sf):
+    """Every question against a weighted vector table, with the weights stored
+    beside it: the nearest three chunks (a pytest compares brute force)."""
+    root = new_scratch_path(spark, "weighted")
+    w = ingest.build_weighted_table(table(spark, sf, "documents").select("doc_id", "source", "text"), root, CHUNK_SIZE, CHUNK_OVERLAP, EMBED_DIM)
+    chunks = ingest.read_vectors(spark, root, EMBED_DIM, w.embedder)
+    asked = weights.load(spark, root).embed(_questions(spark, sf), "text", "v", EMBED_DIM)
+    return _round_hits(knn_ops.knn_join(asked, chunks, TOP_K, q_id="query_id", q_vec="v", c_id="chunk_id", c_vec="embedding"))
