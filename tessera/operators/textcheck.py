@@ -5,10 +5,8 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def char_census(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -22,30 +20,61 @@ def char_census(df: DataFrame, text_col: str = "text") -> DataFrame:
             .select(F.ascii("ch").cast("bigint").alias("code_point"), "ch", "n"))
 
 
-def _xml_check(s: pd.Series) -> pd.DataFrame:
-    valid, msg = [], []
-    for x in s:
-        try:
-            ET.fromstring(x)
-            valid.append(True)
-            msg.append("The XML is well-formed.")
-        except ET.ParseError as e:
-            valid.append(False)
-            msg.append(f"XML is not well-formed: {e}")
-        except TypeError:
-            valid.append(False)
-            msg.append("XML is not well-formed: no text")
-    return pd.DataFrame({"valid": valid, "message": msg})
+# The messages of the check.
+WELL_FORMED, NOT_WELL_FORMED = "The XML is well-formed.", "XML is not well-formed: "
 
 
-XML_RESULT = T.StructType([T.StructField("valid", T.BooleanType()), T.StructField("message", T.StringType())])
-xml_check = F.pandas_udf(_xml_check, XML_RESULT)
+class _Discard:
+    """A parser target that keeps nothing: no tree is built."""
+
+    def close(self) -> None:
+        return None
+
+
+def parser_fault(text: str | None) -> str | None:
+    """What the parser finds wrong with a text, None when it is well-formed."""
+    if text is None:
+        return "no text"
+    parser = ET.XMLParser(target=_Discard())
+    try:
+        parser.feed(text)
+        parser.close()
+    except ET.ParseError as e:
+        return str(e)
+
+
+def surely_well_formed(xml) -> Column:
+    """True where the JVM alone can tell that a text is well-formed: its
+    reader finds no fault, and what that reader lets pass is ruled out by the
+    text's form - content after the root element (the root's name opens and
+    closes once and its end tag, or its own slash, ends the text), prefixed names (their
+    namespace may be missing), declarations and other prolog.  All other texts
+    are left to the parser, which names their fault."""
+    x = F.col(xml) if isinstance(xml, str) else xml
+    root = F.regexp_extract(x, r"^\s*<([A-Za-z_][A-Za-z0-9_.-]*)(?=[\s/>])", 1)
+    starts = F.regexp_like(x, F.lit(r"""^\s*<[^\s<>/"']+(?:\s(?:[^<>"']|"[^"<]*"|'[^'<]*')*)?(?<!/)>"""))
+    opened = starts & (F.size(F.split(x, F.concat(F.lit(r"<\Q"), root, F.lit(r"\E(?![A-Za-z0-9_.:-])")))) == 2)
+    once = F.size(F.split(x, F.concat(F.lit(r"</\Q"), root, F.lit(r"\E(?![A-Za-z0-9_.:-])")))) == 2
+    closed = once & F.rtrim(x, F.lit(" \t\r\n")).endswith(F.concat(F.lit("</"), root, F.lit(">")))
+    alone = F.regexp_like(x, F.lit(r"^\s*<[^<>]*/>\s*$"))
+    plain = ~F.regexp_like(x, F.lit(r"</?[^\s<>/]*:|<[^<>]*\s[^\s<>=]*:[^\s<>=]*\s*=|[^\x09\x0a\x0d\x20-\x{d7ff}\x{e000}-\x{fffd}\x{10000}-\x{10ffff}]|<!(?!--)|<\?"))
+    fault = F.from_xml(x, "_corrupt_record string", {"mode": "PERMISSIVE"})["_corrupt_record"]
+    return F.coalesce((root != "") & ((opened & closed) | alone) & plain & fault.isNull(), F.lit(False))
+
+
+def faults():
+    """Arrow-batched function: the fault of each text, null where it has none."""
+    return F.pandas_udf(lambda s: s.map(parser_fault, na_action=None).astype(object), "string")
 
 
 def xml_quality(df: DataFrame, id_col: str, xml_col: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per document: well-formed flag and the parser's message (Arrow
-    batches, one parser call per document), with the ``carry`` columns."""
-    return df.select(id_col, *carry, xml_check(F.col(xml_col)).alias("r")).select(id_col, *carry, "r.valid", "r.message")
+    """Per document: well-formed flag and message, with the ``carry`` columns.
+    The JVM settles the well-formed texts; Python reads only the others, for
+    the message."""
+    sure = df.select(id_col, *carry, F.col(xml_col).alias("_x"), surely_well_formed(xml_col).alias("_sure"))
+    asked = sure.withColumn("_fault", F.when(~F.col("_sure"), faults()(F.when(F.col("_sure"), F.lit("<a/>")).otherwise(F.col("_x")))))
+    valid = F.col("_fault").isNull()
+    return asked.select(id_col, *carry, valid.alias("valid"), F.when(valid, F.lit(WELL_FORMED)).otherwise(F.concat(F.lit(NOT_WELL_FORMED), "_fault")).alias("message"))
 
 
 def quarantined(df: DataFrame, checked: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:

@@ -1,14 +1,18 @@
-"""Registered queries of the authority join with regular-expression counties."""
+"""Registered queries of the authority join with regular-expression counties,
+of replies with keys nobody listed, and of the splitter as a table function."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import tables
 from ..functions.text import PLACE_FIELDS
 from ..operators import authority as auth_ops
+from ..session import table
+from . import open_replies, views
 from . import reconcile as rec
-from . import views
-from .catalog import COUNT_SQL, PAIRS_SQL, query
+from .catalog import CLEANED_SQL, COUNT_SQL, PAIRS_SQL, STATUS_SQL, query
+from .job_queries import FACTS_SQL, _chunk_facts
 from .views import with_views
 
 
@@ -56,3 +60,50 @@ def q_regex_lookup(spark, sf):
 def q_regex_reconcile(spark, sf):
     out = rec.reconcile(_patterned(spark, sf), views.authority(spark, sf), county="regex")
     return out.select("irn", "num_authority_matches", "irn_eluts", "error", *PLACE_FIELDS)
+
+
+def _open_replies(spark, sf):
+    """Replies whose keys differ from row to row, some of them damaged."""
+    e, k = table(spark, sf, "events").select("event_id", "props"), F.col("event_id")
+    n = F.get_json_object("props", "$.k")
+    reply = (F.when(k % 6 == 0, F.col("props")).when(k % 6 == 1, F.concat(F.lit('{"note": "n'), (k % 10).cast("string"), F.lit('", "k": '), n, F.lit("}")))
+             .when(k % 6 == 2, F.concat(F.lit('Here: {"k": '), n, F.lit(', "score": '), n, F.lit(".5}")))
+             .when(k % 6 == 3, F.concat(F.lit('{"score": '), n, F.lit(', "tags": ["a", '), n, F.lit("]}"))).when(k % 6 == 4, F.concat(F.lit('{"k": null, "ok": true, "note": "'), n, F.lit('"}')))
+             .otherwise(F.lit('{"k": 1, "lost": ')))
+    return e.select(F.col("event_id").alias("reply_id"), reply.alias("reply"))
+
+
+OPEN_SQL = """replies AS (SELECT event_id AS reply_id, CASE event_id % 6 WHEN 0 THEN props WHEN 1 THEN '{"note": "n' || (event_id % 10) || '", "k": ' || n || '}'
+  WHEN 2 THEN 'Here: {"k": ' || n || ', "score": ' || n || '.5}' WHEN 3 THEN '{"score": ' || n || ', "tags": ["a", ' || n || ']}'
+  WHEN 4 THEN '{"k": null, "ok": true, "note": "' || n || '"}' ELSE '{"k": 1, "lost": ' END AS reply FROM (SELECT *, json_extract_string(props, '$.k') AS n FROM events))"""
+
+
+@query("reply_extra", with_views(
+    "SELECT reply_id, error, CASE WHEN error = 'OK' THEN coalesce(json_extract_string(cleaned, '$.k'), 'none') END AS k, "
+    "CASE WHEN error = 'OK' THEN array_to_string(list_sort([x || '=' || coalesce(json_extract_string(cleaned, '$.' || x), 'none') FOR x IN json_keys(cleaned) IF x <> 'k']), ';') END AS extra "
+    "FROM status", ctes=[OPEN_SQL, CLEANED_SQL, STATUS_SQL]))
+def q_reply_extra(spark, sf):
+    """The listed field and, as sorted text, every other key of a reply."""
+    out = open_replies.with_extra(_open_replies(spark, sf), ("k",))
+    pairs = F.transform(F.map_entries("extra"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return out.select("reply_id", "error", "k", F.when(F.col("extra").isNotNull(), F.array_join(F.array_sort(pairs), ";")).alias("extra"))
+
+
+@query("reply_dynamic", with_views(
+    "SELECT reply_id, error, CASE WHEN error = 'OK' THEN 'NA' ELSE cleaned END AS error_output, CASE WHEN error = 'OK' THEN json_extract_string(cleaned, '$.k')::BIGINT END AS k, "
+    "CASE WHEN error = 'OK' THEN json_extract_string(cleaned, '$.note') END AS note, CASE WHEN error = 'OK' THEN json_extract_string(cleaned, '$.score')::DOUBLE END AS score, "
+    "CASE WHEN error = 'OK' THEN json_extract(cleaned, '$.tags')::VARCHAR END AS tags, CASE WHEN error = 'OK' THEN json_extract_string(cleaned, '$.ok')::BOOLEAN END AS ok "
+    "FROM status", ctes=[OPEN_SQL, CLEANED_SQL, STATUS_SQL]))
+def q_reply_dynamic(spark, sf):
+    """One typed column for every key that occurs in the replies."""
+    return open_replies.dynamic_rows(_open_replies(spark, sf)).drop("extra")
+
+
+@query("chunk_udtf_facts", FACTS_SQL)
+def q_chunk_udtf_facts(spark, sf):
+    """The recursive splitter called from SQL, checked like
+    ``chunk_recursive_facts``."""
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    tables.register(spark)
+    chunks = spark.sql("SELECT d.doc_id, c.* FROM {docs} d, LATERAL split_text(d.text, 300, 0) c", docs=docs)
+    return _chunk_facts(docs, chunks, F.length("chunk") > 300)
