@@ -750,8 +750,12 @@ def _docs(spark, sf):
     return spreaded(table(spark, sf, "documents").select("doc_id", "source", "text"))
 
 
+def _cut_fixed(docs):
+    return chunk_ops.fixed_chunks(docs, CHUNK_SIZE, CHUNK_OVERLAP)
+
+
 def _fixed(spark, sf):
-    return chunk_ops.fixed_chunks(_docs(spark, sf), CHUNK_SIZE, CHUNK_OVERLAP)
+    return _cut_fixed(_docs(spark, sf))
 
 
 def _questions(spark, sf):
@@ -792,7 +796,7 @@ def q_hash_embed(spark, sf):
 
 
 def _hits(spark, sf):
-    return retr.hits_for(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM)
+    return retr.hits_for(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, cut=(_docs(spark, sf), _cut_fixed))
 
 
 @query("context_join", with_views("SELECT query_id, context FROM ctx", ctes=RETRIEVE_CTES))
@@ -812,7 +816,7 @@ def q_source_list(spark, sf):
     f"replace(replace({_sql_str(PROMPT_TEMPLATE)}, '{{question}}', b.text), '{{context}}', coalesce(c.context, '')) AS prompt "
     f"FROM benchmark b LEFT JOIN ctx c ON c.query_id = b.item_id", ctes=RETRIEVE_CTES))
 def q_retrieve(spark, sf):
-    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.5)
+    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.5, cut=(_docs(spark, sf), _cut_fixed))
     return out.withColumn("best_relevance", F.round("best_relevance", 6))
 
 
@@ -823,7 +827,7 @@ def q_retrieve(spark, sf):
     ctes=RETRIEVE_CTES))
 def q_retrieve_gate(spark, sf):
     """Stop rule: only questions whose best hit reaches 0.7 get a prompt."""
-    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.7, on_low="drop")
+    out = retr.retrieve(_questions(spark, sf), _fixed(spark, sf), TOP_K, EMBED_DIM, min_relevance=0.7, on_low="drop", cut=(_docs(spark, sf), _cut_fixed))
     return out.withColumn("best_relevance", F.round("best_relevance", 6))
 
 

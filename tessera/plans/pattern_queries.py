@@ -1,17 +1,20 @@
 """Registered queries of the authority join with regular-expression counties,
-of replies with keys nobody listed, and of the splitter as a table function."""
+of replies with keys nobody listed, of the splitter as a table function, and
+of the hooks: another embedder, another score."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from ..functions import tables
+from ..functions import vectors as V
 from ..functions.text import PLACE_FIELDS
 from ..operators import authority as auth_ops
 from ..session import table
 from . import open_replies, views
 from . import reconcile as rec
-from .catalog import CLEANED_SQL, COUNT_SQL, PAIRS_SQL, STATUS_SQL, query
+from . import retrieve as retr
+from .catalog import CLEANED_SQL, COUNT_SQL, EMBED_DIM, NEAREST_SQL, PAIRS_SQL, RETRIEVE_CTES, SCORE_SQL, STATUS_SQL, TOP_K, _cut_fixed, _docs, _questions, query
 from .job_queries import FACTS_SQL, _chunk_facts
 from .views import with_views
 
@@ -107,3 +110,30 @@ def q_chunk_udtf_facts(spark, sf):
     tables.register(spark)
     chunks = spark.sql("SELECT d.doc_id, c.* FROM {docs} d, LATERAL split_text(d.text, 300, 0) c", docs=docs)
     return _chunk_facts(docs, chunks, F.length("chunk") > 300)
+
+
+@query("retrieve_embedder", with_views("SELECT query_id, rk, chunk_id, source, round(distance, 6) AS distance FROM hits",
+                                       ctes=[c.replace("lower(chunk)", "chunk").replace("lower(text)", "text") for c in RETRIEVE_CTES]))
+def q_retrieve_embedder(spark, sf):
+    """Retrieval with another embedder on both sides: token counts that tell
+    upper from lower case."""
+    def embed(df, text_col, out_col, dim):
+        return V.with_hashed_counts(df, text_col, out_col, dim, lower=False)
+
+    docs = _docs(spark, sf)
+    hits = retr.hits_for(_questions(spark, sf), _cut_fixed(docs), TOP_K, EMBED_DIM, embed=embed, cut=(docs, _cut_fixed))
+    return hits.select("query_id", "rk", "chunk_id", "source", F.round("distance", 6).alias("distance"))
+
+
+RULE_SQL = "3.0 * CAST(a.state_province = t.state_province AS DOUBLE) + CAST(a.continent = t.continent AS DOUBLE) + (a.irn_eluts % 7) / 10.0"
+
+
+@query("nearest_rule", with_views("SELECT irn, a_irn_eluts AS irn_eluts, round(score, 6) AS score FROM nearest", "auth", "norm", ctes=[PAIRS_SQL.replace(SCORE_SQL, RULE_SQL), NEAREST_SQL]))
+def q_nearest_rule(spark, sf):
+    """The nearest candidate under another rule than the default score."""
+    def agree(field):
+        return (F.col("a_" + field) == F.col(field)).cast("double")
+
+    rule = F.lit(3.0) * agree("state_province") + agree("continent") + (F.col("a_irn_eluts") % 7) / F.lit(10.0)
+    out = auth_ops.nearest_candidates(views.normalized(spark, sf), views.authority(spark, sf), score=rule)
+    return out.select("irn", "irn_eluts", F.round("score", 6).alias("score"))
