@@ -10,8 +10,9 @@ share is never one task's.  The centroids and the pack table (one row a cell,
 at most MAX_CELLS) are written beside the rows.
 
 Search.  A query names its ``probes`` nearest cells and is sent once to every
-pack that holds one of them, however many of the pack's cells it probes; packs
-and queries meet in a cogroup whose sides are both bounded (a pack that more
+pack that holds one of them, however many of the pack's cells it probes: first
+to the packs of its nearest cell, then, with the k-th distance found there, to
+the others, which answer only with rows within it.  Packs and queries meet in a cogroup whose sides are both bounded (a pack that more
 than QUERY_ROWS queries probe is copied for each such block of queries).  Each
 cell is compared by matrix products in float32; only pairs within the rounding
 bound of a query's k-th best get their exact distance, summed as in
@@ -35,6 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import new_scratch_path
 from .knn import OUT_SCHEMA, _frame, _merge_top, _vectors, knn_join, usable
@@ -223,14 +225,23 @@ def _count_visits(index_cells, centroids, probes):
     return run
 
 
-def _send(index_cells, centroids, probes, blocks: np.ndarray):
+def _send(index_cells, centroids, probes, blocks: np.ndarray, home: bool):
+    """A query's rows for the packs of its nearest cell (``home``) or for all
+    other packs that hold one of its cells."""
+    _, first, splits = index_cells
+
     def run(batches):
         for part, x in _tiles(batches, 1, 1024):
             row, pack, at, cell = _by_pack(_probed(x, centroids, probes), index_cells)
-            own = part.take(pa.array(row, pa.int64()))
+            nearest = _squared(x, centroids).argmin(1)[row]
+            mine = np.flatnonzero(((pack >= first[nearest]) & (pack < first[nearest] + splits[nearest])) == home)
+            sizes = np.diff(at)[mine]
+            cell = cell[np.repeat(at[:-1][mine] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            own, pack = part.take(pa.array(row[mine], pa.int64())), pack[mine]
             block = own.column(0).to_numpy() % blocks[pack]
-            yield pa.RecordBatch.from_arrays([pa.array(pack, pa.int64()), pa.array(block, pa.int64()), *own.columns, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(cell, pa.int32()))],
-                                             names=["pack", "block", "qid", "v", "cells"])
+            yield pa.RecordBatch.from_arrays([pa.array(pack, pa.int64()), pa.array(block, pa.int64()), *own.columns,
+                                              pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(cell, pa.int32()))],
+                                             names=["pack", "block", "qid", "v", "bound", "cells"])
     return run
 
 
@@ -238,13 +249,13 @@ class _Best:
     """The k smallest rough distances of every query so far, and the pairs that
     may still belong to the k nearest."""
 
-    def __init__(self, Q: np.ndarray, C: np.ndarray, k: int):
+    def __init__(self, Q: np.ndarray, C: np.ndarray, k: int, bound: np.ndarray):
         qn, cn = (Q * Q).sum(1), (C * C).sum(1)
         kind = np.float32 if max(qn.max(), cn.max()) < 1e30 else np.float64
-        self.k, self.best, self.kept = k, np.full((len(Q), k), np.inf, kind), []
+        self.k, self.best, self.kept = k, np.repeat(bound.astype(kind)[:, None], k, 1), []
         self.Q, self.C, self.qn, self.cn = Q.astype(kind), C.astype(kind), qn.astype(kind), cn.astype(kind)
-        # rounding of a product of Q.shape[1] terms, both sides of a comparison
-        self.slack = (4e-7 * (Q.shape[1] + 8) * (qn + cn.max()) + 1e-30).astype(kind)
+        # rounding of a product of Q.shape[1] terms and of a bound, both sides of a comparison
+        self.slack = (4e-7 * (Q.shape[1] + 8) * (qn + cn.max() + np.where(np.isfinite(bound), bound, 0.0)) + 1e-30).astype(kind)
 
     def add(self, x: np.ndarray, y: np.ndarray, same: tuple[np.ndarray, np.ndarray] | None) -> None:
         """Compare queries ``x`` with rows ``y``; pairs ``same`` are left out."""
@@ -284,7 +295,8 @@ def _compare(k: int, exclude_self: bool):
         row = np.repeat(np.arange(q.num_rows), np.diff(lists.offsets.to_numpy()))
         cell = lists.flatten().to_numpy(zero_copy_only=False)
         asks, rows = np.argsort(cell, kind="stable"), np.lexsort((cid, own))
-        names, best = np.intersect1d(cell, own), _Best(Q, C, k)
+        bound = q.column("bound").to_numpy()
+        names, best = np.intersect1d(cell, own), _Best(Q, C, k, bound)
         a, b = (np.searchsorted(x, [names, names + 1]) for x in (cell[asks], own[rows]))
         for i in range(len(names)):
             y = rows[b[0][i]:b[1][i]]
@@ -301,6 +313,7 @@ def _compare(k: int, exclude_self: bool):
             t = Q[r, j] - C[c, j]
             exact = exact + t * t
         order = np.lexsort((cid[c], exact, r))
+        order = order[exact[order] <= bound[r[order]]]
         r, c, exact = r[order], c[order], exact[order]
         keep = np.arange(len(r)) - np.searchsorted(r, r, "left") < k
         return pa.table([pa.array(qid[r[keep]], pa.int64()), pa.array(cid[c[keep]], pa.int64()), pa.array(exact[keep])], names=["qid", "cid", "distance"])
@@ -320,12 +333,23 @@ def search(queries: DataFrame, index: Index, k: int, probes: int, *, q_id: str,
     for r in q.mapInArrow(_count_visits(cells, index.centroids, probes), "pack long, n long").groupBy("pack").agg(F.sum("n").alias("n")).collect():  # one row a pack
         sizes[r.pack] = r.n
     blocks = np.maximum(1, -(-sizes // query_rows))
-    asked = q.mapInArrow(_send(cells, index.centroids, probes, blocks), "pack long, block long, qid long, v array<double>, cells array<int>")
     many = index.rows.sparkSession.createDataFrame([(int(p), int(n)) for p, n in enumerate(blocks) if n > 1], "pack long, blocks long")
     rows = index.rows.join(F.broadcast(many), "pack", "left")  # one row a pack at most
     rows = rows.select("pack", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1)) - 1)).alias("block"), "cell", "cid", "v")
-    part = asked.groupBy("pack", "block").cogroup(rows.groupBy("pack", "block")).applyInArrow(_compare(k, exclude_self), OUT_SCHEMA)
-    return _merge_top(part, k)
+
+    def compared(asked: DataFrame, home: bool) -> DataFrame:
+        sent = asked.mapInArrow(_send(cells, index.centroids, probes, blocks, home), "pack long, block long, qid long, v array<double>, bound double, cells array<int>")
+        return sent.groupBy("pack", "block").cogroup(rows.groupBy("pack", "block")).applyInArrow(_compare(k, exclude_self), OUT_SCHEMA)
+
+    # the packs of a query's nearest cell bound its k-th distance; all others
+    # send only rows within that bound
+    path = new_scratch_path(index.rows.sparkSession, "ivf-home")
+    compared(q.withColumn("bound", F.lit(float("inf"))), True).write.parquet(path)
+    home = index.rows.sparkSession.read.schema(OUT_SCHEMA).parquet(path)
+    top = Window.partitionBy("qid").orderBy("distance", "cid")
+    bounds = home.withColumn("place", F.row_number().over(top)).filter(F.col("place") == k).select("qid", F.col("distance").alias("bound"))
+    rest = compared(q.join(bounds, "qid", "left").select("qid", "v", F.coalesce("bound", F.lit(float("inf"))).alias("bound")), False)
+    return _merge_top(home.unionByName(rest), k)
 
 
 def probes_for(queries: DataFrame, index: Index, k: int, *, q_id: str, q_vec: str, exclude_self: bool = False, floor: float = 0.9) -> tuple[int, dict]:
