@@ -56,7 +56,10 @@ def _kinds() -> list[tuple[int, int]]:
 
 
 def _write(df: DataFrame, path: str, name: str, key: str, buckets: int) -> dict:
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    """Tasks take ranges of (bucket, row), so a gram that every county holds
+    is written by several tasks, as several files of its bucket."""
+    dealt = df.repartitionByRange(buckets, F.pmod(F.hash(key), F.lit(buckets)), F.xxhash64(*df.columns))
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
     return {"name": name, "path": path, "key": key, "buckets": buckets, "schema": df._jdf.schema().toDDL()}
 
 

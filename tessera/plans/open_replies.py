@@ -73,6 +73,6 @@ def dynamic_rows(df: DataFrame, id_col: str = "reply_id", reply_col: str = "repl
             taken.add(r.key.lower())
             columns.append((r.key, "double" if (r.type or "").startswith("DECIMAL") else TYPES.get(r.type, "string")))
     c = c.withColumn("_map", F.when(ok, reply_map("cleaned")))
-    return c.select(id_col, *[F.col("_map")[F.lit(k)].cast(t).alias(k) for k, t in columns],
+    return c.select(id_col, *[F.col("_map")[F.lit(k)].try_cast(t).alias(k) for k, t in columns],
                     F.when(ok, F.map_filter("_map", lambda k, v: ~F.array_contains(F.array(*[F.lit(k) for k, _ in columns]).cast("array<string>"), k))).alias("extra"),
                     "error", F.when(ok, F.lit("NA")).otherwise(F.col("cleaned")).alias("error_output"))
