@@ -56,8 +56,10 @@ def relevance(sq_distance) -> Column:
 
 
 def token_bucket(tok, dim: int) -> Column:
-    """Bucket of a token: first 8 hex digits of its md5, modulo ``dim``."""
-    return F.conv(F.substring(F.md5(tok), 1, 8), 16, 10).cast("bigint") % F.lit(dim)
+    """Bucket of a token: first 8 hex digits of its md5, modulo ``dim``.  Where
+    ``dim`` divides a power of 16 only the last digits of the eight decide."""
+    digits = next((n for n in range(1, 8) if 16 ** n % dim == 0), 8)
+    return F.conv(F.substring(F.md5(tok), 9 - digits, digits), 16, 10).cast("bigint") % F.lit(dim)
 
 
 def token_buckets(text, dim: int = 64, lower: bool = True) -> Column:

@@ -158,3 +158,11 @@ def test_weighted_retrieval_equals_brute_force(spark):
         d = np.sort(((V - vector(q.text)) ** 2).sum(1))[:3]
         assert np.allclose([x for _, x in sorted(got[q.item_id])], d, atol=1e-6)
     assert len(ids) > 100
+
+
+@pytest.mark.parametrize("dim", [1, 2, 16, 64, 100, 256, 1000, 4096, 1 << 28])
+def test_buckets_are_the_first_eight_digits_modulo_dim(spark, dim):
+    from tessera.functions.vectors import token_bucket
+    words = [f"w{i}" for i in range(300)] + ["", "é", "日本"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", token_bucket(F.col("w"), dim).alias("b")).collect()
+    assert all(r.b == int(hashlib.md5(r.w.encode()).hexdigest()[:8], 16) % dim for r in got)
