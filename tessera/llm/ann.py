@@ -4,10 +4,12 @@ Vectors are lengthened by one component that turns the largest inner product
 into the smallest Euclidean distance, and projected to a few dimensions with
 Gaussian (2-stable) weights.  The projections of each corpus block are indexed
 by a kd-tree; for each query its leaves are visited in the order of their
-projected distance and every vector in them is verified by its exact product,
-until a chi-square test holds: a vector as near as the k-th found so far
-would, with probability ``CONFIDENCE``, have a projection nearer than the next
-leaf.  Blocks give k rows per query; a final ranking merges them.
+projected distance, and the vectors in them are verified by their exact
+product as long as a chi-square test allows: a vector as near as the k-th found
+so far would, with probability ``CONFIDENCE``, have a nearer projection than
+one that the test refuses.  It refuses single vectors of a leaf, and ends the
+search at the first leaf whose box it refuses.  Blocks give k rows per query; a
+final ranking merges them.
 
 Every row is indexed.  Equal vectors are indexed once per block and carry
 their smallest k + 1 ids, which is all that any list of k can hold.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import pick
 
 K = 20
-DIMENSIONS, LEAF, CONFIDENCE = 8, 32, 0.97
+DIMENSIONS, LEAF, CONFIDENCE = 24, 32, 0.93
 BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048  # vectors per index block; queries searched together
 STEP_LEAVES, GROUP = 4, 128  # leaves visited between two tests; queries visited together
 SEED = 11
@@ -90,34 +92,44 @@ def _top(score: np.ndarray, row: np.ndarray, order_id: np.ndarray, k: int):
     return np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
 
 
-def search(x: np.ndarray, first_id: np.ndarray, q: np.ndarray, top_norm: float, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(rows of x, scores) for each query, the k best distinct vectors found."""
+def search(x: np.ndarray, first_id: np.ndarray, q: np.ndarray, top_norm: float, k: int, met: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows of x, scores) for each query, the k best distinct vectors found;
+    ``met``, if given, gathers how many vectors each query verified."""
     d = x.shape[1]
     project = np.random.default_rng(SEED).standard_normal((d + 1, DIMENSIONS))
     rest = np.sqrt(np.maximum(top_norm**2 - (x * x).sum(1), 0))
-    tree, out = Tree(np.column_stack([x, rest]) @ project), []
+    points = np.column_stack([x, rest]) @ project
+    tree, out = Tree(points), []
     bound = chi_square_quantile(CONFIDENCE, DIMENSIONS)
     for at in range(0, len(q), GROUP):
         some = q[at:at + GROUP]
-        near = tree.distances(some @ project[:d])
+        asked = some @ project[:d]
+        near = tree.distances(asked)
         order = np.argsort(near, axis=1, kind="stable")
         near = np.take_along_axis(near, order, 1)
         size = (some * some).sum(1)
         score, row = np.full((len(some), k), -np.inf), np.full((len(some), k), -1)
-        active = np.arange(len(some))
+        active, verified = np.arange(len(some)), np.zeros(len(some), np.int64)
         for leaf in range(0, order.shape[1], STEP_LEAVES):
-            if leaf:  # squared distance of the k-th: |q|^2 + M^2 - 2 q.x
-                kth = np.maximum(size[active] + top_norm**2 - 2 * score[active, -1], 0)
-                active = active[near[active, leaf] <= bound * kth]
-                if not len(active):
-                    break
+            # squared distance of the k-th: |q|^2 + M^2 - 2 q.x
+            limit = bound * np.maximum(size[active] + top_norm**2 - 2 * score[active, -1], 0)
+            go = near[active, leaf] <= limit
+            active, limit = active[go], limit[go]
+            if not len(active):
+                break
             rows = tree.rows[order[active, leaf:leaf + STEP_LEAVES]].reshape(len(active), -1)
-            s = np.einsum("ad,apd->ap", some[active], x[rows])
-            s[rows < 0] = -np.inf
+            gap = ((points[rows] - asked[active, None]) ** 2).sum(axis=2)
+            a, p = np.nonzero((rows >= 0) & (gap <= limit[:, None]))
+            verified[active] += np.bincount(a, minlength=len(active))
+            s = np.full(rows.shape, -np.inf)
+            s[a, p] = np.einsum("nd,nd->n", some[active[a]], x[rows[a, p]])
+            rows = np.where(s > -np.inf, rows, -1)
             better = (s >= score[active, -1:]).any(axis=1)
             a = active[better]
             if len(a):
                 score[a], row[a] = _top(np.concatenate([score[a], s[better]], 1), np.concatenate([row[a], rows[better]], 1), first_id, k)
+        if met is not None:
+            met.extend(verified.tolist())
         out += [(r[r >= 0], s[r >= 0]) for r, s in zip(row, score, strict=True)]
     return out
 
