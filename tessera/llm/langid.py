@@ -31,6 +31,7 @@ GRAMS = 3
 # Bounds of the fit, per language: sampled texts, landmarks among them, and
 # the length up to which texts are sampled first (prediction has no such bound).
 SAMPLE, LANDMARKS, SAMPLE_CHARS = 200, 24, 20_000
+SLICES = 64  # slices of tasks whose samples are ranked apart first
 MAX_LANGS = 1000  # more label values than this are an error, not languages
 RIDGE = 1e-2
 UND = "und"
@@ -89,15 +90,18 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame) -> list[tuple[str, str]]:
     """min(SAMPLE, all) distinct texts of every language: the smallest hashes
     of the texts up to SAMPLE_CHARS, then those of longer ones.  Copies are one
-    text whatever their number; ranks keep at most SAMPLE hashes per language
-    and task before they are shuffled, and texts are read for the chosen ones."""
+    text whatever their number.  Hashes are ranked per language and slice of
+    tasks and then per language, so a language's task meets at most
+    SLICES * SAMPLE of them; texts are read for the chosen ones."""
     d = pick(docs, "doc_id", "text", "lang")
     d = d.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("doc_id")))
     if d.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} values of lang")
     hashed = d.filter("text <> ''").withColumn("h", F.xxhash64("text"))
     one = hashed.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"), F.min(F.length("text") > SAMPLE_CHARS).alias("long"))
-    ranked = one.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))).filter(F.col("rank") <= SAMPLE)
+    sliced = one.withColumn("slice", F.spark_partition_id() % SLICES)
+    first = sliced.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy("long", "h"))).filter(F.col("rank") <= SAMPLE)
+    ranked = first.drop("slice").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("long", "h"))).filter(F.col("rank") <= SAMPLE)
     chosen = hashed.join(F.broadcast(ranked.drop("long")), ["lang", "h", "doc_id"]).dropDuplicates(["lang", "h"])
     return [(r.lang, r.text) for r in chosen.select("lang", "rank", "text").orderBy("lang", "rank").collect()]
 
