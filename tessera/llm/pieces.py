@@ -37,6 +37,8 @@ from tessera.llm.chunks import RAW, blocks, chunk_text, cut
 from tessera.llm.common import pick
 
 BLOCK_BYTES = 32 << 20  # text per block
+GROUP_BYTES = 8 << 20  # chunks of several blocks looked up together
+KNOWN_BYTES, CHUNK_COST = 256 << 20, 200  # distinct chunks a task holds; bytes of one beside its text
 MARKER = "▁"
 # Texts beyond the plain rule: two spaces in a row, one at the start, the
 # marker itself, the control characters that mark chunks.
@@ -173,26 +175,71 @@ def _segment(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray, dict[
 
 def _segment_bucket(path: str):
     """All rows of a bucket meet in one partition; a partition's chunks are
-    segmented once for all blocks."""
+    segmented once for all blocks.  Rows pass in groups of GROUP_BYTES and only
+    the distinct chunks are held; beyond KNOWN_BYTES of them the table starts
+    anew (a chunk that comes again is then segmented again, with equal ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Segments(path)
+        for group in _groups((row for b in batches for row in zip(*(b.column(i) for i in range(3)), strict=True))):
+            yield from table.ids_of(group)
+    return run
+
+
+def _groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """(block, bucket, words) of consecutive rows, about GROUP_BYTES at a time."""
+    group, size = [], 0
+    for block, bucket, words in rows:
+        raw = _unpack(words.as_py())
+        group.append((block.as_py(), bucket.as_py(), raw))
+        size += len(raw[2])
+        if size >= GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+class _Segments:
+    """Distinct chunks met so far, with their ids."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.odd: dict[int, str] = {}
+        self.bytes = 0
+
+    def codes(self, words: list[str]) -> np.ndarray:
+        """Places of distinct chunks in the table, new ones added."""
+        new = [w for w in words if w not in self.index]
+        if new:
+            ids, sizes, odd = _segment(new, self.path)
+            first = len(self.sizes)
+            self.index.update(zip(new, range(first, first + len(new))))
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+            self.odd.update({first + k: t for k, t in odd.items()})
+            self.bytes += sum(map(len, new)) + CHUNK_COST * len(new)
+        return np.array([self.index[w] for w in words], np.int64)
+
+    def ids_of(self, group: list[tuple]) -> Iterator[pa.RecordBatch]:
         from tessera.llm.chunks import gather
-        rows = [(block, bucket, _unpack(words)) for b in batches for block, bucket, words in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)]
-        if not rows:
-            return
-        strings = [_strings(_array(w[1], "<u4"), w[2]) for _, _, w in rows]
+        if self.bytes > KNOWN_BYTES:
+            self.clear()
+        strings = [_strings(_array(w[1], "<u4"), w[2]) for _, _, w in group]
         coded = pa.chunked_array(strings).combine_chunks().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64)
-        ids, sizes, odd = _segment(words, path)
-        starts, at = np.cumsum(sizes) - sizes, 0
-        for (block, bucket, w), s in zip(rows, strings, strict=True):
+        codes = self.codes(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+        starts, at = np.cumsum(self.sizes) - self.sizes, 0
+        for (block, bucket, w), s in zip(group, strings, strict=True):
             own = codes[at:at + len(s)]
             at += len(s)
-            strange = [(k, odd[c]) for k, c in enumerate(own.tolist()) if c in odd] if odd else []
-            data = _pack(w[0], sizes[own].astype("<u4"), gather(ids, starts, sizes, own))
+            strange = [(k, self.odd[c]) for k, c in enumerate(own.tolist()) if c in self.odd] if self.odd else []
+            data = _pack(w[0], self.sizes[own].astype("<u4"), gather(self.ids, starts, self.sizes, own))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([bucket], pa.int32()), pa.array([data], pa.binary()),
                                               pa.array([[k for k, _ in strange]], pa.list_(pa.int32())), pa.array([[t for _, t in strange]], pa.list_(pa.string()))],
                                              ["block", "bucket", "ids", "odd_at", "odd_text"])
-    return run
 
 
 def _join(emit):
