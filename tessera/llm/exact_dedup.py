@@ -77,14 +77,18 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     digests = materialize(rows.select(F.col("_id").alias("doc_id"), F.col("_digest").alias("text_sha256")), "digests")
     heavy, ordinary = split_winners(digests)
 
-    def semi(part: DataFrame, winners: DataFrame) -> DataFrame:
+    def winners_of(part: DataFrame, winners: DataFrame) -> DataFrame:
+        # keep_id is the largest id of its digest.  It is compared, not joined:
+        # rows then meet by the digest alone, and those that repeat id and text
+        # are dropped where they are, without a second shuffle of texts
         w = winners.select("text_sha256", "keep_id")
-        return part.join(w, (F.col("_digest") == F.col("text_sha256")) & F.col("_id").eqNullSafe(F.col("keep_id")), "left_semi")
+        largest = (F.col("_id") >= F.col("keep_id")) | (F.col("_id").isNull() & F.col("keep_id").isNull())
+        kept = part.join(w, (F.col("_digest") == F.col("text_sha256")) & largest, "left_semi").dropDuplicates(["_digest"])
+        return kept.select(*[f"_c{i}" for i in range(len(cols))])
 
-    hot = semi(rows, F.broadcast(heavy))
-    rest = semi(rows.join(F.broadcast(heavy.select(F.col("text_sha256").alias("_digest"))), "_digest", "left_anti"), ordinary)
-    kept = hot.unionByName(rest.select(*hot.columns)).dropDuplicates(["_digest"])
-    return kept.select(*[f"_c{i}" for i in range(len(cols))]).toDF(*cols)
+    hot = winners_of(rows, F.broadcast(heavy))
+    rest = winners_of(rows.join(F.broadcast(heavy.select(F.col("text_sha256").alias("_digest"))), "_digest", "left_anti"), ordinary)
+    return hot.unionByName(rest).toDF(*cols)
 
 
 SQL = """
