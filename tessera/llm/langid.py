@@ -8,7 +8,9 @@ its presence matrix with the landmarks' and one with the weights.
 
 Defined results: ``und`` with score 0 for a null text, a text without a
 letter, or when no labelled text exists; ties go to the smaller language name;
-whole texts are used; repeated rows and null ids are scored like any other
+whole texts are used; ``accepted`` keeps a text that its landmarks cannot
+refuse, and every text with a letter where no held-out row has a label;
+repeated rows and null ids are scored like any other
 row (a null id is not held out and not learned from); other columns are
 carried by ``predict`` whatever their names; an empty table gives no rows.
 """
@@ -34,6 +36,10 @@ SAMPLE, LANDMARKS, SAMPLE_CHARS = 200, 24, 20_000
 SLICES = 64  # slices of tasks whose samples are ranked apart first
 MAX_LANGS = 1000  # more label values than this are an error, not languages
 RIDGE = 1e-2
+# A text goes when it is far less familiar than labelled rows that the fit has
+# not seen: below MARGIN times their QUANTILE.  PRIOR shared n-grams are granted,
+# so a short text is not judged by a few of them.
+PRIOR, QUANTILE, MARGIN = 10, 0.01, 0.5
 UND = "und"
 ROWS = 256  # texts per matrix product
 SPAN = 1 << 20  # characters whose n-grams are sorted together
@@ -62,9 +68,9 @@ class Model:
     landmarks: np.ndarray
     weights: np.ndarray
 
-    def kernel(self, texts: list[str]) -> np.ndarray:
-        """Normalised kernel of the texts with every landmark, by one product
-        of presence matrices."""
+    def shared(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(n-grams shared with every landmark, over the root of the
+        landmark's; n-grams of each text), by one product of presence matrices."""
         presence = np.zeros((len(texts), len(self.vocabulary)), np.float32)
         own = np.ones(len(texts))
         for i, t in enumerate(texts):
@@ -73,28 +79,43 @@ class Model:
             at[at == len(self.vocabulary)] = 0
             presence[i, at[self.vocabulary[at] == g]] = 1
             own[i] = max(1, len(g))
-        return (presence @ self.landmarks) / np.sqrt(own)[:, None]
+        return presence @ self.landmarks, own
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def kernel(self, texts: list[str]) -> np.ndarray:
+        """Normalised kernel of the texts with every landmark."""
+        common, own = self.shared(texts)
+        return common / np.sqrt(own)[:, None]
+
+    def judge(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, familiarity) of texts.  Familiarity is the largest
+        share of n-grams, of the text or of the landmark, whichever has fewer,
+        that the text has in common with a landmark."""
         if not self.langs or not texts:
-            return [UND] * len(texts), np.zeros(len(texts))
-        s = self.kernel(texts) @ self.weights
+            return [UND] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+        common, own = self.shared(texts)
+        s = common / np.sqrt(own)[:, None] @ self.weights
         best = s.argmax(axis=1)
-        return [self.langs[k] for k in best], np.clip((s[np.arange(len(s)), best] + 1) / 2, 0, 1)
+        size = np.count_nonzero(self.landmarks, axis=0)
+        familiar = ((common * np.sqrt(size) + PRIOR) / (np.minimum(own[:, None], size) + PRIOR)).max(axis=1)
+        return [self.langs[k] for k in best], np.clip((s[np.arange(len(s)), best] + 1) / 2, 0, 1), familiar
+
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        return self.judge(texts)[:2]
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame) -> list[tuple[str, str]]:
-    """min(SAMPLE, all) distinct texts of every language: the smallest hashes
+def sample(docs: DataFrame, held: bool = False) -> list[tuple[str, str]]:
+    """min(SAMPLE, all) distinct texts of every language, from the rows to learn
+    from or from those held out: the smallest hashes
     of the texts up to SAMPLE_CHARS, then those of longer ones.  Copies are one
     text whatever their number.  Hashes are ranked per language and slice of
     tasks and then per language, so a language's task meets at most
     SLICES * SAMPLE of them; texts are read for the chosen ones."""
     d = pick(docs, "doc_id", "text", "lang")
-    d = d.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(~held_out(F.col("doc_id")))
+    d = d.filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").filter(held_out(F.col("doc_id")) == held)
     if d.select("lang").distinct().limit(MAX_LANGS + 1).count() > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} values of lang")
     hashed = d.filter("text <> ''").withColumn("h", F.xxhash64("text"))
@@ -137,22 +158,29 @@ def fit(labelled: list[tuple[str, str]]) -> Model:
 def _predict(model: Model, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, score = [UND] * b.num_rows, np.zeros(b.num_rows)
+            lang, score, familiar = [UND] * b.num_rows, np.zeros(b.num_rows), np.zeros(b.num_rows)
             for at in range(0, b.num_rows, ROWS):
                 texts = b.column(column).slice(at, ROWS).to_pylist()
                 known = [k for k, t in enumerate(texts) if t and LETTER.search(t)]
-                names, values = model.predict([texts[k] for k in known])
-                for k, x, v in zip(known, names, values.tolist(), strict=True):
-                    lang[at + k], score[at + k] = x, v
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score)], [*b.schema.names, "_lang", "_score"])
+                names, *values = model.judge([texts[k] for k in known])
+                for k, x, v, f in zip(known, names, *(v.tolist() for v in values), strict=True):
+                    lang[at + k], score[at + k], familiar[at + k] = x, v, f
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(familiar)],
+                                             [*b.schema.names, "_lang", "_score", "_familiar"])
     return run
 
 
+def _judged(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs`` as _c0, _c1, ... with _lang, _score, _familiar."""
+    rows = positional(docs)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType()),
+                           T.StructField("_familiar", T.DoubleType())])
+    return rows.mapInArrow(released(_predict(model, docs.columns.index("text"))), schema)
+
+
 def predict(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and its score (0 to 1)."""
-    rows = positional(docs)
-    schema = T.StructType([*rows.schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())])
-    return rows.mapInArrow(released(_predict(model, docs.columns.index("text"))), schema).toDF(*docs.columns, lang, score)
+    return _judged(docs, model).drop("_familiar").toDF(*docs.columns, lang, score)
 
 
 def languages(docs: DataFrame) -> DataFrame:
@@ -162,10 +190,21 @@ def languages(docs: DataFrame) -> DataFrame:
     return predict(d, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def familiar_floor(model: Model, labelled: list[tuple[str, str]]) -> float:
+    """Familiarity below which a text is foreign, by labelled texts that the
+    model was not fitted to (0 without any: nothing is foreign)."""
+    texts = [t for _, t in labelled if LETTER.search(t)]
+    if not texts or not model.langs:
+        return 0.0
+    seen = np.concatenate([model.judge(texts[at:at + ROWS])[2] for at in range(0, len(texts), ROWS)])
+    return MARGIN * float(np.quantile(seen, QUANTILE))
+
+
 def accepted(docs: DataFrame, min_score: float = 0.25) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: not ``und``, and not
-    below ``min_score`` (a score of 0.5 is undecided, 1 is certain)."""
-    names = docs.columns
-    out = predict(docs, fit(sample(docs)), "_lang", "_score")
-    kept = positional(out).filter((F.col(f"_c{len(names)}") != UND) & (F.col(f"_c{len(names) + 1}") >= min_score))
-    return kept.select(*[f"_c{i}" for i in range(len(names))]).toDF(*names)
+    """The rows of ``docs`` whose language can be told: not ``und``, not below
+    ``min_score`` (a score of 0.5 is undecided, 1 is certain) and not foreign
+    to every learned language (``familiar_floor`` of the rows held out)."""
+    model = fit(sample(docs))
+    floor = familiar_floor(model, sample(docs, held=True))
+    kept = _judged(docs, model).filter((F.col("_lang") != UND) & (F.col("_score") >= min_score) & (F.col("_familiar") >= floor))
+    return kept.drop("_lang", "_score", "_familiar").toDF(*docs.columns)
