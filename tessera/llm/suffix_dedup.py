@@ -16,6 +16,10 @@ name at the shorter one is shared:
   windows repeat.  The rest is cut finer, together with the finished bands of
   the same core, until a band is one window of LENGTH bytes.
 
+Names are sums of mixed 8-byte strings, so that no arithmetic pattern of single
+bytes (a Thue-Morse string) cancels out.  The core's and the full name come
+from two differently mixed sums: what is removed agrees in both, 128 bits.
+
 Per level one shuffle sorts the distinct (core, full) names of each block of
 documents, so copies are counted before they travel and a name that a third
 of all rows hold is one row per block.
@@ -50,7 +54,8 @@ SEGMENT = 1 << 18  # window starts whose families are found together
 BROADCAST_BYTES = 32 << 20  # marks of all blocks sent to every executor at most
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
-BYTE_VALUE = np.random.default_rng(20260).integers(1, 2**63, 256, dtype=U) | U(1)
+GRAM = 8  # bytes mixed together; no name is asked of fewer
+CORE, FULL = U(0x2545F4914F6CDD1D), U(0xD6E8FEB86659FD93)  # salts of the two kinds of names
 
 
 @cache
@@ -67,16 +72,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Names:
-    """Fingerprints of the substrings of one buffer."""
+    """Fingerprints of the substrings, of GRAM bytes or more, of one buffer."""
 
-    def __init__(self, data: np.ndarray):
-        size = 1 << max(21, int(len(data)).bit_length())
+    def __init__(self, data: np.ndarray, salt: np.uint64 = CORE):
+        size, n = 1 << max(21, int(len(data)).bit_length()), max(len(data) - GRAM + 1, 0)
         power, self.inverse = _powers(size)
-        self.sums = np.zeros(len(data) + 1, U)
-        np.cumsum(BYTE_VALUE[data] * power[:len(data)], out=self.sums[1:])
+        self.sums = np.zeros(n + 1, U)
+        grams = np.ndarray((n,), "<u8", buffer=data.tobytes(), strides=(1,)) if n else np.zeros(0, U)
+        np.cumsum(_mix(grams ^ salt) * power[:n], out=self.sums[1:])
 
     def of(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-        return _mix((self.sums[hi] - self.sums[lo]) * self.inverse[lo])
+        return _mix((self.sums[hi - GRAM + 1] - self.sums[lo]) * self.inverse[lo])
 
 
 def families(data: np.ndarray, ends: np.ndarray, length: int, k: int) -> tuple[np.ndarray, ...]:
@@ -140,7 +146,7 @@ def _advance(data, ends, fam, marks: list[bytes | None], length: int):
     at = np.searchsorted(ends, a, "right")
     doc_start, doc_end = np.concatenate([[0], ends])[at], np.append(ends, 0)[at]
     repeated = np.zeros(len(data) + 1, np.int64)
-    names = Names(data) if marks and len(a) else None
+    names, others = (Names(data), Names(data, FULL)) if marks and len(a) else (None, None)
     for level in range(len(BANDS) + 1):
         one, inverse, counts, opened = _distinct(core, full, whole, open_)
         if len(marks) == level:
@@ -167,7 +173,7 @@ def _advance(data, ends, fam, marks: list[bytes | None], length: int):
         core, full = np.zeros(len(a), U), np.zeros(len(a), U)
         if len(a):
             core = names.of(a - low, a - low - width + 1 + length) ^ salt
-            full[whole] = names.of((a - low - width + 1)[whole], (a - low + length)[whole])
+            full[whole] = others.of((a - low - width + 1)[whole], (a - low + length)[whole])
     return np.cumsum(repeated)[:len(data)] > 0
 
 

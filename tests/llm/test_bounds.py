@@ -7,7 +7,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, exact_dedup, langid, pieces
+from test_operators import brute_repeats
+
+from tessera.llm import ann, exact_dedup, langid, pieces, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -122,3 +124,30 @@ def test_search_verifies_part_of_the_vectors():
     exact = np.argsort(-(q @ x.T), axis=1)[:, :21]
     recall = np.mean([len(set(r.tolist()) & set(e.tolist())) / 21 for (r, _), e in zip(found, exact, strict=True)])
     assert recall >= 0.9 and len(met) == len(q) and np.mean(met) < 0.6 * len(x)
+
+
+def _thue_morse(bits, pair):
+    word = [0]
+    for _ in range(bits):
+        word += [1 - x for x in word]
+    return bytes(pair[x] for x in word)
+
+
+@pytest.mark.parametrize("pair", [b"ab", b"\x00\xff", b"\n "])
+def test_patterned_texts_have_different_names(pair):
+    one, other = _thue_morse(12, pair), _thue_morse(12, pair[::-1])
+    for salt in (suffix_dedup.CORE, suffix_dedup.FULL):
+        a, b = (suffix_dedup.Names(np.frombuffer(x, np.uint8), salt) for x in (one, other))
+        for size in (8, 64, 400, 1024, 4096):
+            lo, hi = np.array([0]), np.array([size])
+            x, y = int(a.of(lo, hi)[0]), int(b.of(lo, hi)[0])
+            assert x != y and (x ^ y) & 0xFFFFFFFF and (x ^ y) >> 32
+    again = suffix_dedup.Names(np.frombuffer(b"12345" + one, np.uint8))
+    assert again.of(np.array([5]), np.array([405]))[0] == suffix_dedup.Names(np.frombuffer(one, np.uint8)).of(np.array([0]), np.array([400]))[0]
+
+
+def test_patterned_texts_are_cut_as_by_brute_force(spark):
+    texts = [_thue_morse(10, b"ab").decode(), _thue_morse(10, b"ba").decode(), "x" + _thue_morse(9, b"ab").decode(), "a" * 7, "é" * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(df).collect()}
+    assert [got[i] for i in range(len(texts))] == list(brute_repeats(texts, 400))
