@@ -11,7 +11,8 @@ and repeated rows have one order and all are formatted; a null text or role
 counts as empty; rows with a null ``conv_id`` form one conversation; a role
 that the machine does not know makes the conversation invalid but is still
 formatted, without loss; an empty table gives no conversations.  A
-conversation is one ordered text, so its turns meet in one row.
+conversation is one ordered text, so its turns meet in one row, however long
+they are (up to the 2 GB of a cell); other columns are ignored.
 """
 
 from __future__ import annotations

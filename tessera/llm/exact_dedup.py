@@ -8,8 +8,8 @@ meet in one task; all other digests take the ordinary shuffle.
 Defined results: a null text counts as empty (and equals every other empty
 text); a null ``doc_id`` ranks below every number, so it stays only when no
 copy has an id; rows that repeat both id and text share one verdict in
-``duplicates`` and leave one row in ``drop_duplicates``; an empty table gives
-an empty result; other columns are ignored by ``duplicates`` and carried
+``duplicates`` and leave one row in ``drop_duplicates``; a very long text travels as its digest
+(``drop_duplicates`` moves each text once); an empty table gives an empty result; other columns are ignored by ``duplicates`` and carried
 unchanged by ``drop_duplicates``, whatever their names.
 """
 

@@ -10,8 +10,9 @@ shuffled, never ids.
 Defined results: a null or empty text has only the end id; documents follow
 one another in partition order; all sequences are full but the last, which is
 padded unless its length is a power of two; repeated rows and null ids are
-packed like any other row; extra columns are ignored; an empty table gives no
-pieces.
+packed like any other row; a very long text is tokenized whole by one task and
+cut into as many pieces as it needs; extra columns are ignored; an empty table
+gives no pieces.
 """
 
 from __future__ import annotations

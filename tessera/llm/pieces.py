@@ -15,8 +15,8 @@ The shuffles carry distinct chunks per block, never one row per word, and a
 chunk that every text holds is one entry per block.
 
 Defined results: a null or empty text has no ids and decodes to the empty
-text; repeated rows and null ids are encoded like any other row; extra
-columns are ignored; an empty table gives no rows.  A model whose pieces do
+text; repeated rows and null ids are encoded like any other row; a very
+long text is a block of its own and handled by one task; extra columns are ignored; an empty table gives no rows.  A model whose pieces do
 cross markers is given whole texts as chunks.
 """
 

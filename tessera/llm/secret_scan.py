@@ -11,7 +11,8 @@ log-likelihood ratio of the two chains and adds those above the threshold as
 Defined results: a null or empty text has no spans; spans are code points, end
 exclusive, by start, then kind as listed in ``KINDS``; a ``random`` span is a
 whole token that base spans do not cover wholly, so it can overlap those that
-cover a part; repeated rows and null ids are scanned like any other row; other
+cover a part; a very long text is scanned whole by one task;
+repeated rows and null ids are scanned like any other row; other
 columns are ignored by ``scan`` and carried by ``redact``; an empty table gives
 no rows.
 """

@@ -12,7 +12,8 @@ most two blocks, so no task holds an unbounded bucket and no link is lost;
 inside a cell only the links that connect it leave the task.
 
 Defined results: a null text or one without words has fingerprint zero, which
-is linked like any other; repeated rows share one fingerprint; a row without
+is linked like any other; a very long text is read whole by one task; repeated
+rows share one fingerprint; a row without
 doc_id gets its fingerprint, links nothing and has no component; other columns
 are ignored by ``near_duplicates`` and carried by ``one_per_group``; an empty
 table gives no rows.

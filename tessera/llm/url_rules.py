@@ -10,7 +10,9 @@ Defined results: the host is what follows the first ``://`` up to ``/``,
 ``?``, ``#`` or the end; a null URL or one without ``://`` has an empty host
 and path and takes the default verdict.  Of several fitting rules the longest
 ``host + path`` wins, then the longer host, then ``block``.  Repeated pages
-are judged row by row.  Extra columns are ignored.
+are judged row by row, a null page_id like any other; a very long URL has no
+more expressions than the rule table has shapes; extra columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
