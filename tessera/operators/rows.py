@@ -17,15 +17,16 @@ _LOW33 = (1 << 33) - 1
 
 
 def select_keys(df: DataFrame, keys=()) -> DataFrame:
-    """Subset and reorder columns by ``keys``; an empty list keeps all."""
-    return df.select(*keys) if keys else df
+    """Subset and reorder columns by ``keys``, taken as names whatever they
+    hold (dots, blanks); an empty list keeps all."""
+    return df.select(*[F.col(quote_ident(k)) for k in keys]) if keys else df
 
 
 def default_filled(df: DataFrame, keys, fill: str = "none") -> DataFrame:
     """Every key of the fixed list present, missing or null values -> ``fill``."""
     cols = []
     for k in keys:
-        c = F.col(k).cast("string") if k in df.columns else F.lit(None).cast("string")
+        c = F.col(quote_ident(k)).cast("string") if k in df.columns else F.lit(None).cast("string")
         cols.append(F.coalesce(c, F.lit(fill)).alias(k))
     return df.select(*cols)
 

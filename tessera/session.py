@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,10 +71,36 @@ def scratch_dir(spark: SparkSession) -> str:
     return d
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def new_scratch_path(spark: SparkSession, name: str) -> str:
     """A never-reused sub path of the shared scratch folder."""
-    base = scratch_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    if (made := _scope.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end the scratch tables that were made inside it, by this
+    thread, also when it fails.  For a job that writes its result: a DataFrame
+    that reads such a table cannot be used afterwards.  An inner scope removes
+    its own tables only.
+
+        with scratch_scope(spark):
+            corpus_pipeline.run(spark, tables).write.parquet(out)
+    """
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
