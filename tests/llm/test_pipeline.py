@@ -64,13 +64,13 @@ def test_pipeline_equals_brute_force(spark):
         assert ids == [*tok.encode(t, add_special_tokens=False).ids, 1]
 
 
-@pytest.mark.parametrize("name", ["op4_chat_format", "op8_url_rules", "op10_exact_dedup"])
+@pytest.mark.parametrize("name", ["op4_chat_format", "op8_url_rules", "op10_exact_dedup", "op11_hard_negatives", "op12_lexical_search", "op13_line_dedup"])
 def test_queries_have_sql(name):
     import __spark_entry__ as entry
     assert name in entry.queries() and name in entry.oracle_sql()
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_the_dealt_queries_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
     numbers = {int(m[1]) for q in entry.queries() if (m := re.match(r"op(\d+)_", q))}
-    assert numbers == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and "pipeline" in entry.queries()
