@@ -1,5 +1,7 @@
 import os
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +207,66 @@ def test_registered_bucketed_search_reaches_its_recall(spark):
         exact = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_top3"](spark, sf).collect()}
         got = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_bucketed_recall"](spark, sf).collect()}
         assert len(got & exact) >= 0.9 * len(exact)
+
+
+def _brute(qid, Q, cid, C, k, metric, exclude_self):
+    if metric == "sq_l2":
+        d = np.zeros((len(Q), len(C)))
+        for j in range(Q.shape[1]):
+            d = d + (Q[:, j:j + 1] - C[:, j]) ** 2
+    else:
+        den = np.sqrt((Q * Q).sum(1)[:, None] * (C * C).sum(1))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = np.where(den > 0, 2 - 2 * (Q @ C.T) / den, 2.0)
+    if exclude_self:
+        d = np.where(qid[:, None] == cid, np.inf, d)
+    return [(i, cid[j], d[i, j]) for i in range(len(Q)) for j in np.lexsort((cid, d[i]))[:k] if d[i, j] < np.inf]
+
+
+def test_running_top_k_equals_brute_force():
+    r = np.random.RandomState(3)
+    for trial in range(16):
+        metric, exclude = ("sq_l2", "cosine_counts")[trial % 2], bool(trial // 2 % 2)
+        nq, nc, k = r.randint(1, 2600), r.randint(1, 2600), r.randint(1, 5)
+        Q, C = (r.randint(0, 3, (n, 5)).astype(float) for n in (nq, nc))
+        qid, cid = r.randint(0, nq + 1, nq), r.randint(0, nc + 1, nc)  # repeated ids
+        top = K._TopK(qid, Q, k, metric, exclude)
+        for s in range(0, nc, 900):
+            top.add(cid[s:s + 900], C[s:s + 900])
+        assert list(zip(*top.hits())) == _brute(qid, Q, cid, C, k, metric, exclude)
+
+
+def test_equal_query_vectors_ask_once(spark, monkeypatch):
+    """A larger query side with few distinct vectors is neither copied nor
+    compared row by row; repeated ids rank together as before."""
+    asked = []
+    streamed = K._streamed
+    monkeypatch.setattr(K, "_streamed", lambda q, *a: asked.append(q.count()) or streamed(q, *a))
+    r = np.random.RandomState(5)
+    rows = [(int(i), [int(x) for x in v]) for i, v in zip(r.randint(0, 350, 400), r.randint(0, 3, (400, 2)))]
+    corpus = [(i, [int(x) for x in v]) for i, v in enumerate(r.randint(0, 4, (300, 2)))]
+    q, c = (spark.createDataFrame(x, "id long, v array<int>") for x in (rows, corpus))
+    hits = K.knn_join(q, c, 3, q_id="id", q_vec="v", c_id="id", c_vec="v", metric="cosine_counts", broadcast_queries=20)
+    got = sorted((x.query_id, x.rk, x.chunk_id, x.distance) for x in hits.collect())
+    assert asked == [9]
+    by_id = {}
+    for at, cid, d in _brute(None, np.array([v for _, v in rows], float), np.arange(300), np.array([v for _, v in corpus], float), 3, "cosine_counts", False):
+        by_id.setdefault(rows[at][0], []).append((d, int(cid)))
+    assert got == sorted((i, rk + 1, cid, d) for i, x in by_id.items() for rk, (d, cid) in enumerate(sorted(x)[:3]))
+
+
+def test_blocked_sides_are_copied_a_few_times_only(spark):
+    """Rows sent by the blocked plan: once per block of the other side, and
+    blocks hold tens of thousands of rows, not two thousand."""
+    df = spark.range(10_000).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("v"))
+    plan = K._blocked(df.toDF("qid", "v"), df.toDF("cid", "v"), 2, "sq_l2", True, K.BLOCK_ROWS, 4)
+    path = new_scratch_path(spark, "blocks")
+    plan.write.parquet(path)
+    assert spark.read.parquet(path).count() == 10_000 * 2 * 2  # two blocks a side, two hits in each
+
+
+def test_threshold_reads_the_hits_once(spark):
+    hits = spark.createDataFrame([(1, 0.9), (1, 0.1), (2, 0.2), (None, 0.9)], "query_id long, relevance double")
+    kept = K.threshold(hits, 0.5)
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, 0.1), (1, 0.9)]
+    assert kept._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
