@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import pick, positional, released
+from tessera.llm.common import materialize, pick, positional, released
 
 GRAMS = 3
 # Bounds of the fit, per language: sampled texts, landmarks among them, and
@@ -40,6 +40,7 @@ RIDGE = 1e-2
 # not seen: below MARGIN times their QUANTILE.  PRIOR shared n-grams are granted,
 # so a short text is not judged by a few of them.
 PRIOR, QUANTILE, MARGIN = 10, 0.01, 0.5
+BINS, LEVELS = 10_000, 3  # the quantile is exact to BINS ** -LEVELS
 UND = "und"
 ROWS = 256  # texts per matrix product
 SPAN = 1 << 20  # characters whose n-grams are sorted together
@@ -200,11 +201,36 @@ def familiar_floor(model: Model, labelled: list[tuple[str, str]]) -> float:
     return MARGIN * float(np.quantile(seen, QUANTILE))
 
 
+def held_out_floor(docs: DataFrame, model: Model) -> float:
+    """``familiar_floor`` of all distinct labelled texts held out, whatever
+    their number: Spark judges them, and their quantile (the order statistic
+    below it) is found by counting, BINS values at a time."""
+    if not model.langs:
+        return 0.0
+    d = pick(docs, "doc_id", "text", "lang").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text <> ''").filter(held_out(F.col("doc_id")))
+    judged = _judged(d.select("text"), model).filter(F.col("_lang") != UND).select(F.xxhash64("_c0").alias("h"), F.col("_familiar").alias("x"))
+    seen = materialize(judged.groupBy("h").agg(F.min("x").alias("x")).select("x"), "familiar")
+    n = seen.count()
+    rank, low, width = int((n - 1) * QUANTILE), 0.0, 1.0  # familiarity is a share
+    for _ in range(LEVELS if n else 0):
+        width /= BINS
+        place = F.least(F.greatest(F.floor((F.col("x") - low) / width), F.lit(0)), F.lit(BINS - 1)).alias("bin")
+        counts = sorted((r.bin, r.n, r.low, r.high) for r in seen.groupBy(place).agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).collect())  # at most BINS rows
+        for at, held, least, most in counts:
+            if rank < held:
+                break
+            rank -= held
+        if least == most:
+            return MARGIN * least
+        seen, low = seen.filter(F.col("x").between(least, most)), low + at * width
+    return MARGIN * least if n else 0.0
+
+
 def accepted(docs: DataFrame, min_score: float = 0.25) -> DataFrame:
     """The rows of ``docs`` whose language can be told: not ``und``, not below
     ``min_score`` (a score of 0.5 is undecided, 1 is certain) and not foreign
-    to every learned language (``familiar_floor`` of the rows held out)."""
+    to every learned language (``held_out_floor``, over all rows held out)."""
     model = fit(sample(docs))
-    floor = familiar_floor(model, sample(docs, held=True))
+    floor = held_out_floor(docs, model)
     kept = _judged(docs, model).filter((F.col("_lang") != UND) & (F.col("_score") >= min_score) & (F.col("_familiar") >= floor))
     return kept.drop("_lang", "_score", "_familiar").toDF(*docs.columns)

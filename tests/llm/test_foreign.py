@@ -48,3 +48,18 @@ def test_no_labels_held_out_reject_nothing_foreign():
     assert langid.familiar_floor(model, []) == langid.familiar_floor(model, [("a", "123")]) == 0.0
     assert langid.familiar_floor(langid.fit([]), [("a", "abc")]) == 0.0
     assert 0 < langid.familiar_floor(model, [("a", "two three four")]) < 1
+
+
+def test_the_floor_is_of_every_text_held_out(spark, monkeypatch):
+    """More held-out texts than a sample holds: all of them set the floor,
+    copies once."""
+    monkeypatch.setattr(langid, "SAMPLE", 5)
+    words = ["one two three four", "uno dos tres cuatro"]
+    rows = [(i, f"{words[i % 2]} {'xyzw'[i % 4] * (i % 7)} {i % 50}", "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(langid.sample(docs))
+    held = {r.text for r in docs.filter(langid.held_out(docs.doc_id)).collect()}
+    assert len(held) > 2 * langid.SAMPLE
+    seen = sorted(model.judge(sorted(held))[2])
+    assert langid.held_out_floor(docs, model) == pytest.approx(langid.MARGIN * seen[int((len(seen) - 1) * langid.QUANTILE)], abs=1e-6)
+    assert langid.held_out_floor(docs.filter("doc_id < 0"), model) == 0.0
