@@ -14,8 +14,8 @@ present).  Each mask becomes an equi-join on the fields it has:
 * no county      -> equi-join on the present equality fields;
 * county, short  -> the probe county itself is a character n-gram of every
                     matching authority county, so the join key is that gram;
-* county, long   -> join on one n-gram of the probe (the rarest one in the
-                    authority, so hot grams such as a common prefix do not
+* county, long   -> join on one n-gram of the probe, of 8 characters where
+                    the county has them (the rarest one in the authority, so hot grams such as a common prefix do not
                     blow up), then verify ``contains``.
 
 Counts and the default nearest-candidate rule are computed by
@@ -52,6 +52,10 @@ KEY_BROADCAST_ROWS = 2_000_000
 # The per-key stats table (count + nearest candidate, ~100 bytes a row) is
 # broadcast back to the probes up to this many distinct keys.
 STATS_BROADCAST_ROWS = 1_000_000
+# Probe counties of at least so many characters meet the authority by grams of
+# that length: the rarest of them is no more frequent than any gram it holds, so
+# the pairs to verify do not grow with the square of the rows.
+LONG_GRAM = 8
 
 EQ_FIELDS = ("continent", "country", "state_province")
 BITS = {"continent": 1, "country": 2, "state_province": 4, "county": 8}
@@ -95,13 +99,15 @@ class Shapes(NamedTuple):
     (mask, L) shapes answered by the keyed authority; ``has_long``: some
     probe county is at least ``gram`` long; ``n_keyed`` / ``n_long``:
     distinct probe keys of each kind; ``n_long_grams``: upper bound of the
-    distinct grams of the long probe counties."""
+    distinct grams of the long probe counties; ``long_grams``: the gram
+    lengths (``gram``, LONG_GRAM) that long probe counties are joined by."""
     keys: DataFrame
     keyed: list
     has_long: bool
     n_keyed: int
     n_long: int
     n_long_grams: int
+    long_grams: tuple[int, ...] = ()
 
     @property
     def has_county(self) -> bool:
@@ -119,13 +125,22 @@ def shapes(probes: DataFrame, gram: int = 3) -> Shapes:
     keys = _with_kind(probes.select(*PLACE_FIELDS).distinct(), gram)
     rows = (keys.groupBy("_m", "_L")
             .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum(F.when(F.col("_L") == gram, F.length("county") - gram + 1)).alias("g"))
+                 F.sum(F.when(F.col("_L") == gram, F.length("county") - gram + 1)).alias("g"),
+                 F.count(F.when(F.length("county") >= LONG_GRAM, 1)).alias("far"))
             .collect())
     rows = [r for r in rows if r["_m"]]
     short = [r for r in rows if r["_L"] < gram]
     long_ = [r for r in rows if r["_L"] == gram]
     return Shapes(keys, sorted((r["_m"], r["_L"]) for r in short), bool(long_),
-                  sum(r["n"] for r in short), sum(r["n"] for r in long_), sum(r["g"] or 0 for r in long_))
+                  sum(r["n"] for r in short), sum(r["n"] for r in long_), sum(r["g"] or 0 for r in long_),
+                  _long_grams(sum(r["n"] for r in long_), sum(r["far"] for r in long_), gram))
+
+
+def _long_grams(n: int, n_far: int, gram: int) -> tuple[int, ...]:
+    """Gram lengths for ``n`` long probe keys, ``n_far`` of them with a county of LONG_GRAM characters."""
+    if gram >= LONG_GRAM:
+        return (gram,) if n else ()
+    return (gram,) * (n > n_far) + (LONG_GRAM,) * (n_far > 0)
 
 
 def _bcast(df: DataFrame, n: int, limit: int) -> DataFrame:
@@ -170,7 +185,20 @@ def _auth_grams(authority: DataFrame, n: int) -> DataFrame:
 
 
 def _long_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int) -> DataFrame:
-    """Pairs for probes whose county is at least ``gram`` long: join on one
+    """Pairs for probes whose county is at least ``gram`` long: those of at
+    least LONG_GRAM characters by grams of that length, the others by
+    ``gram``-grams."""
+    long_keys = sh.keys.filter(F.col("_L") == gram).drop("_m", "_L")
+    far = F.length("county") >= LONG_GRAM
+    parts = []
+    for n in sh.long_grams:
+        keys = long_keys if len(sh.long_grams) == 1 else long_keys.filter(far if n == LONG_GRAM else ~far)
+        parts.append(_gram_pairs(keys, sh, authority, n, rarest, limit))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _gram_pairs(long_keys: DataFrame, sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit: int) -> DataFrame:
+    """Pairs of the keys whose county is at least ``gram`` long: join on one
     gram of the probe county (the rarest in the authority, so a gram shared
     by most rows is only used when every gram of the probe is that common),
     with the wildcard equality tests and ``contains`` as join filters.
@@ -180,7 +208,6 @@ def _long_pairs(sh: Shapes, authority: DataFrame, gram: int, rarest: bool, limit
     scan partitions: no authority shuffle, and a hot gram costs pairs but
     no skewed reducer.  Gram frequencies are only counted for grams some
     probe holds (semi-join before the partial aggregate)."""
-    long_keys = sh.keys.filter(F.col("_L") == gram).drop("_m", "_L")
     ag = _auth_grams(authority, gram)
     if rarest:
         pcg = (long_keys.select("county").distinct()

@@ -104,3 +104,21 @@ def test_random_reconcile_rows_equal_brute_force(spark):
         else:
             assert (r["error"], r["irn_eluts"], r["error_output"]) == (rec.STATUS_OK, str(best), "NA")
             assert [r[f] for f in ("continent", "country", "state_province", "county")] == list(by_id[best][1:])
+
+
+def test_long_counties_meet_by_long_grams(spark):
+    """Rows that share every 3-gram with many others do not multiply: the pairs
+    to verify stay near the pairs found."""
+    from tessera.operators import authority as A
+    rows = [(i, "A", "B", "C", f"Row#{i:09d}") for i in range(3000)]
+    authority = spark.createDataFrame(rows, "irn_eluts bigint, continent string, country string, state_province string, county string")
+    probes = authority.filter("irn_eluts % 10 = 0").selectExpr("irn_eluts AS irn", "'' AS continent", "country", "'' AS state_province", "substring_index(county, '#', -1) AS county")
+    probes = probes.unionByName(spark.createDataFrame([(-1, "", "", "", "0299"), (-2, "", "", "", "00000029"), (-3, "A", "", "", "Row#0000000")], probes.schema))
+    sh = A.shapes(probes)
+    assert sh.long_grams == (3, A.LONG_GRAM)
+    got = sorted((r.irn, r.a_irn_eluts) for r in A.authority_candidates(probes, authority).collect())
+    want = sorted((p.irn, i) for p in probes.collect() for i, *_, c in rows if p.county in c)
+    assert got == want
+    joined = A._gram_pairs(sh.keys.filter("length(county) >= 8").drop("_m", "_L"), sh, authority, A.LONG_GRAM, True, 0)
+    by_gram = sh.keys.filter("length(county) >= 8").count()
+    assert joined.count() < 12 * by_gram
