@@ -96,3 +96,24 @@ def test_recursive_chunks_cover_whole_documents(spark):
     # every document with visible text has chunks
     covered = ch.select("doc_id").distinct().count()
     assert covered == docs.filter(F.trim(F.col("text"), F.lit(" \t\r\n")) != "").count()
+
+
+def test_the_splitter_holds_one_window_of_a_long_text():
+    """Chunks of a long text come one by one: no list of all its units."""
+    import itertools
+    import tracemalloc
+    text = "ab cd\n" * 400_000
+    tracemalloc.start()
+    some = list(itertools.islice(C.chunk_spans(text, 300, 100), 1_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(some) == 1_000 and peak < 4 << 20
+    assert all(text.startswith(chunk, at) and len(chunk) <= 300 for at, chunk in some)
+
+
+def test_chunks_leave_a_task_in_bounded_batches():
+    import pyarrow as pa
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1, 2, None], "source": ["s", "s", None], "text": ["ab cd\n" * 100_000, None, "x y"]})
+    got = list(C._cut_batches(30, 0, len)(iter([docs])))
+    assert max(b.num_rows for b in got) == C.OUT_ROWS and len(got) > 2
+    assert {i for b in got for i in b.column(0).to_pylist()} == {1, None}
