@@ -209,7 +209,7 @@ def test_registered_bucketed_search_reaches_its_recall(spark):
         assert len(got & exact) >= 0.9 * len(exact)
 
 
-def _brute(qid, Q, cid, C, k, metric, exclude_self):
+def _nearest_rows(qid, Q, cid, C, k, metric, exclude_self):
     if metric == "sq_l2":
         d = np.zeros((len(Q), len(C)))
         for j in range(Q.shape[1]):
@@ -233,7 +233,7 @@ def test_running_top_k_equals_brute_force():
         top = K._TopK(qid, Q, k, metric, exclude)
         for s in range(0, nc, 900):
             top.add(cid[s:s + 900], C[s:s + 900])
-        assert list(zip(*top.hits())) == _brute(qid, Q, cid, C, k, metric, exclude)
+        assert list(zip(*top.hits())) == _nearest_rows(qid, Q, cid, C, k, metric, exclude)
 
 
 def test_equal_query_vectors_ask_once(spark, monkeypatch):
@@ -250,7 +250,7 @@ def test_equal_query_vectors_ask_once(spark, monkeypatch):
     got = sorted((x.query_id, x.rk, x.chunk_id, x.distance) for x in hits.collect())
     assert asked == [9]
     by_id = {}
-    for at, cid, d in _brute(None, np.array([v for _, v in rows], float), np.arange(300), np.array([v for _, v in corpus], float), 3, "cosine_counts", False):
+    for at, cid, d in _nearest_rows(None, np.array([v for _, v in rows], float), np.arange(300), np.array([v for _, v in corpus], float), 3, "cosine_counts", False):
         by_id.setdefault(rows[at][0], []).append((d, int(cid)))
     assert got == sorted((i, rk + 1, cid, d) for i, x in by_id.items() for rk, (d, cid) in enumerate(sorted(x)[:3]))
 
