@@ -149,17 +149,27 @@ def _bcast(df: DataFrame, n: int, limit: int) -> DataFrame:
     return F.broadcast(df) if n <= limit else df
 
 
-def similarity_score(prefix_probe: str = "", prefix_auth: str = "a_") -> Column:
-    """Default nearest-candidate score: one point per present equality field
-    that agrees, plus 1 - levenshtein/longer length on lower-cased county
-    when the probe has a county.  Blank probe fields score 0."""
-    parts = [F.when(F.col(prefix_probe + f) != "",
-                    (F.col(prefix_auth + f) == F.col(prefix_probe + f)).cast("double")).otherwise(F.lit(0.0))
-             for f in EQ_FIELDS]
+def _eq_scores(prefix_probe: str, prefix_auth: str) -> list[Column]:
+    return [F.when(F.col(prefix_probe + f) != "",
+                   (F.col(prefix_auth + f) == F.col(prefix_probe + f)).cast("double")).otherwise(F.lit(0.0))
+            for f in EQ_FIELDS]
+
+
+def county_score(prefix_probe: str = "", prefix_auth: str = "a_") -> Column:
+    """The county's part of ``similarity_score``."""
     p, a = F.lower(F.col(prefix_probe + "county")), F.lower(F.col(prefix_auth + "county"))
     county = F.when(F.col(prefix_probe + "county") != "",
                     F.lit(1.0) - F.levenshtein(p, a) / F.greatest(F.length(p), F.length(a)))
-    return reduce(lambda x, y: x + y, parts + [F.coalesce(county, F.lit(0.0))])
+    return F.coalesce(county, F.lit(0.0))
+
+
+def similarity_score(prefix_probe: str = "", prefix_auth: str = "a_", county: Column | None = None) -> Column:
+    """Default nearest-candidate score: one point per present equality field
+    that agrees, plus 1 - levenshtein/longer length on lower-cased county
+    when the probe has a county.  Blank probe fields score 0.  ``county``: the
+    county's part where it is known already."""
+    county = county_score(prefix_probe, prefix_auth) if county is None else county
+    return reduce(lambda x, y: x + y, [*_eq_scores(prefix_probe, prefix_auth), county])
 
 
 def _keyed_authority(authority: DataFrame, kinds) -> DataFrame:

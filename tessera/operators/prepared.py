@@ -49,10 +49,41 @@ class Prepared(NamedTuple):
     counts: DataFrame
 
 
-def _kinds() -> list[tuple[int, int]]:
-    """(blank mask, county length) of every probe without a long county."""
+def _keyed(authority: DataFrame) -> DataFrame:
+    """Per key that a probe without a long county can have: its rows and the
+    nearest candidate.
+
+    A row is expanded to its counties (none, and its grams below GRAM) only, and
+    rows that agree on the equality fields, county and county score become one
+    with their count and smallest irn.  All that is summed is a number, so this
+    is a hash aggregate before the shuffle and nothing expanded is sorted.  Blank
+    masks multiply these few groups, and the candidate's county is read back
+    from the authority, once per key."""
+    a, eq = A._auth(authority), ["a_" + f for f in A.EQ_FIELDS]
+
+    def held_grams(n: int) -> Column:
+        return F.transform(A.grams(F.col("a_county"), n), lambda g: F.struct(F.lit(n).alias("_L"), g.alias("county")))
+
+    counties = [F.array(F.struct(F.lit(0).alias("_L"), F.lit("").alias("county"))), *[held_grams(n) for n in range(1, GRAM)]]
+    x = a.withColumn("_c", F.explode(F.concat(*counties))).select(*a.columns, "_c.*")
+    same = (x.withColumn("_s", A.county_score()).groupBy(*eq, "_L", "county", "_s")
+            .agg(F.count(F.lit(1)).alias("n"), F.min("a_irn_eluts").alias("a_irn_eluts")))
+
+    def masks(some) -> Column:
+        return F.array(*[F.struct(F.lit(m).alias("_m"), *[(F.col("a_" + f) if m & A.BITS[f] else F.lit("")).alias(f) for f in A.EQ_FIELDS]) for m in some])
+
     county = A.BITS["county"]
-    return [(m, 0) for m in range(1, county)] + [(m | county, n) for m in range(county) for n in range(1, GRAM)]
+    keys = same.withColumn("_k", F.explode(F.when(F.col("_L") == 0, masks(range(1, county))).otherwise(masks(range(county, 2 * county)))))
+    score = A.similarity_score(county=F.col("_s"))
+    top = F.struct("a_irn_eluts", *eq, "_s", score.alias("score"))
+    stats = (keys.select(*same.columns, "_k.*").groupBy(*KEY)
+             .agg(F.sum("n").alias("n"), F.max_by(top, F.struct(score, -F.col("a_irn_eluts"))).alias("top")))
+    rows = authority.select(F.col("county").alias("a_county"), *[F.col(f).alias("r_" + f) for f in ("irn_eluts", *A.EQ_FIELDS)])
+    held = (F.col("_L") == 0) | (F.contains(F.col("a_county"), F.col("county")) & (A.county_score() == F.col("top._s")))
+    found = stats.join(rows, reduce(lambda p, q: p & q, [F.col("top.a_" + f).eqNullSafe(F.col("r_" + f)) for f in ("irn_eluts", *A.EQ_FIELDS)])).filter(held)
+    best = F.struct(*[F.col("top.a_" + f).alias(f) for f in ("irn_eluts", *A.EQ_FIELDS)], F.col("a_county").alias("county"), F.col("top.score").alias("score"))
+    return (found.groupBy(*KEY, "n", "top").agg(F.min("a_county").alias("a_county"))  # rows may share an irn
+            .select(probe_key().alias("k"), "n", best.alias("best")))
 
 
 def _write(df: DataFrame, path: str, name: str, key: str, buckets: int) -> dict:
@@ -79,8 +110,7 @@ def prepare(authority: DataFrame, root: str, buckets: int | None = None) -> int:
     folder = os.path.join(root, f"v-{mark}")
     rows = authority.count()
     n = buckets or min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, -(-rows // BUCKET_ROWS)))
-    keyed = (A._keyed_authority(authority, _kinds()).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), A._best_struct(A.similarity_score()).alias("best"))
-             .select(probe_key().alias("k"), "n", "best"))
+    keyed = _keyed(authority)
     grams = A._auth_grams(authority, GRAM)
     counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("gram_n"))
     tables = {kind: _write(df, os.path.join(folder, kind), f"tessera_{kind}_{mark}", key, n)

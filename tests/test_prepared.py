@@ -45,6 +45,24 @@ def test_prepared_gives_the_rows_of_reconcile(spark, tables):
         P.open_prepared(spark, new_scratch_path(spark, "nowhere"))
 
 
+def test_the_prepared_keys_are_those_of_the_expanded_authority(spark, tables, monkeypatch):
+    """Nulls, blanks, rows that come twice and rows without an id included; the
+    expanded rows are summed by hash and never sorted."""
+    odd = [(None, "x", "y", "", "ab"), (None, "x", "y", "", "zz"), (900, None, "y", "z", "abc"), (901, "x", None, None, None), (-5, "x", "y", "z", "ABab"), (902, "x", "y", "z", "")]
+    authority = tables[1].unionByName(tables[1].limit(50)).unionByName(spark.createDataFrame(odd, tables[1].schema))
+    written = {}
+    monkeypatch.setattr(P, "_write", lambda df, path, name, key, buckets: written.setdefault(os.path.basename(path), df) and {})
+    monkeypatch.setattr(P, "commit", lambda *_: 1)
+    P.prepare(authority, new_scratch_path(spark, "prepared"))
+    kinds = [(m, 0) for m in range(1, 8)] + [(m | 8, n) for m in range(8) for n in (1, 2)]
+    want = (A._keyed_authority(authority, kinds).groupBy(*P.KEY).agg(F.count(F.lit(1)).alias("n"), A._best_struct(A.similarity_score()).alias("best"))
+            .select(P.probe_key().alias("k"), "n", "best"))
+    assert written["keyed"].columns == want.columns
+    assert rows(written["keyed"]) == rows(want)
+    plan = written["keyed"]._jdf.queryExecution().executedPlan().toString()
+    assert all("HashAggregate" in line for line in plan.splitlines() if "partial_count(1)" in line)
+
+
 def test_a_batch_reads_its_buckets_and_expands_nothing(spark, tables):
     probes, authority = tables
     root = new_scratch_path(spark, "prepared")
