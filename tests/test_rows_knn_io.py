@@ -204,11 +204,26 @@ def test_a_hot_bucket_is_cut_and_loses_nothing(spark):
 def test_registered_bucketed_search_reaches_its_recall(spark):
     import __spark_entry__ as entry
     for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
-        exact = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_top3"](spark, sf).collect()}
+        exact = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_top3"](spark, sf).filter("query_id % 100 = 0").collect()}
         got = {(r.query_id, r.chunk_id) for r in entry.queries()["knn_bucketed_recall"](spark, sf).collect()}
+        assert {q for q, _ in got} == {q for q, _ in exact}
         assert len(got & exact) >= 0.9 * len(exact)
 
 
+def test_searches_that_measure_recall_ask_with_every_hundredth_row_of_all(spark, tmp_path):
+    import __spark_entry__ as entry
+    rng = np.random.default_rng(3)
+    vectors = rng.standard_normal((350, 64)).astype(np.float32)
+    spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = entry.queries()["knn_bucketed_recall"](spark, str(tmp_path)).collect()
+    got = {(r.query_id, r.chunk_id) for r in found}
+    d = ((vectors[::100, None, :].astype(float) - vectors[None].astype(float)) ** 2).sum(2)
+    true = {(100 * i, int(j)) for i in range(4) for j in [j for j in np.argsort(d[i]) if j != 100 * i][:3]}
+    assert {q for q, _ in got} == {0, 100, 200, 300} and len(got & true) >= 0.9 * len(true)
+    facts = entry.queries()["knn_ivf_facts"](spark, str(tmp_path)).first()
+    assert tuple(facts) == (4, 12, 0, True)
+
+
 def _nearest_rows(qid, Q, cid, C, k, metric, exclude_self):
     if metric == "sq_l2":
         d = np.zeros((len(Q), len(C)))
