@@ -122,3 +122,27 @@ def test_long_counties_meet_by_long_grams(spark):
     joined = A._gram_pairs(sh.keys.filter("length(county) >= 8").drop("_m", "_L"), sh, authority, A.LONG_GRAM, True, 0)
     by_gram = sh.keys.filter("length(county) >= 8").count()
     assert joined.count() < 12 * by_gram
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 0])
+def test_pairs_of_many_probes_of_few_keys_are_streamed(spark, monkeypatch, tmp_path, limit):
+    """Probes that fit are broadcast by their counted size, whatever the planner
+    estimates, and the tasks follow the authority's rows.  Null and repeated ids
+    keep their pairs."""
+    probes, auth = _data(5)
+    probes = [(None if i % 7 == 0 else i // 2, *f) for i, *f in probes] * 3
+    spark.createDataFrame(auth, AUTH_SCHEMA).write.parquet(f"{tmp_path}/authority")
+    p, a = spark.createDataFrame(probes, PROBE_SCHEMA), spark.read.parquet(f"{tmp_path}/authority")
+    monkeypatch.setattr(A, "PAIR_TASK_ROWS", 10)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = A.authority_candidates(p, a, key_broadcast_rows=limit)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(((r.irn, r.continent, r.country, r.state_province, r.county, r.a_irn_eluts) for r in got.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert ("SortMergeJoin [continent" not in plan) == bool(limit)
+    assert f"RoundRobinPartitioning({-(-len(auth) // 10)})" in plan
+    want = [(*x, y[0]) for x in probes for y in auth if any(x[1:]) and all(u in ("", v) for u, v in zip(x[1:4], y[1:4])) and (not x[4] or x[4] in (y[4] or ""))]
+    assert rows == sorted(want, key=repr)
