@@ -14,7 +14,7 @@ from ..session import table
 from . import open_replies, views
 from . import reconcile as rec
 from . import retrieve as retr
-from .catalog import CLEANED_SQL, COUNT_SQL, EMBED_DIM, NEAREST_SQL, PAIRS_SQL, RETRIEVE_CTES, SCORE_SQL, STATUS_SQL, TOP_K, _cut_fixed, _docs, _questions, query
+from .catalog import CLEANED_SQL, COUNT_SQL, EMBED_DIM, NEAREST_SQL, PAIRS_SQL, RETRIEVE_CTES, SCORE_SQL, STATUS_SQL, TOP_K, _cut_fixed, _docs, _questions, _searched, query
 from .job_queries import FACTS_SQL, _chunk_facts
 from .views import with_views
 
@@ -120,8 +120,8 @@ def q_retrieve_embedder(spark, sf):
     def embed(df, text_col, out_col, dim):
         return V.with_hashed_counts(df, text_col, out_col, dim, lower=False)
 
-    docs = _docs(spark, sf)
-    hits = retr.hits_for(_questions(spark, sf), _cut_fixed(docs), TOP_K, EMBED_DIM, embed=embed, cut=(docs, _cut_fixed))
+    embed.in_task = lambda text, dim: (V.hashed_text(text, lower=False), V.text_counts(dim))
+    hits = retr.hits_for(_questions(spark, sf), _searched(spark, sf), TOP_K, EMBED_DIM, embed=embed, cut=(_docs(spark, sf), _cut_fixed))
     return hits.select("query_id", "rk", "chunk_id", "source", F.round("distance", 6).alias("distance"))
 
 
