@@ -3,13 +3,16 @@
 Vectors are lengthened by one component that turns the largest inner product
 into the smallest Euclidean distance, and projected to a few dimensions with
 Gaussian (2-stable) weights.  The projections of each corpus block are indexed
-by a kd-tree; for each query its leaves are visited in the order of their
-projected distance, and the vectors in them are verified by their exact
-product as long as a chi-square test allows: a vector as near as the k-th found
-so far would, with probability ``CONFIDENCE``, have a nearer projection than
-one that the test refuses.  It refuses single vectors of a leaf, and ends the
-search at the first leaf whose box it refuses.  Blocks give k rows per query; a
-final ranking merges them.
+by a kd-tree; each query verifies its nearest leaves and then goes outwards in
+shells of projected distance, verifying vectors by their exact product as long
+as a chi-square test allows: a vector as near as the k-th found so far would,
+with probability ``CONFIDENCE``, have a nearer projection than one that the
+test refuses.  It refuses leaves by their box and single vectors of the others,
+whose projected distances to a group of neighbouring queries are one matrix
+product.  Blocks give k rows per query; a final ranking merges them.
+
+The larger a block, the nearer its k-th and the smaller the share that a query
+verifies; so blocks are as large as ``BLOCK_BYTES`` lets them be.
 
 Every row is indexed.  Equal vectors are indexed once per block and carry
 their smallest k + 1 ids, which is all that any list of k can hold.
@@ -30,9 +33,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import pick
 
 K = 20
-DIMENSIONS, LEAF, CONFIDENCE = 24, 32, 0.93
-BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048  # vectors per index block; queries searched together
-STEP_LEAVES, GROUP = 4, 128  # leaves visited between two tests; queries visited together
+DIMENSIONS, LEAF, CONFIDENCE = 48, 64, 0.93
+BLOCK_BYTES, QUERY_ROWS = 100_000_000, 2_048  # arrays of an index block; queries searched together
+FIRST_LEAVES, GROUP, TAKE = 4, 64, 1_024  # leaves verified before the first test; queries projected together; vectors verified at once
+SHELLS = (0.4, 0.55, 0.75, 1.0)  # of the largest projected distance that the test allows
 SEED = 11
 
 
@@ -87,9 +91,9 @@ class Tree:
 
 
 def _top(score: np.ndarray, row: np.ndarray, order_id: np.ndarray, k: int):
-    """Best k per line by (score, smaller id); row -1 is empty."""
-    order = np.lexsort((np.where(row < 0, np.iinfo(np.int64).max, order_id[row]), -score), axis=-1)[:, :k]
-    return np.take_along_axis(score, order, 1), np.take_along_axis(row, order, 1)
+    """The best k by (score, smaller id)."""
+    order = np.lexsort((order_id[row], -score))[:k]
+    return score[order], row[order]
 
 
 def search(x: np.ndarray, first_id: np.ndarray, q: np.ndarray, top_norm: float, k: int, met: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -99,38 +103,59 @@ def search(x: np.ndarray, first_id: np.ndarray, q: np.ndarray, top_norm: float,
     project = np.random.default_rng(SEED).standard_normal((d + 1, DIMENSIONS))
     rest = np.sqrt(np.maximum(top_norm**2 - (x * x).sum(1), 0))
     points = np.column_stack([x, rest]) @ project
-    tree, out = Tree(points), []
+    tree = Tree(points)
+    # rows by leaf, so that a leaf is a slice
+    at, rows = np.concatenate([[0], np.cumsum((tree.rows >= 0).sum(1))]), tree.rows[tree.rows >= 0]
+    x, points, first_id = x[rows], points[rows], first_id[rows]
+    leaf_of = np.repeat(np.arange(len(tree.rows)), np.diff(at))
     bound = chi_square_quantile(CONFIDENCE, DIMENSIONS)
-    for at in range(0, len(q), GROUP):
-        some = q[at:at + GROUP]
-        asked = some @ project[:d]
-        near = tree.distances(asked)
-        order = np.argsort(near, axis=1, kind="stable")
-        near = np.take_along_axis(near, order, 1)
-        size = (some * some).sum(1)
-        score, row = np.full((len(some), k), -np.inf), np.full((len(some), k), -1)
-        active, verified = np.arange(len(some)), np.zeros(len(some), np.int64)
-        for leaf in range(0, order.shape[1], STEP_LEAVES):
-            # squared distance of the k-th: |q|^2 + M^2 - 2 q.x
-            limit = bound * np.maximum(size[active] + top_norm**2 - 2 * score[active, -1], 0)
-            go = near[active, leaf] <= limit
-            active, limit = active[go], limit[go]
-            if not len(active):
-                break
-            rows = tree.rows[order[active, leaf:leaf + STEP_LEAVES]].reshape(len(active), -1)
-            gap = ((points[rows] - asked[active, None]) ** 2).sum(axis=2)
-            a, p = np.nonzero((rows >= 0) & (gap <= limit[:, None]))
-            verified[active] += np.bincount(a, minlength=len(active))
-            s = np.full(rows.shape, -np.inf)
-            s[a, p] = np.einsum("nd,nd->n", some[active[a]], x[rows[a, p]])
-            rows = np.where(s > -np.inf, rows, -1)
-            better = (s >= score[active, -1:]).any(axis=1)
-            a = active[better]
-            if len(a):
-                score[a], row[a] = _top(np.concatenate([score[a], s[better]], 1), np.concatenate([row[a], rows[better]], 1), first_id, k)
-        if met is not None:
-            met.extend(verified.tolist())
-        out += [(r[r >= 0], s[r >= 0]) for r, s in zip(row, score, strict=True)]
+    slack = 1e-12 * bound * top_norm**2  # rounding of the projected distances
+    asked = q @ project[:d]
+    near = tree.distances(asked)
+    # |p - a|^2 = |p|^2 - 2 a.p + |a|^2; the product of the lengthened rows is this without |a|^2
+    far, points = (asked * asked).sum(1), np.column_stack([points, (points * points).sum(1)])
+    asked = np.column_stack([-2 * asked, np.ones(len(q))])
+    reach = top_norm**2 + (q * q).sum(1)  # squared distance of x: |q|^2 + M^2 - 2 q.x
+    n_first = min(len(tree.rows), max(FIRST_LEAVES, -(-2 * k // LEAF)))
+    first = np.argpartition(near, n_first - 1, axis=1)[:, :n_first]
+    out: list = [None] * len(q)
+    verified = np.zeros(len(q), np.int64)
+    taken, room = np.empty((TAKE, d)), np.empty(GROUP * len(x))  # reused: fresh pages cost as much as the sums
+
+    def limit(i: int, score: np.ndarray) -> float:
+        return bound * max(reach[i] - 2 * score[-1], 0) + slack if len(score) == k else np.inf
+
+    def verify(i: int, some: np.ndarray, score: np.ndarray, row: np.ndarray):
+        verified[i] += len(some)
+        s = np.empty(len(some))
+        for j in range(0, len(some), TAKE):
+            part = some[j:j + TAKE]
+            np.einsum("nd,d->n", np.take(x, part, axis=0, out=taken[:len(part)], mode="clip"), q[i], out=s[j:j + TAKE])
+        if len(score) == k:
+            good = s >= score[-1]
+            s, some = s[good], some[good]
+        return _top(np.concatenate([score, s]), np.concatenate([row, some]), first_id, k) if len(s) else (score, row)
+
+    turn = np.argsort(near.argmin(axis=1), kind="stable")  # queries of one region together
+    for group in np.split(turn, range(GROUP, len(turn), GROUP)):
+        best = [verify(i, np.concatenate([np.arange(at[leaf], at[leaf + 1]) for leaf in first[i]]), np.empty(0), np.empty(0, np.int64)) for i in group]
+        allowed = near[group] <= np.array([limit(i, score) for i, (score, _) in zip(group, best, strict=True)])[:, None]
+        np.put_along_axis(allowed, first[group], True, 1)
+        wanted = allowed.any(axis=0)
+        slot, cols = np.concatenate([[0], np.cumsum(np.diff(at) * wanted)]), np.flatnonzero(wanted[leaf_of])
+        seen = points if len(cols) == len(x) else points[cols]
+        gaps = np.matmul(asked[group], seen.T, out=room[:len(group) * len(cols)].reshape(len(group), -1))
+        for i, gap, (score, row) in zip(group, gaps, best, strict=True):
+            for leaf in first[i]:
+                gap[slot[leaf]:slot[leaf + 1]] = np.nan  # done
+            # shells of growing projected distance; the limit shrinks from one to the next
+            for share in SHELLS:
+                some = np.flatnonzero(gap <= share * limit(i, score) - far[i])
+                gap[some] = np.nan
+                score, row = verify(i, cols[some], score, row)
+            out[i] = rows[row], score
+    if met is not None:
+        met.extend(verified.tolist())
     return out
 
 
@@ -167,8 +192,9 @@ def nearest(vectors: DataFrame, is_query, k: int = K) -> DataFrame:
     distinct = ranked.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     queries = rows.filter(is_query).distinct()
     facts = rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q"),
-                     F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("norm")).first()
-    blocks, chunks = max(1, -(-facts.n // BLOCK_ROWS)), max(1, -(-facts.q // QUERY_ROWS))
+                     F.max(F.size("v")).alias("width"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("norm")).first()
+    block_rows = BLOCK_BYTES // (8 * ((facts.width or 0) + DIMENSIONS + GROUP)) or 1  # vector, projection, distances to a group
+    blocks, chunks = max(1, -(-facts.n // block_rows)), max(1, -(-facts.q // QUERY_ROWS))
     corpus = distinct.select("v", "ids", F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(blocks)).alias("block"), F.explode(F.expr(f"sequence(0, {chunks - 1})")).alias("chunk"))
     asked = queries.select("vec_id", "v", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
                            F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"))

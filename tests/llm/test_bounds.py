@@ -126,6 +126,37 @@ def test_search_verifies_part_of_the_vectors():
     assert recall >= 0.9 and len(met) == len(q) and np.mean(met) < 0.6 * len(x)
 
 
+def test_search_verifies_a_falling_share_of_the_vectors():
+    # without structure each query verified half of 10,000 vectors
+    rng, shares = np.random.default_rng(5), []
+    x = rng.standard_normal((10_000, 64)) + 0.5 * rng.standard_normal((10, 64))[rng.integers(0, 10, 10_000)]
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    for n in (2_500, 10_000):
+        q, met = x[:n:50], []
+        found = ann.search(x[:n], np.arange(n), q, 1.0, 21, met)
+        exact = np.argsort(-(q @ x[:n].T), axis=1)[:, :21]
+        assert np.mean([len(set(r.tolist()) & set(e.tolist())) / 21 for (r, _), e in zip(found, exact, strict=True)]) >= 0.9
+        assert all((s == np.einsum("nd,d->n", x[r], v)).all() and (np.diff(s) <= 0).all() and len(set(r.tolist())) == 21 for (r, s), v in zip(found, q, strict=True))
+        shares.append(np.mean(met) / n)
+    assert shares[1] < 0.35 and shares[1] < 0.8 * shares[0], shares
+
+
+def test_search_refuses_the_leaves_of_far_clusters():
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((64, 32))[np.arange(6_400) % 64] + 0.02 * rng.standard_normal((6_400, 32))
+    q, met = x[::40], []
+    found = ann.search(x, np.arange(len(x)), q, float(np.linalg.norm(x, axis=1).max()), 21, met)
+    exact = np.argsort(-(q @ x.T), axis=1)[:, :21]
+    assert np.mean([len(set(r.tolist()) & set(e.tolist())) / 21 for (r, _), e in zip(found, exact, strict=True)]) >= 0.9
+    assert len(met) == len(q) and max(met) <= len(x)
+
+
+def test_search_of_fewer_vectors_than_wanted_finds_each_once():
+    x = np.random.default_rng(7).standard_normal((150, 8))
+    found = ann.search(x, np.arange(150), x[:3], float(np.linalg.norm(x, axis=1).max()), 200)
+    assert all(sorted(r.tolist()) == list(range(150)) for r, _ in found)
+
+
 def _thue_morse(bits, pair):
     word = [0]
     for _ in range(bits):
