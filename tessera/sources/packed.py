@@ -80,12 +80,13 @@ def ranges(files: list[tuple[str, int]], row_bytes: int | None) -> Iterator[Rang
             yield Range(path, size, part, lo, min(lo + step, size))
 
 
-def packed(units: Iterator[Range], task_bytes: int) -> list[Task]:
-    """Consecutive ranges up to ``task_bytes`` (a longer one stands alone)."""
+def packed(units: Iterator[Range], task_bytes: int, together: bool = False) -> list[Task]:
+    """Consecutive ranges up to ``task_bytes`` (a longer one stands alone);
+    with ``together`` no file is dealt over tasks."""
     tasks, held, cost = [], [], 0
     for u in units:
         own = u.hi - u.lo + OPEN_BYTES
-        if held and cost + own > task_bytes:
+        if held and cost + own > task_bytes and not (together and u.path == held[-1].path):
             tasks.append(Task(tuple(held)))
             held, cost = [], 0
         held.append(u)
@@ -113,6 +114,7 @@ class _Reader(DataSourceReader):
         self.folder, self.glob = options["path"], options.get("glob", "*")
         self.kind, self.recursive = options.get("kind", "text"), options.get("recursive", "false").lower() == "true"
         self.row_bytes, self.task_bytes = int(options.get("row_bytes", ROW_BYTES)), int(options.get("task_bytes", TASK_BYTES))
+        self.together = options.get("together", "false").lower() == "true"
         if self.row_bytes < 4 or self.task_bytes < 1:
             raise ValueError("row_bytes has to be at least 4, task_bytes at least 1")
         self.window = min(WINDOW, self.row_bytes)  # below the distance of two offsets: safe points keep their order
@@ -121,7 +123,7 @@ class _Reader(DataSourceReader):
         files = listed(self.folder, self.glob, self.recursive)
         if self.kind == "binary" and (large := [p for p, n in files if n > MAX_CELL]):
             raise ValueError(f"files of more than {MAX_CELL} bytes do not fit one row: {large[:3]}")
-        return packed(ranges(files, self.row_bytes if self.kind == "text" else None), self.task_bytes) or [Task(())]
+        return packed(ranges(files, self.row_bytes if self.kind == "text" else None), self.task_bytes, self.together) or [Task(())]
 
     def read(self, partition):
         rows, size = [], 0
@@ -157,7 +159,7 @@ class _Reader(DataSourceReader):
 
 class PackedFiles(DataSource):
     """Options: path (one folder), glob, kind (text or binary), recursive,
-    row_bytes (text), task_bytes."""
+    row_bytes (text), task_bytes, together."""
 
     @classmethod
     def name(cls):
@@ -178,14 +180,16 @@ def _read(spark: SparkSession, folder: str, **options) -> DataFrame:
     return spark.read.format(FORMAT).options(**options).load(folder)
 
 
-def read_text_parts(spark: SparkSession, folder: str, glob: str = "*", *, row_bytes: int = ROW_BYTES, task_bytes: int = TASK_BYTES, recursive: bool = False) -> DataFrame:
+def read_text_parts(spark: SparkSession, folder: str, glob: str = "*", *, row_bytes: int = ROW_BYTES, task_bytes: int = TASK_BYTES, recursive: bool = False,
+                    together: bool = False) -> DataFrame:
     """Text files as rows of bounded size: ``doc_id`` (a hash of path and
     part), ``source`` (path), ``part``, ``start`` and ``length`` (bytes),
     ``text``.  Part numbers rise with ``start``; a part that holds no safe
     point of its own is left out.  An empty file is one empty row, bytes that
     are no UTF-8 become replacement characters, a folder without matching files
-    gives no rows."""
-    d = _read(spark, folder, glob=glob, kind="text", recursive=recursive, row_bytes=row_bytes, task_bytes=task_bytes)
+    gives no rows.  With ``together`` the parts of a file follow each other in
+    one task."""
+    d = _read(spark, folder, glob=glob, kind="text", recursive=recursive, row_bytes=row_bytes, task_bytes=task_bytes, together=together)
     return d.select(F.xxhash64("path", "part").alias("doc_id"), F.col("path").alias("source"), "part", "start", "length", "text")
 
 
