@@ -35,7 +35,7 @@ FORMAT = "packed_files"
 ROW_BYTES, TASK_BYTES = 8 << 20, 64 << 20
 OPEN_BYTES = 256 << 10  # what opening a file costs, in bytes of reading
 WINDOW = 64 << 10  # bytes searched for a safe point
-BATCH_BYTES = 16 << 20  # content per Arrow batch
+BATCH_BYTES = 4 << 20  # content per Arrow batch
 MAX_CELL = (1 << 31) - (64 << 20)  # a binary file has to fit one cell
 BLANK_LINE = re.compile(rb"\n\r?\n")
 SCHEMAS = {"text": "path string, part long, start long, length long, text string", "binary": "path string, length long, content binary"}
